@@ -1,0 +1,69 @@
+"""Result tables: the statistic per chamber and period, and the error log."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from tempfile import gettempdir
+from uuid import uuid4
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PARTITIONS = ("camara", "periodo")
+ERROR_SCHEMA = "m_error string, nombre_proceso string, at timestamp_ntz"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder all executors share.
+
+    That folder is the session's checkpoint directory; only where none is set,
+    as in a local test, the machine's temporary folder serves instead.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or gettempdir()
+    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def save_statistics(stats: DataFrame, path: str, run_id: int) -> None:
+    """Write the statistic, replacing the periods it contains and no others.
+
+    Every period must have at least one row, or its former result would stay.
+    """
+    label = F.concat_ws(
+        "-", *(F.date_format(name, "yyyyMMdd'T'HHmmss") for name in ("desde", "hasta"))
+    )
+    (
+        stats.withColumn("run_id", F.lit(run_id).cast("bigint"))
+        .withColumn("periodo", label)
+        .repartition(*PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .parquet(path)
+    )
+
+
+def read_statistics(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored statistic, or None before the first run."""
+    return _read_if_there(spark, path)
+
+
+def append_error(spark: SparkSession, path: str, message: str, process: str) -> None:
+    """Add one row to the error log."""
+    row = (message, process, datetime.now())
+    spark.createDataFrame([row], ERROR_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """The error log, empty before the first error."""
+    log = _read_if_there(spark, path)
+    return spark.createDataFrame([], ERROR_SCHEMA) if log is None else log
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

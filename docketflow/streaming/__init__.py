@@ -1,0 +1 @@
+"""Left empty on purpose: case-flow statistics are computed for closed periods, in batch."""
