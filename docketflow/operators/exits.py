@@ -180,7 +180,7 @@ def _moves(
 
     fecha = F.col("fecha_actuacion")
     events = with_status_code(
-        in_period(tables.events, fecha), tables.states, {*exit_codes, *child_codes}
+        in_period(tables.events, fecha), tables.states, sorted({*exit_codes, *child_codes})
     )
     event = F.struct(fecha, F.col("id_actuacion_exp"), F.col("codigo"))
     asignacion = F.col("fecha_asignacion")

@@ -29,11 +29,13 @@ def with_court(
 ) -> DataFrame:
     """Add ``juzgado``, the court of the office in ``office_col``.
 
-    An office that is unknown has no court: NULL with ``how="left"``, no row
-    with ``how="inner"``.
+    An office that is unknown, or known without a court: NULL with ``how="left"``,
+    no row with ``how="inner"``.
     """
     lookup = courts if isinstance(courts, Lookup) else court_lookup(courts)
     dim = lookup.rows.withColumnRenamed("id_oficina", office_col)
+    if how == "inner":
+        dim = dim.filter(F.col("juzgado").isNotNull())
     joined = lookup_join(df, dim, [office_col], how, small=lookup.small)
     return joined.select(*df.columns, "juzgado")
 
