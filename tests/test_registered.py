@@ -7,7 +7,7 @@ from conftest import plan_of
 import __spark_entry__ as contract
 import check_oracle
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
