@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docketflow.functions.codes import CHILD_CODES, EXIT_CODES, NO_EXIT, SEVERAL_EXITS
 from docketflow.functions.dates import Moment, as_datetime, day_between
 from docketflow.operators.exits import resolve_exits
-from docketflow.sources.tables import CaseTables
+from docketflow.sources.tables import CaseTables, parameter_table
 
 
 class Chamber(NamedTuple):
@@ -87,10 +87,13 @@ def chamber_periods(
 
 def periods_frame(spark: SparkSession, periods: Iterable[ChamberPeriod]) -> DataFrame:
     """The periods as a table; its size is that of the parameter list."""
-    return spark.createDataFrame(
-        list(periods),
-        "camara int, procedimiento string, desde timestamp_ntz, hasta timestamp_ntz",
-    )
+    columns = {
+        "camara": "int",
+        "procedimiento": "string",
+        "desde": "timestamp_ntz",
+        "hasta": "timestamp_ntz",
+    }
+    return parameter_table(spark, periods, columns)
 
 
 def requests_in_periods(requests: DataFrame, periods: Sequence[ChamberPeriod]) -> DataFrame:

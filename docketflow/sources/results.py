@@ -10,8 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketflow.sources.tables import parameter_table
+
 PARTITIONS = ("camara", "periodo")
-ERROR_SCHEMA = "m_error string, nombre_proceso string, at timestamp_ntz"
+ERROR_COLUMNS = {"m_error": "string", "nombre_proceso": "string", "at": "timestamp_ntz"}
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -51,13 +53,13 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame | None:
 def append_error(spark: SparkSession, path: str, message: str, process: str) -> None:
     """Add one row to the error log."""
     row = (message, process, datetime.now())
-    spark.createDataFrame([row], ERROR_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    parameter_table(spark, [row], ERROR_COLUMNS).write.mode("append").parquet(path)
 
 
 def read_errors(spark: SparkSession, path: str) -> DataFrame:
     """The error log, empty before the first error."""
     log = _read_if_there(spark, path)
-    return spark.createDataFrame([], ERROR_SCHEMA) if log is None else log
+    return parameter_table(spark, [], ERROR_COLUMNS) if log is None else log
 
 
 def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Iterable, Sequence
+from typing import Any, NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SCHEMAS = {
@@ -46,3 +48,21 @@ def read_case_tables(spark: SparkSession, folder: str, fmt: str = "parquet") ->
         "cambio_asignacion_exp", "juzgado_oficina",
     )
     return CaseTables(*(read_table(spark, folder, name, fmt) for name in names))
+
+
+_ARROW_TYPES = {
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "string": pa.string(),
+    "timestamp_ntz": pa.timestamp("us"),
+}
+
+
+def parameter_table(
+    spark: SparkSession, rows: Iterable[Sequence[Any]], columns: dict[str, str]
+) -> DataFrame:
+    """A table of parameters: part of the plan, so that it needs no task to be read."""
+    arrow = pa.schema([(name, _ARROW_TYPES[kind]) for name, kind in columns.items()])
+    records = pa.Table.from_pylist([dict(zip(columns, row)) for row in rows], arrow)
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    return spark.createDataFrame(records, schema)

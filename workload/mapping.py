@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow import CaseTables, chamber_periods
+from docketflow.sources.tables import parameter_table
 
 # Fixed values of the mapping.
 PERIOD_END = datetime(2000, 12, 31)
@@ -28,8 +29,31 @@ PERIODS = (
 )
 
 
+# Stated, so that no job has to read file footers before a query is even built.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+        " value double, props string"
+    ),
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def chamber() -> Column:
@@ -63,9 +87,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def states(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        STATES, "id_estado_expediente bigint, codigo_estado_expediente string"
-    )
+    columns = {"id_estado_expediente": "bigint", "codigo_estado_expediente": "string"}
+    return parameter_table(spark, STATES, columns)
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
