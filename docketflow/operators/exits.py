@@ -26,10 +26,14 @@ from docketflow.functions.dates import (
     until_day,
 )
 from docketflow.operators.candidates import origins
+from docketflow.operators import joins
 from docketflow.operators.joins import HotKeys, hot_key_sketch, hot_keys_from, spread_join
 from docketflow.operators.lookup import Lookup, court_lookup, with_court, with_status_code
 from docketflow.sources.tables import CaseTables
 
+# Prune by the requested cases when there are at least so many times as many cases.
+PRUNE_RATIO = 2
+
 
 def last_exit_event(
     requests: DataFrame,
@@ -59,9 +63,10 @@ def resolve_exits(
     """:func:`last_exit_event` with all columns of ``requests`` and their ``juzgado``."""
     ends = _period_ends(period_end)
     courts = court_lookup(tables.courts)
-    earliest, hot = _profile(requests)
+    count, earliest, hot = _profile(requests)
+    asked_cases = _few_cases(requests, count, tables.cases)
     best = _two_latest(
-        _latest_per_case(tables, courts, ends, earliest, exit_codes, child_codes)
+        _latest_per_case(tables, courts, ends, earliest, exit_codes, child_codes, asked_cases)
     )
     keys = ["idexp", "juzgado"]
     asked = with_court(requests, "ta_oficina", courts)
@@ -116,14 +121,25 @@ def _period_ends(period_end: Moment | Sequence[Moment]) -> list[datetime]:
     return ends
 
 
-def _profile(requests: DataFrame) -> tuple[datetime | None, HotKeys]:
-    """Earliest date asked for and the cases asked for most, in one pass."""
+def _profile(requests: DataFrame) -> tuple[int, datetime | None, HotKeys]:
+    """Number of requests, earliest date and the cases asked for most, in one pass."""
     row = requests.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ta_fecha").alias("earliest"),
         hot_key_sketch(["idexp"]).alias("top"),
     ).first()
-    return row["earliest"], hot_keys_from(requests, row["top"], row["n"])
+    return row["n"], row["earliest"], hot_keys_from(requests, row["top"], row["n"])
+
+
+def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame | None:
+    """The requested cases, if they are few: small enough to broadcast, and a minor part.
+
+    Typical for the run of a single chamber. Rows of other cases then need not
+    be shuffled. Where the requests are many, None: every case is resolved.
+    """
+    if 16 * count > joins.BROADCAST_BYTES or cases.count() < PRUNE_RATIO * count:
+        return None
+    return requests.select("idexp").distinct()
 
 
 def _latest_per_case(
@@ -133,16 +149,25 @@ def _latest_per_case(
     since: Moment | None,
     exit_codes: Iterable[str],
     child_codes: Iterable[str],
+    asked_cases: DataFrame | None = None,
 ) -> DataFrame:
     moves = _moves(tables, ends, since, list(exit_codes), list(child_codes))
     several_ends = ["fin_periodo"] if len(ends) > 1 else []
+    cases = tables.cases
+    if asked_cases is not None:
+        few = F.broadcast(asked_cases)
+        own = few.select(F.col("idexp").alias("id_expediente"), F.lit(True).alias("pedido"))
+        kept = F.col("derivado").isNotNull() | F.col("pedido")
+        moves = moves.join(own, "id_expediente", "left").filter(kept).drop("pedido")
+        origin_asked = few.withColumnRenamed("idexp", "id_expediente_origen")
+        cases = cases.join(origin_asked, "id_expediente_origen", "left_semi")
     if not courts.small:
         # The offices must be shuffled: collapse copies and busy offices first.
         moves = _latest(moves, ["id_expediente", "id_oficina", *several_ends])
     at_court = with_court(moves, "id_oficina", courts, "inner")
     latest = _latest(at_court, ["id_expediente", "juzgado", *several_ends])
     # At most one row per case and court is left on this side, so no case is hot.
-    by_case = latest.join(origins(tables.cases), "id_expediente", "left")
+    by_case = latest.join(origins(cases), "id_expediente", "left")
     if several_ends:
         by_case = _carry_forward(by_case, ends)
     case, origin = F.col("id_expediente"), F.col("id_expediente_origen")
@@ -153,11 +178,14 @@ def _latest_per_case(
         F.struct(case.alias("idexp"), as_own.alias("ultimo")),
         F.struct(origin.alias("idexp"), as_child.alias("ultimo")),
     )
-    return (
+    by_target = (
         by_case.select("id_expediente", "juzgado", *several_ends, F.explode(roles).alias("rol"))
         .filter(F.col("rol.ultimo").isNotNull())
         .select("rol.idexp", "juzgado", "id_expediente", *several_ends, "rol.ultimo")
     )
+    if asked_cases is None:
+        return by_target
+    return by_target.join(F.broadcast(asked_cases), "idexp", "left_semi")
 
 
 def _moves(

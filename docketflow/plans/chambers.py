@@ -99,16 +99,18 @@ def periods_frame(spark: SparkSession, periods: Iterable[ChamberPeriod]) -> Data
 def requests_in_periods(requests: DataFrame, periods: Sequence[ChamberPeriod]) -> DataFrame:
     """Requests whose date lies in the period of their chamber, with that period.
 
-    ``requests`` has ``camara`` and ``ta_fecha``. The outermost bounds are
-    literals besides, so that they reach the scan.
+    ``requests`` has ``camara`` and ``ta_fecha``. The chambers and the outermost
+    bounds are literals besides, so that they reach the scan and its partitions.
     """
+    if not periods:
+        raise ValueError("no period given")
     table = F.broadcast(periods_frame(requests.sparkSession, periods).drop("procedimiento"))
     fecha = F.col("ta_fecha")
     span = day_between(
         fecha, min(period.desde for period in periods), max(period.hasta for period in periods)
     )
     return (
-        requests.filter(span)
+        requests.filter(span & F.col("camara").isin(sorted({p.camara for p in periods})))
         .join(table, "camara")
         .filter(day_between(fecha, F.col("desde"), F.col("hasta")))
     )

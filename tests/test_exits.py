@@ -16,7 +16,7 @@ from docketflow import (
     latest_per_case,
     own_case_exits,
 )
-from docketflow.operators import joins
+from docketflow.operators import exits, joins
 
 COURTS = [(10, 100), (11, 100), (20, 200)]
 STATES = [(i, code) for i, code in enumerate((*EXIT_CODES, *CHILD_CODES, "XXX"), start=1)]
@@ -234,6 +234,31 @@ def test_hot_keys_without_broadcast(spark, no_broadcast, seed, hot):
     assert resolved(result) == expected
 
 
+@pytest.mark.parametrize("seed, several", [(9, True), (10, False)])
+def test_few_requests_prune_the_other_cases(spark, monkeypatch, seed, several):
+    monkeypatch.setattr(exits, "PRUNE_RATIO", 0)
+    requests, *data, ends = random_data(seed, 0.2)
+    requests = [r for r in requests if r[1] in (None, 0, 2, 5)]
+    if not several:
+        requests = [(*r[:5], ends[1]) for r in requests]
+        ends = [ends[1]]
+    frames = as_frames(spark, requests, *data)
+    expected = by_definition(requests, *data, ("SOB", "ARC"), ("ETO", "SOB"))
+    assert {a[0] for a in expected.values()} >= {-2, -3}
+    result = last_exit_event(*frames, ends, ("SOB", "ARC"), ("ETO", "SOB"))
+    assert "LeftSemi" in plan_of(result)
+    assert resolved(result) == expected
+
+
+def test_many_requests_are_not_broadcast(spark, monkeypatch):
+    requests, *data, ends = random_data(11, 0.2)
+    frames = as_frames(spark, requests, *data)
+    assert "LeftSemi" not in plan_of(last_exit_event(*frames, ends, ("SOB",), ("ETO",)))
+    monkeypatch.setattr(exits, "PRUNE_RATIO", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 16 * len(requests) - 1)
+    assert "LeftSemi" not in plan_of(last_exit_event(*frames, ends, ("SOB",), ("ETO",)))
+
+
 def test_one_period_end(spark):
     requests, *data, ends = random_data(5, 0.3)
     requests = [(*r[:5], ends[1]) for r in requests]

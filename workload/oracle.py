@@ -114,6 +114,11 @@ ORACLE_SQL: dict[str, str] = {
     "day_between_events": f"""
 SELECT event_id, ts FROM events
 WHERE date_trunc('day', ts) BETWEEN {_ts(m.DAY_FROM)} AND {_ts(m.DAY_TO)}
+""",
+    "order_days": """
+SELECT o_orderkey, strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS dia,
+       date_diff('second', date_trunc('day', o_orderdate), o_orderdate) AS segundos
+FROM orders
 """,
     "log_seconds": """
 WITH log AS (SELECT event_id + event_id // 10 AS numfila, ts AS fecha FROM events)

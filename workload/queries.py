@@ -18,6 +18,16 @@ def day_between_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.filter(df.day_between(F.col("ts"), m.DAY_FROM, m.DAY_TO))
 
 
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day/month/year text of each order back to its day."""
+    text = F.date_format("o_orderdate", "dd/MM/yyyy")
+    return m.load(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        df.parse_dmy(text).alias("dia"),
+        df.seconds_between(df.parse_dmy(text), F.col("o_orderdate")).alias("segundos"),
+    )
+
+
 def log_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.log_seconds(m.process_log(spark, sf_dir), keep_number=True)
 
@@ -157,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         day_between_events,
+        order_days,
         log_seconds,
         events_with_court,
         exit_own,
