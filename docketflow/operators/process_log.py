@@ -37,7 +37,8 @@ def log_seconds(
     joined = lookup_join(selected, before, ["numfila"], "left", small=fits_broadcast(earlier))
     problem = F.concat(F.lit("more than one row before number "), number.cast("string"))
     seconds = seconds_between(F.col("fecha"), F.col("fecha_anterior"))
-    return joined.orderBy("numfila").select(
+    # The time as second key lets the sort split a number that occurs very often.
+    return joined.orderBy("numfila", "fecha").select(
         *(["numfila"] if keep_number else []),
         F.when(F.col("veces") > 1, F.raise_error(problem)).otherwise(seconds).alias("segundos"),
     )

@@ -66,6 +66,7 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        # A first run that failed leaves a folder without files.
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None

@@ -163,6 +163,22 @@ def test_one_failing_chamber_does_not_stop_the_others(spark, small):
     assert [row.camara for row in read_statistics(spark, results).collect()] == [13]
 
 
+def test_a_run_after_one_that_failed_altogether(spark, small):
+    requests, _ = small
+    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+
+    def run(n):
+        return run_chambers(
+            spark, lambda periods: requests_per_period(requests, periods).withColumn("n", n),
+            results, errors, camaras=[13, 14],
+        )
+
+    assert [o.estado for o in run(F.raise_error(F.lit("x")).cast("bigint"))] == [FAILED, FAILED]
+    assert read_errors(spark, errors).count() == 2
+    assert [o.estado for o in run(F.col("n"))] == [DONE, DONE]
+    assert read_statistics(spark, results).count() == 2
+
+
 def test_error_log_is_appended(spark):
     path = shared_folder(spark, "errors")
     append_error(spark, path, "first", "p")

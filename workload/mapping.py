@@ -110,11 +110,10 @@ def reassignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def courts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The nations are a fixed list of 25.
     nations = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     return (
         load(spark, sf_dir, "supplier")
-        .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("s_suppkey").alias("id_oficina"),
             F.col("n_regionkey").cast("bigint").alias("juzgado"),
