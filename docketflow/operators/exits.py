@@ -72,9 +72,10 @@ def resolve_exits(
     asked = with_court(requests, "ta_oficina", courts)
     if len(ends) > 1:
         keys.append("fin_periodo")
-        known = F.col("fin_periodo").isin([timestamp_literal(end) for end in ends])
+        end = F.col("fin_periodo")
+        known = end.isin([timestamp_literal(moment) for moment in ends])
         problem = F.raise_error(F.lit("fin_periodo is not among the given period ends"))
-        asked = asked.withColumn("fin_periodo", F.when(known, F.col("fin_periodo")).otherwise(problem))
+        asked = asked.withColumn("fin_periodo", F.when(known, end).otherwise(problem))
     joined = spread_join(
         asked, best, keys, "left", hot, hot_on=["idexp"], spread_by=["request_id"]
     )
@@ -128,7 +129,7 @@ def _profile(requests: DataFrame) -> tuple[int, datetime | None, HotKeys]:
         F.min("ta_fecha").alias("earliest"),
         hot_key_sketch(["idexp"]).alias("top"),
     ).first()
-    return row["n"], row["earliest"], hot_keys_from(requests, row["top"], row["n"])
+    return row["n"], row["earliest"], hot_keys_from(requests.sparkSession, row["top"], row["n"])
 
 
 def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame | None:

@@ -1,8 +1,8 @@
 """Joining a large table to one with at most one row per key.
 
 The small side is broadcast only after its size was measured. Beyond the bound
-the join is shuffled, and the rows of keys that hold far more than their share
-are spread over several tasks.
+the join is shuffled, except for the rows of keys that hold far more than their
+share: those never gather in one task.
 """
 
 from __future__ import annotations
@@ -11,12 +11,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Largest table that is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A key is hot if it has more than so many even shares of a table of at least so many rows.
+HOT_SHARES = 2
 HOT_MIN_ROWS = 1_000_000
+# Bounds the sketch; more keys than this cannot each have a thousandth of the rows.
 MAX_HOT_KEYS = 1_000
 _SALT = "__salt"
 
@@ -61,27 +65,26 @@ def hot_key_sketch(keys: Sequence[str]) -> Column:
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> HotKeys:
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """The keys of ``df`` with several times an even share of its rows.
 
     The counts are estimates. They only decide where rows are processed, never
     which rows come out.
     """
     row = df.agg(F.count(F.lit(1)).alias("n"), hot_key_sketch(keys).alias("top")).first()
-    return hot_keys_from(df, row["top"], row["n"], min_rows)
+    return hot_keys_from(df.sparkSession, row["top"], row["n"])
 
 
-def hot_keys_from(df: DataFrame, top, total: int, min_rows: int | None = None) -> HotKeys:
+def hot_keys_from(spark: SparkSession, top: Sequence[Row] | None, total: int) -> HotKeys:
     """:class:`HotKeys` out of a sketch that was computed along with other figures."""
-    if total < (HOT_MIN_ROWS if min_rows is None else min_rows):
+    if total < HOT_MIN_ROWS:
         return HotKeys()
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    even_share = total / max(partitions, 1)
-    hot = [entry for entry in top or () if entry["count"] > 2 * even_share]
+    even_share = total / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = [entry for entry in top or () if entry["count"] > HOT_SHARES * even_share]
     if not hot:
         return HotKeys()
     slices = math.ceil(max(entry["count"] for entry in hot) / even_share)
-    return HotKeys(tuple(entry["item"] for entry in hot), max(slices, 2))
+    return HotKeys(tuple(entry["item"] for entry in hot), slices)
 
 
 def spread_join(
@@ -90,22 +93,22 @@ def spread_join(
     keys: Sequence[str],
     how: str,
     hot: HotKeys,
-    hot_on: Sequence[str] | None = None,
-    spread_by: Sequence[str] | None = None,
+    hot_on: Sequence[str],
+    spread_by: Sequence[str],
 ) -> DataFrame:
     """Shuffled join in which the hot keys of ``facts`` are cut into slices.
 
-    A fact row goes to the slice its content hashes to, so a recomputed task
-    sends it to the same place again. Only the ``dim`` rows of hot keys are
-    repeated, once per slice. ``hot_on`` are the key columns ``hot`` was
-    measured on, ``spread_by`` the fact columns that tell rows of one key apart.
+    For a ``dim`` that is costly to compute and so should be computed once. A
+    fact goes to the slice its ``spread_by`` columns hash to, so a recomputed
+    task sends it to the same place again; they must differ between facts of
+    one key. Only the ``dim`` rows of hot keys are repeated, once per slice.
+    ``hot_on`` are the key columns ``hot`` was measured on.
     """
     _check_same_types(facts, dim, keys)
     if not hot.hashes:
         return facts.join(dim, list(keys), how)
-    is_hot = key_hash(hot_on or keys).isin(list(hot.hashes))
-    content = list(spread_by or facts.columns)
-    slice_of_row = F.pmod(F.xxhash64(*content), F.lit(hot.slices)).cast("int")
+    is_hot = key_hash(hot_on).isin(list(hot.hashes))
+    slice_of_row = F.pmod(F.xxhash64(*spread_by), F.lit(hot.slices)).cast("int")
     every_slice = F.sequence(F.lit(0), F.lit(hot.slices - 1))
     salted = facts.withColumn(_SALT, F.when(is_hot, slice_of_row).otherwise(F.lit(0)))
     copies = dim.withColumn(
@@ -120,10 +123,12 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     small: bool | None = None,
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim``, which has at most one row per key.
 
+    If ``dim`` is too large to broadcast, the facts of hot keys stay where they
+    are and meet a broadcast of just their ``dim`` rows; the others are
+    shuffled. Copies of a fact, or facts without a key, need not be told apart.
     ``small`` states the outcome of an earlier :func:`fits_broadcast`.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -131,7 +136,15 @@ def lookup_join(
     _check_same_types(facts, dim, keys)
     if fits_broadcast(dim) if small is None else small:
         return facts.join(F.broadcast(dim), list(keys), how)
-    return spread_join(facts, dim, keys, how, hot_keys(facts, keys), spread_by=spread_by)
+    hot = hot_keys(facts, keys)
+    if not hot.hashes:
+        return facts.join(dim, list(keys), how)
+    # One row per key: the rows of the hot keys are no more than MAX_HOT_KEYS.
+    is_hot = key_hash(keys).isin(list(hot.hashes))
+    few = F.broadcast(dim.filter(is_hot))
+    stay = facts.filter(is_hot).join(few, list(keys), how)
+    move = facts.filter(~is_hot).join(dim, list(keys), how)
+    return stay.union(move)
 
 
 def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:

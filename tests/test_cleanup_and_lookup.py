@@ -43,7 +43,8 @@ def test_matching_a_hot_and_a_null_key(spark, no_broadcast):
     df = spark.createDataFrame(rows, "id int, k int")
     keys = spark.createDataFrame([(7,), (2,), (8,)] * 3, "k int")
     dropped = drop_matching(df, keys, ["k"])
-    assert "__salt" in plan_of(dropped)
+    plan = plan_of(dropped)
+    assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
     matching = {i for i, k in rows if k in (7, 2, 8)}
     assert ids(dropped) == sorted(set(range(600)) - matching)
     assert ids(keep_matching(df, keys, ["k"])) == sorted(matching)
@@ -94,15 +95,19 @@ def test_slices_do_not_change_the_result(spark, no_broadcast, how):
     hot = hot_keys(facts, ["k"])
     assert hot.hashes
     plain = facts.join(dim, "k", how)
-    sliced = spread_join(facts, dim, ["k"], how, hot)
-    assert sliced.columns == plain.columns
-    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, plain.collect()))
+    expected = sorted(map(tuple, plain.collect()))
+    for other in (
+        spread_join(facts, dim, ["k"], how, hot, ["k"], ["id"]),
+        lookup_join(facts, dim, ["k"], how),
+    ):
+        assert other.columns == plain.columns
+        assert sorted(map(tuple, other.collect())) == expected
 
 
 def test_hot_rows_are_spread(spark, no_broadcast):
     facts = spark.range(4000).select("id", F.lit(1).cast("bigint").alias("k"))
     dim = spark.createDataFrame([(1, 5)], "k bigint, v int")
-    joined = spread_join(facts, dim, ["k"], "left", hot_keys(facts, ["k"]))
+    joined = spread_join(facts, dim, ["k"], "left", hot_keys(facts, ["k"]), ["k"], ["id"])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
@@ -111,6 +116,15 @@ def test_hot_rows_are_spread(spark, no_broadcast):
     assert len(sizes) > 6 and max(row["count"] for row in sizes) < 2000
 
 
+def test_copies_of_one_row_stay_spread(spark, no_broadcast):
+    facts = spark.range(0, 4000, 1, 8).select(F.lit(1).cast("bigint").alias("k"))
+    dim = spark.createDataFrame([(1, 5)], "k bigint, v int")
+    joined = lookup_join(facts, dim, ["k"], "left")
+    sizes = joined.groupBy(F.spark_partition_id(), "v").count().collect()
+    assert [row["count"] for row in sizes] == [500] * 8
+    assert {row.v for row in sizes} == {5}
+
+
 def test_key_types_must_agree(spark):
     facts = spark.range(5)
     dim = spark.createDataFrame([(1,)], "id int")

@@ -75,7 +75,8 @@ def _resolved(requests: str, end: str) -> str:
     return f"""
 ranked AS (
   SELECT q.request_id, r.id, r.fecha, r.codigo, row_number() OVER (
-           PARTITION BY q.request_id, r.caso ORDER BY r.fecha DESC, r.id DESC, r.codigo DESC) AS fila
+           PARTITION BY q.request_id, r.caso
+           ORDER BY r.fecha DESC, r.id DESC, r.codigo DESC) AS fila
   FROM {requests} q
   JOIN all_rows r ON r.idexp = q.idexp
   JOIN courts c ON c.id_oficina = r.oficina AND c.juzgado = q.juzgado
