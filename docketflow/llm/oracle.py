@@ -34,6 +34,26 @@ ORACLE_SQL = {
                sha256(coalesce(k.txt, '')) AS kept_sha256
         FROM words w LEFT JOIN kept k USING (r)
     """,
+    "op5_exact_topk": """
+        WITH vectors AS (
+            SELECT vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(
+                       list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c
+              ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        ) WHERE rank <= 5
+    """,
     "op10_line_dedup": r"""
         WITH pages AS (SELECT row_number() OVER () AS r, * FROM documents),
         lines AS (

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.llm import (
+    html_extraction,
+    license_scan,
     line_dedup,
     lm_scoring,
     minhash,
@@ -15,6 +17,7 @@ from docketflow.llm import (
     quality_rules,
     sentencepiece_codec,
     substring_dedup,
+    topk_search,
 )
 from docketflow.llm.common import load, piece_model
 from docketflow.llm.oracle import ORACLE_SQL
@@ -52,6 +55,29 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its most probable licence, all its licences and their paragraphs."""
+    found = license_scan.scan(load(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["probability"], x["family"])))
+    return found.select(
+        "doc_id",
+        best["family"].alias("license"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_paragraphs"),
+        best["probability"].alias("probability"),
+    )
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    return topk_search.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extraction.extract(load(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(load(spark, sf_dir, "documents"))
 
@@ -75,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op2_source_mixing,
         op3_sentencepiece,
+        op4_license_scan,
+        op5_exact_topk,
+        op6_html_extraction,
         op7_quality_rules,
         op8_near_dedup,
         op9_lm_scoring,
