@@ -65,20 +65,23 @@ def resolve_exits(
     courts = court_lookup(tables.courts)
     count, earliest, hot = _profile(requests)
     asked_cases = _few_cases(requests, count, tables.cases)
+    asked_ends = requests.select("idexp", "fin_periodo").distinct() if len(ends) > 1 else None
     best = _two_latest(
-        _latest_per_case(tables, courts, ends, earliest, exit_codes, child_codes, asked_cases)
+        _latest_per_case(
+            tables, courts, ends, earliest, exit_codes, child_codes, asked_cases, asked_ends
+        )
     )
     keys = ["idexp", "juzgado"]
     asked = with_court(requests, "ta_oficina", courts)
     if len(ends) > 1:
         keys.append("fin_periodo")
+    if len(ends) > 1 or "fin_periodo" in requests.columns:
         end = F.col("fin_periodo")
         known = end.isin([timestamp_literal(moment) for moment in ends])
         problem = F.raise_error(F.lit("fin_periodo is not among the given period ends"))
-        asked = asked.withColumn("fin_periodo", F.when(known, end).otherwise(problem))
-    joined = spread_join(
-        asked, best, keys, "left", hot, hot_on=["idexp"], spread_by=["request_id"]
-    )
+        # A filter, as a column that nothing uses would not be computed.
+        asked = asked.filter(F.when(known, F.lit(True)).otherwise(problem.cast("boolean")))
+    joined = spread_join(asked, best, keys, "left", hot, hot_on=["idexp"])
     since = F.col("ta_fecha")
     several = F.coalesce(from_day(F.col("segunda_fecha"), since), F.lit(False))
     single = from_day(F.col("ultimo.fecha_actuacion"), since) & ~several
@@ -127,7 +130,7 @@ def _profile(requests: DataFrame) -> tuple[int, datetime | None, HotKeys]:
     row = requests.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ta_fecha").alias("earliest"),
-        hot_key_sketch(["idexp"]).alias("top"),
+        hot_key_sketch(requests.sparkSession, ["idexp"]).alias("top"),
     ).first()
     return row["n"], row["earliest"], hot_keys_from(requests.sparkSession, row["top"], row["n"])
 
@@ -140,7 +143,7 @@ def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame |
     """
     if 16 * count > joins.BROADCAST_BYTES or cases.count() < PRUNE_RATIO * count:
         return None
-    return requests.select("idexp").distinct()
+    return requests.filter("idexp is not null").select("idexp").distinct()
 
 
 def _latest_per_case(
@@ -151,42 +154,48 @@ def _latest_per_case(
     exit_codes: Iterable[str],
     child_codes: Iterable[str],
     asked_cases: DataFrame | None = None,
+    asked_ends: DataFrame | None = None,
 ) -> DataFrame:
     moves = _moves(tables, ends, since, list(exit_codes), list(child_codes))
     several_ends = ["fin_periodo"] if len(ends) > 1 else []
     cases = tables.cases
     if asked_cases is not None:
+        # Joined by an expression, so that all three joins share one broadcast.
         few = F.broadcast(asked_cases)
-        own = few.select(F.col("idexp").alias("id_expediente"), F.lit(True).alias("pedido"))
-        kept = F.col("derivado").isNotNull() | F.col("pedido")
-        moves = moves.join(own, "id_expediente", "left").filter(kept).drop("pedido")
-        origin_asked = few.withColumnRenamed("idexp", "id_expediente_origen")
-        cases = cases.join(origin_asked, "id_expediente_origen", "left_semi")
+        asked_own = moves["id_expediente"] == few["idexp"]
+        kept = F.col("derivado").isNotNull() | F.col("idexp").isNotNull()
+        moves = moves.join(few, asked_own, "left").filter(kept).drop("idexp")
+        cases = cases.join(few, cases["id_expediente_origen"] == few["idexp"], "left_semi")
     if not courts.small:
         # The offices must be shuffled: collapse copies and busy offices first.
         moves = _latest(moves, ["id_expediente", "id_oficina", *several_ends])
     at_court = with_court(moves, "id_oficina", courts, "inner")
     latest = _latest(at_court, ["id_expediente", "juzgado", *several_ends])
-    # At most one row per case and court is left on this side, so no case is hot.
-    by_case = latest.join(origins(cases), "id_expediente", "left")
     if several_ends:
-        by_case = _carry_forward(by_case, ends)
+        latest = _carried_forward(latest)
+    # At most one row per case, court and interval is left on this side, so no case is hot.
+    by_case = latest.join(origins(cases), "id_expediente", "left")
     case, origin = F.col("id_expediente"), F.col("id_expediente_origen")
-    own_child = origin.eqNullSafe(case)
-    as_own = F.when(own_child, F.greatest("propio", "derivado")).otherwise(F.col("propio"))
-    as_child = F.when(origin.isNotNull() & ~own_child, F.col("derivado"))
+    # A row counts once for its own case, and once for each case it originates from.
+    once = F.coalesce("primero", F.lit(True))
+    as_own = F.when(
+        once, F.when(F.col("propio_origen"), F.greatest("propio", "derivado")).otherwise(F.col("propio"))
+    )
+    as_child = F.when(origin.isNotNull() & (origin != case), F.col("derivado"))
     roles = F.array(
         F.struct(case.alias("idexp"), as_own.alias("ultimo")),
         F.struct(origin.alias("idexp"), as_child.alias("ultimo")),
     )
+    interval = ["fin_periodo", "siguiente"] if several_ends else []
     by_target = (
-        by_case.select("id_expediente", "juzgado", *several_ends, F.explode(roles).alias("rol"))
+        by_case.select("id_expediente", "juzgado", *interval, F.explode(roles).alias("rol"))
         .filter(F.col("rol.ultimo").isNotNull())
-        .select("rol.idexp", "juzgado", "id_expediente", *several_ends, "rol.ultimo")
+        .select("rol.idexp", "juzgado", "id_expediente", *interval, "rol.ultimo")
     )
-    if asked_cases is None:
-        return by_target
-    return by_target.join(F.broadcast(asked_cases), "idexp", "left_semi")
+    if asked_cases is not None:
+        few = F.broadcast(asked_cases)
+        by_target = by_target.join(few, by_target["idexp"] == few["idexp"], "left_semi")
+    return _at_ends(by_target, ends, asked_ends) if several_ends else by_target
 
 
 def _moves(
@@ -246,26 +255,41 @@ def _latest(moves: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _carry_forward(by_case: DataFrame, ends: list[datetime]) -> DataFrame:
-    """Turn the latest row per interval between ends into the latest row up to each end.
+def _carried_forward(latest: DataFrame) -> DataFrame:
+    """Turn the latest row per interval between ends into the latest row so far.
 
-    A window holds at most one row per period end.
+    ``siguiente`` is the next end from which another row holds. A window has at
+    most one row per period end.
     """
     in_order = Window.partitionBy("id_expediente", "juzgado").orderBy("fin_periodo")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    following = F.lead("fin_periodo").over(in_order)
-    every_end = F.array(*[timestamp_literal(end) for end in ends])
-    reached = F.filter(
-        every_end,
-        lambda end: (end >= F.col("fin_periodo"))
-        & (F.col("siguiente").isNull() | (end < F.col("siguiente"))),
-    )
     return (
-        by_case.withColumn("siguiente", following)
+        latest.withColumn("siguiente", F.lead("fin_periodo").over(in_order))
         .withColumn("propio", F.last("propio", ignorenulls=True).over(so_far))
         .withColumn("derivado", F.last("derivado", ignorenulls=True).over(so_far))
-        .withColumn("fin_periodo", F.explode(reached))
-        .drop("siguiente")
+    )
+
+
+def _at_ends(by_target: DataFrame, ends: list[datetime], asked: DataFrame | None) -> DataFrame:
+    """The row that holds at each end: only at ends asked for of its case, if those are given.
+
+    A case has at most as many asked ends as there are ends; its rows are not
+    written for the others.
+    """
+    start, following = F.col("fin_periodo"), F.col("siguiente")
+    columns = [name for name in by_target.columns if name not in ("fin_periodo", "siguiente")]
+    if asked is None:
+        every_end = F.array(*[timestamp_literal(end) for end in ends])
+        reached = F.filter(
+            every_end, lambda end: (end >= start) & (following.isNull() | (end < following))
+        )
+        return by_target.select(*columns, F.explode(reached).alias("fin_periodo"))
+    pairs = asked.select("idexp", F.col("fin_periodo").alias("fin"))
+    holds = (F.col("fin") >= start) & (following.isNull() | (F.col("fin") < following))
+    if joins.fits_broadcast(pairs):
+        pairs = F.broadcast(pairs)
+    return by_target.join(pairs, "idexp").filter(holds).select(
+        *columns, F.col("fin").alias("fin_periodo")
     )
 
 
@@ -276,7 +300,7 @@ def _two_latest(latest: DataFrame) -> DataFrame:
     works before the shuffle, so a case with a great many derived cases
     leaves two rows per task.
     """
-    keys = [name for name in latest.columns if name not in ("id_expediente", "ultimo")]
+    keys = [name for name in ("idexp", "juzgado", "fin_periodo") if name in latest.columns]
     order = Window.partitionBy(*keys).orderBy(
         F.desc("ultimo.fecha_actuacion"), F.desc("ultimo.id_actuacion_exp"), F.desc("ultimo.codigo")
     )

@@ -1,8 +1,8 @@
-"""Joining a large table to one with at most one row per key.
+"""Joining a large table to a lookup table.
 
 The small side is broadcast only after its size was measured. Beyond the bound
-the join is shuffled, except for the rows of keys that hold far more than their
-share: those never gather in one task.
+the join is shuffled, and the rows of keys that hold far more than their share
+are cut into slices, so that they never gather in one task.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot if it has more than so many even shares of a table of at least so many rows.
 HOT_SHARES = 2
 HOT_MIN_ROWS = 1_000_000
-# Bounds the sketch; more keys than this cannot each have a thousandth of the rows.
-MAX_HOT_KEYS = 1_000
+# What the sketch can track at most. It is sized for every key that can be hot: no more
+# than shuffle partitions / HOT_SHARES keys have that share. Only beyond 200,000 shuffle
+# partitions could hot keys be missed; their rows are then joined in one task each.
+MAX_TRACKED = 1_000_000
 _SALT = "__salt"
 
 _FIXED_WIDTH = (
@@ -53,15 +55,22 @@ class HotKeys:
     hashes: tuple[int, ...] = ()
     slices: int = 1
 
+    def __or__(self, other: HotKeys) -> HotKeys:
+        """The keys hot in either table, of the same kind of key."""
+        hashes = tuple(dict.fromkeys((*self.hashes, *other.hashes)))
+        return HotKeys(hashes, max(self.slices, other.slices))
+
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_key_sketch(keys: Sequence[str]) -> Column:
+def hot_key_sketch(spark: SparkSession, keys: Sequence[str]) -> Column:
     """Aggregate of bounded size that finds the most frequent keys in one pass."""
+    most = math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / HOT_SHARES)
+    tracked = min(MAX_TRACKED, 10 * max(100, most))
     return F.call_function(
-        "approx_top_k", key_hash(keys), F.lit(MAX_HOT_KEYS), F.lit(10 * MAX_HOT_KEYS)
+        "approx_top_k", key_hash(keys), F.lit(min(tracked, max(100, most))), F.lit(tracked)
     )
 
 
@@ -71,8 +80,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     The counts are estimates. They only decide where rows are processed, never
     which rows come out.
     """
-    row = df.agg(F.count(F.lit(1)).alias("n"), hot_key_sketch(keys).alias("top")).first()
-    return hot_keys_from(df.sparkSession, row["top"], row["n"])
+    return hot_keys_of(df, [keys])[0]
+
+
+def hot_keys_of(df: DataFrame, several: Sequence[Sequence[str]]) -> list[HotKeys]:
+    """:func:`hot_keys` for several keys of a table in one pass over it."""
+    spark = df.sparkSession
+    sketches = [hot_key_sketch(spark, keys).alias(f"top{k}") for k, keys in enumerate(several)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
+    return [hot_keys_from(spark, row[f"top{k}"], row["n"]) for k in range(len(several))]
 
 
 def hot_keys_from(spark: SparkSession, top: Sequence[Row] | None, total: int) -> HotKeys:
@@ -88,27 +104,24 @@ def hot_keys_from(spark: SparkSession, top: Sequence[Row] | None, total: int) ->
 
 
 def spread_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    hot: HotKeys,
-    hot_on: Sequence[str],
-    spread_by: Sequence[str],
+    facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, hot: HotKeys,
+    hot_on: Sequence[str] | None = None, spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Shuffled join in which the hot keys of ``facts`` are cut into slices.
 
-    For a ``dim`` that is costly to compute and so should be computed once. A
-    fact goes to the slice its ``spread_by`` columns hash to, so a recomputed
-    task sends it to the same place again; they must differ between facts of
-    one key. Only the ``dim`` rows of hot keys are repeated, once per slice.
-    ``hot_on`` are the key columns ``hot`` was measured on.
+    Either side is computed once. A fact goes to the slice that a hash of its
+    ``spread_by`` columns (all by default) and of its partition names, so a
+    recomputed task sends it to the same place again, and copies of one fact
+    are spread as far as their partitions are. Only the ``dim`` rows of hot keys
+    are repeated, once per slice. ``hot_on`` are the key columns ``hot`` was
+    measured on, all of them by default.
     """
     _check_same_types(facts, dim, keys)
     if not hot.hashes:
         return facts.join(dim, list(keys), how)
-    is_hot = key_hash(hot_on).isin(list(hot.hashes))
-    slice_of_row = F.pmod(F.xxhash64(*spread_by), F.lit(hot.slices)).cast("int")
+    is_hot = key_hash(hot_on or keys).isin(list(hot.hashes))
+    place = F.xxhash64(*(spread_by or facts.columns), F.spark_partition_id())
+    slice_of_row = F.pmod(place, F.lit(hot.slices)).cast("int")
     every_slice = F.sequence(F.lit(0), F.lit(hot.slices - 1))
     salted = facts.withColumn(_SALT, F.when(is_hot, slice_of_row).otherwise(F.lit(0)))
     copies = dim.withColumn(
@@ -123,28 +136,21 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     small: bool | None = None,
+    hot: HotKeys | None = None,
+    hot_on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to ``dim``, which has at most one row per key.
+    """Join ``facts`` to a lookup table: broadcast if it is small, else :func:`spread_join`.
 
-    If ``dim`` is too large to broadcast, the facts of hot keys stay where they
-    are and meet a broadcast of just their ``dim`` rows; the others are
-    shuffled. Copies of a fact, or facts without a key, need not be told apart.
-    ``small`` states the outcome of an earlier :func:`fits_broadcast`.
+    ``small`` states the outcome of an earlier :func:`fits_broadcast`, ``hot``
+    that of :func:`hot_keys` on ``hot_on``; ``HotKeys()`` says that the keys of ``facts`` are
+    unique, or known to be even, and spares the pass over them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a lookup: {how}")
     _check_same_types(facts, dim, keys)
     if fits_broadcast(dim) if small is None else small:
         return facts.join(F.broadcast(dim), list(keys), how)
-    hot = hot_keys(facts, keys)
-    if not hot.hashes:
-        return facts.join(dim, list(keys), how)
-    # One row per key: the rows of the hot keys are no more than MAX_HOT_KEYS.
-    is_hot = key_hash(keys).isin(list(hot.hashes))
-    few = F.broadcast(dim.filter(is_hot))
-    stay = facts.filter(is_hot).join(few, list(keys), how)
-    move = facts.filter(~is_hot).join(dim, list(keys), how)
-    return stay.union(move)
+    return spread_join(facts, dim, keys, how, hot_keys(facts, keys) if hot is None else hot, hot_on)
 
 
 def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:

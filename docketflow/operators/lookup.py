@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.operators.joins import fits_broadcast, lookup_join, unique_lookup
+from docketflow.operators.joins import HotKeys, fits_broadcast, lookup_join, unique_lookup
 
 
 class Lookup(NamedTuple):
@@ -18,6 +18,14 @@ class Lookup(NamedTuple):
     small: bool
 
 
+def status_lookup(states: DataFrame, codes: Iterable[str]) -> Lookup:
+    """``(id_estado_expediente, codigo)`` of the statuses with one of ``codes``."""
+    wanted = states.filter(F.col("codigo_estado_expediente").isin(list(codes))).select(
+        "id_estado_expediente", F.col("codigo_estado_expediente").alias("codigo")
+    )
+    return Lookup(unique_lookup(wanted, "id_estado_expediente", "codigo"), fits_broadcast(wanted))
+
+
 def court_lookup(courts: DataFrame) -> Lookup:
     """Prepare ``courts(id_oficina, juzgado)`` for several :func:`with_court` calls."""
     pairs = courts.select("id_oficina", "juzgado")
@@ -25,28 +33,29 @@ def court_lookup(courts: DataFrame) -> Lookup:
 
 
 def with_court(
-    df: DataFrame, office_col: str, courts: DataFrame | Lookup, how: str = "left"
+    df: DataFrame, office_col: str, courts: DataFrame | Lookup, how: str = "left",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``juzgado``, the court of the office in ``office_col``.
 
     An office that is unknown, or known without a court: NULL with ``how="left"``,
-    no row with ``how="inner"``.
+    no row with ``how="inner"``. ``hot`` are the busy offices, if they are known.
     """
     lookup = courts if isinstance(courts, Lookup) else court_lookup(courts)
     dim = lookup.rows.withColumnRenamed("id_oficina", office_col)
     if how == "inner":
         dim = dim.filter(F.col("juzgado").isNotNull())
-    joined = lookup_join(df, dim, [office_col], how, small=lookup.small)
+    joined = lookup_join(df, dim, [office_col], how, small=lookup.small, hot=hot)
     return joined.select(*df.columns, "juzgado")
 
 
-def with_status_code(events: DataFrame, states: DataFrame, codes: Iterable[str]) -> DataFrame:
+def with_status_code(
+    events: DataFrame, states: DataFrame | Lookup, codes: Iterable[str] = (),
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """Keep the events whose status has one of ``codes``, and add it as ``codigo``."""
-    wanted = states.filter(F.col("codigo_estado_expediente").isin(list(codes))).select(
-        "id_estado_expediente", F.col("codigo_estado_expediente").alias("codigo")
-    )
-    dim = unique_lookup(wanted, "id_estado_expediente", "codigo")
+    lookup = states if isinstance(states, Lookup) else status_lookup(states, codes)
     joined = lookup_join(
-        events, dim, ["id_estado_expediente"], "inner", small=fits_broadcast(wanted)
+        events, lookup.rows, ["id_estado_expediente"], "inner", small=lookup.small, hot=hot
     )
     return joined.select(*events.columns, "codigo")

@@ -6,13 +6,19 @@ import logging
 from collections.abc import Callable, Collection, Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.functions.dates import Moment
 from docketflow.operators.joins import fits_broadcast, lookup_join
 from docketflow.plans.chambers import ChamberPeriod, period_of, periods_frame, select_chambers
-from docketflow.sources.results import append_error, read_statistics, save_statistics
+from docketflow.sources.results import (
+    append_errors,
+    read_errors,
+    read_statistics,
+    save_statistics,
+)
 
 log = logging.getLogger(__name__)
 
@@ -62,69 +68,83 @@ def run_chambers(
     hasta: Moment | None = None,
     camaras: Collection[int] | None = None,
     recalculate: bool = False,
+    run_id: int | None = None,
 ) -> list[RunOutcome]:
     """Compute and store the statistic of the chambers asked for.
 
     ``compute`` returns the statistic of the periods it is given. All chambers
-    share one job; if it fails, each runs alone, so that one failing chamber
-    does not hold up the others. A failure becomes a row of the error log and
-    an outcome, and is not raised. Stored periods are skipped unless
-    ``recalculate``.
+    share one job; if its data make it fail, each runs alone, so that one
+    failing chamber does not hold up the others. A plan that cannot be analysed
+    fails them all at once, as no chamber could do better. A failure becomes a
+    row of the error log and an outcome, and is not raised; the rows of a run
+    are appended together. Stored periods are skipped unless ``recalculate``.
+
+    ``run_id`` is the number of the run in results and error log. Without it the
+    number after the highest stored one is taken, which reads that column of
+    both and is not safe for two runs at once: concurrent callers pass their own.
     """
     outcomes: list[RunOutcome] = []
+    problems: list[tuple[str, str]] = []
 
-    def fail(camara: int, procedimiento: str, problem: Exception, before: bool | None) -> None:
-        append_error(spark, errors, str(problem), procedimiento)
-        outcomes.append(RunOutcome(camara, procedimiento, FAILED, before, str(problem)))
+    def fail(chamber, problem: Exception, before: bool | None) -> None:
+        problems.append((str(problem), chamber.procedimiento))
+        outcomes.append(
+            RunOutcome(chamber.camara, chamber.procedimiento, FAILED, before, str(problem))
+        )
 
     periods = []
     for chamber in select_chambers(camaras):
         try:
             periods.append(period_of(chamber, desde, hasta))
         except ValueError as problem:
-            fail(chamber.camara, chamber.procedimiento, problem, None)
-    if not periods:
-        return outcomes
-
-    run_id, pending, before = _plan(spark, periods, results, recalculate)
+            fail(chamber, problem, None)
+    stored = read_statistics(spark, results)
+    run = _next_run(spark, stored, errors) if run_id is None else run_id
+    pending, before = _plan(spark, periods, stored, recalculate)
     for period in periods:
         if period not in pending:
             outcomes.append(RunOutcome(*period[:2], SKIPPED, before[period.camara]))
 
     def store(some: Sequence[ChamberPeriod]) -> None:
-        save_statistics(compute(some), results, run_id)
+        save_statistics(compute(some), results, run)
         outcomes.extend(RunOutcome(*period[:2], DONE, before[period.camara]) for period in some)
 
-    if not pending:
-        return sorted(outcomes)
-    try:
-        store(pending)
-    except Exception as problem:
-        if len(pending) == 1:
-            fail(*pending[0][:2], problem, before[pending[0].camara])
-            return sorted(outcomes)
-        log.warning("joint run failed, running each chamber alone: %s", problem)
-        for period in pending:
-            try:
-                store([period])
-            except Exception as own_problem:
-                fail(*period[:2], own_problem, before[period.camara])
+    if pending:
+        try:
+            store(pending)
+        except Exception as problem:
+            if len(pending) == 1 or isinstance(problem, AnalysisException):
+                for period in pending:
+                    fail(period, problem, before[period.camara])
+            else:
+                log.warning("joint run failed, running each chamber alone: %s", problem)
+                for period in pending:
+                    try:
+                        store([period])
+                    except Exception as own_problem:
+                        fail(period, own_problem, before[period.camara])
+    append_errors(spark, errors, problems, run)
     return sorted(outcomes)
 
 
+def _next_run(spark: SparkSession, stored: DataFrame | None, errors: str) -> int:
+    """One more than the highest run number of results and errors."""
+    tables = [table for table in (stored, read_errors(spark, errors)) if table is not None]
+    highest = [table.agg(F.max("run_id")).first()[0] for table in tables]
+    return 1 + max((n for n in highest if n is not None), default=0)
+
+
 def _plan(
-    spark: SparkSession, periods: list[ChamberPeriod], results: str, recalculate: bool
-) -> tuple[int, list[ChamberPeriod], dict[int, bool]]:
-    """Number of this run, periods to compute, and which chambers follow on a stored period."""
-    stored = read_statistics(spark, results)
-    if stored is None:
-        return 1, periods, {period.camara: False for period in periods}
+    spark: SparkSession, periods: list[ChamberPeriod], stored: DataFrame | None, recalculate: bool
+) -> tuple[list[ChamberPeriod], dict[int, bool]]:
+    """Periods to compute, and which chambers follow on a stored period."""
+    if stored is None or not periods:
+        return periods, {period.camara: False for period in periods}
     asked = periods_frame(spark, periods)
-    run_id = stored.agg(F.max("run_id")).first()[0] + 1
     # At most one row per chamber asked for comes back.
     pending = {row["camara"] for row in pending_periods(asked, stored, recalculate).collect()}
     before = {
         row["camara"]: row["tiene_anterior"]
         for row in has_previous_period(asked, stored).collect()
     }
-    return run_id, [period for period in periods if period.camara in pending], before
+    return [period for period in periods if period.camara in pending], before

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
-from tempfile import gettempdir
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from docketflow.sources.tables import parameter_table
 
 PARTITIONS = ("camara", "periodo")
-ERROR_COLUMNS = {"m_error": "string", "nombre_proceso": "string", "at": "timestamp_ntz"}
+ERROR_COLUMNS = {
+    "m_error": "string", "nombre_proceso": "string", "at": "timestamp_ntz", "run_id": "bigint",
+}
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder all executors share.
 
-    That folder is the session's checkpoint directory; only where none is set,
-    as in a local test, the machine's temporary folder serves instead.
+    That is the session's checkpoint folder, or where none is set the warehouse
+    in which its tables lie.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or gettempdir()
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
 
 
@@ -32,7 +38,7 @@ def save_statistics(stats: DataFrame, path: str, run_id: int) -> None:
     Every period must have at least one row, or its former result would stay.
     """
     label = F.concat_ws(
-        "-", *(F.date_format(name, "yyyyMMdd'T'HHmmss") for name in ("desde", "hasta"))
+        "-", *(F.date_format(name, "yyyyMMdd'T'HHmmss.SSSSSS") for name in ("desde", "hasta"))
     )
     (
         stats.withColumn("run_id", F.lit(run_id).cast("bigint"))
@@ -50,21 +56,36 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame | None:
     return _read_if_there(spark, path)
 
 
-def append_error(spark: SparkSession, path: str, message: str, process: str) -> None:
+def append_errors(
+    spark: SparkSession, path: str, problems: Sequence[tuple[str, str]], run_id: int
+) -> None:
+    """Add ``(message, process)`` rows of one run to the error log, in one file."""
+    at = datetime.now()
+    rows = [(message, process, at, run_id) for message, process in problems]
+    if rows:
+        parameter_table(spark, rows, ERROR_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+
+
+def append_error(
+    spark: SparkSession, path: str, message: str, process: str, run_id: int | None = None
+) -> None:
     """Add one row to the error log."""
-    row = (message, process, datetime.now())
-    parameter_table(spark, [row], ERROR_COLUMNS).write.mode("append").parquet(path)
+    append_errors(spark, path, [(message, process)], run_id)
 
 
 def read_errors(spark: SparkSession, path: str) -> DataFrame:
     """The error log, empty before the first error."""
-    log = _read_if_there(spark, path)
+    schema = ", ".join(f"{name} {kind}" for name, kind in ERROR_COLUMNS.items())
+    log = _read_if_there(spark, path, schema)
     return parameter_table(spark, [], ERROR_COLUMNS) if log is None else log
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_there(
+    spark: SparkSession, path: str, schema: str | None = None
+) -> DataFrame | None:
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as problem:
         # A first run that failed leaves a folder without files.
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

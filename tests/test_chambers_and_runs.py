@@ -1,3 +1,4 @@
+from types import SimpleNamespace
 import pytest
 from conftest import at, table, tables_of
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from docketflow import (
     read_statistics,
     requests_per_period,
     run_chambers,
+    save_statistics,
 )
 from docketflow.plans.runs import DONE, FAILED, SKIPPED
 from docketflow.sources.results import shared_folder
@@ -179,6 +181,59 @@ def test_a_run_after_one_that_failed_altogether(spark, small):
     assert read_statistics(spark, results).count() == 2
 
 
+def test_periods_a_fraction_of_a_second_apart_both_stay(spark):
+    path = shared_folder(spark, "results")
+    for fraction in (100_000, 900_000):
+        end = at("2008-06-30 10:00:00").replace(microsecond=fraction)
+        row = spark.createDataFrame(
+            [(13, at("2008-01-01"), end, fraction)],
+            "camara int, desde timestamp_ntz, hasta timestamp_ntz, n int",
+        )
+        save_statistics(row, path, 1)
+    assert sorted(row.n for row in read_statistics(spark, path).collect()) == [100_000, 900_000]
+
+
+def test_folder_without_checkpoint_dir_is_in_the_warehouse():
+    settings = {"spark.sql.warehouse.dir": "hdfs://x/warehouse"}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+    )
+    assert shared_folder(session, "x").startswith("hdfs://x/warehouse/x-")
+
+
+def test_a_plan_that_cannot_be_analysed_fails_once(spark, small):
+    requests, _ = small
+    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    calls = []
+
+    def compute(periods):
+        calls.append(len(periods))
+        return requests_per_period(requests, periods).select("no_such_column")
+
+    outcomes = run_chambers(spark, compute, results, errors, camaras=[8, 13, 14], run_id=7)
+    assert [o.estado for o in outcomes] == [FAILED] * 3 and calls == [2]
+    logged = read_errors(spark, errors)
+    assert {row.run_id for row in logged.collect()} == {7} and logged.count() == 3
+    assert logged.select(F.input_file_name()).distinct().count() == 1
+
+
+def test_a_failed_run_has_a_number_of_its_own(spark, small):
+    requests, _ = small
+    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+
+    def run(n):
+        run_chambers(
+            spark, lambda periods: requests_per_period(requests, periods).withColumn("n", n),
+            results, errors, camaras=[13, 14],
+        )
+
+    run(F.raise_error(F.lit("x")).cast("bigint"))
+    run(F.col("n"))
+    assert {row.run_id for row in read_errors(spark, errors).collect()} == {1}
+    assert {row.run_id for row in read_statistics(spark, results).collect()} == {2}
+
+
 def test_error_log_is_appended(spark):
     path = shared_folder(spark, "errors")
     append_error(spark, path, "first", "p")

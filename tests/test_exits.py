@@ -331,3 +331,56 @@ def test_latest_per_case_is_one_row_per_key(spark):
         alone = latest_per_case(tables, end, exit_codes=("SOB", "ARC")).collect()
         together = [tuple(r)[:3] + tuple(r)[4:] for r in rows if r.fin_periodo == end]
         assert sorted(map(tuple, alone)) == sorted(together)
+
+
+@pytest.mark.parametrize("ratio", [0, 10**9])
+def test_a_case_of_two_origins_counts_for_both(spark, monkeypatch, ratio):
+    monkeypatch.setattr(exits, "PRUNE_RATIO", ratio)
+    requests = [(1, 1, at("2008-03-01"), 10, 13), (2, 9, at("2008-03-01"), 10, 13),
+                (3, 2, at("2008-03-01"), 10, 13)]
+    events = [(7, 2, STATE_ID["ETO"], 10, at("2008-06-01")),
+              (8, 2, STATE_ID["SOB"], 10, at("2008-05-01"))]
+    cases = [(2, 1), (2, 9), (2, 9), (1, None), (9, None)]
+    tables = tables_of(spark, events, STATES, cases, [], COURTS)
+    asked = table(spark, "pedidos", requests)
+    assert answers_of(last_exit_event(asked, tables, END)) == {
+        1: (7, "ETO"), 2: (7, "ETO"), 3: (8, "SOB"),
+    }
+    found = exit_candidates(asked, tables, END).collect()
+    assert sorted((r.id_actuacion_exp, r.idexp) for r in found) == [(7, 1), (7, 9), (8, 2)]
+
+
+@pytest.mark.parametrize("ratio", [0, 10**9])
+def test_a_case_among_its_own_origins(spark, monkeypatch, ratio):
+    monkeypatch.setattr(exits, "PRUNE_RATIO", ratio)
+    requests = [(1, 1, at("2008-03-01"), 10, 13), (2, 2, at("2008-03-01"), 10, 13)]
+    events = [(7, 2, STATE_ID["ETO"], 10, at("2008-06-01")),
+              (8, 2, STATE_ID["SOB"], 10, at("2008-05-01"))]
+    tables = tables_of(spark, events, STATES, [(2, 1), (2, 2), (1, None)], [], COURTS)
+    answers = answers_of(last_exit_event(table(spark, "pedidos", requests), tables, END))
+    assert answers == {1: (7, "ETO"), 2: (7, "ETO")}
+
+
+def test_period_end_of_a_request_is_checked_for_a_single_end_too(spark):
+    requests, *data, ends = random_data(6, 0.0)
+    frames = as_frames(spark, [(*r[:5], ends[0]) for r in requests], *data)
+    with pytest.raises(Exception, match="period ends"):
+        last_exit_event(*frames, ends[1:2], ("SOB", "ARC"), ("ETO",)).collect()
+
+
+def test_only_asked_ends_are_expanded(spark):
+    requests, *data, ends = random_data(12, 0.2)
+    many = sorted({*ends, *(ends[0] + timedelta(hours=k) for k in range(1, 90))})
+    frames = as_frames(spark, requests, *data)
+    asked = frames[0].select("idexp", "fin_periodo").distinct()
+    rows = exits._latest_per_case(
+        frames[1], exits.court_lookup(frames[1].courts), many, None, ["SOB", "ARC"], ["ETO"],
+        asked_ends=asked,
+    )
+    every = latest_per_case(frames[1], many, exit_codes=["SOB", "ARC"], child_codes=["ETO"])
+    behind = every.select("idexp", "juzgado", "id_expediente").distinct()
+    bound = asked.join(behind, "idexp").count()
+    assert 0 < rows.count() <= bound < every.count() / 5
+    expected = by_definition(requests, *data, ("SOB", "ARC"), ("ETO",))
+    assert resolved(last_exit_event(*frames, many, ("SOB", "ARC"), ("ETO",))) == expected
+

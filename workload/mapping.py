@@ -4,7 +4,7 @@ once, order lines are events, suppliers are offices and regions are courts.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,9 @@ STATES = (
 )
 DAY_FROM, DAY_TO = datetime(2024, 1, 5, 10), datetime(2024, 1, 8)
 KEEP_FROM = datetime(1998, 1, 1)
-REGISTERED_ABOVE = 480_000
+LOG_FIRST, LOG_LAST, LOG_STEP = 100, 1_000, 7
+ONE_CHAMBER = 17
+REPEATED = 4
 PERIODS = (
     chamber_periods(datetime(1996, 1, 1), datetime(1999, 12, 31), [6, 8, 9])
     + chamber_periods(datetime(1996, 1, 1), datetime(1999, 12, 31), range(13, 20))
@@ -60,6 +62,11 @@ def chamber() -> Column:
     return (F.col("o_orderkey") % 15 + 13).cast("int").alias("camara")
 
 
+def registered_chamber() -> Column:
+    """The chambers 13 to 22, by customer; 23 to 27 have no run."""
+    return (F.col("o_custkey") % 10 + 13).cast("int").alias("camara")
+
+
 def office() -> Column:
     return F.col("o_custkey") % 100
 
@@ -138,11 +145,11 @@ def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chamber_months(orders: DataFrame) -> DataFrame:
+def chamber_months(orders: DataFrame, camara: Column | None = None) -> DataFrame:
     """``(camara, desde, hasta)``: the months in which a chamber has orders."""
     day = F.col("o_orderdate").cast("date")
     return orders.select(
-        chamber(),
+        chamber() if camara is None else camara,
         F.trunc(day, "month").cast("timestamp_ntz").alias("desde"),
         F.last_day(day).cast("timestamp_ntz").alias("hasta"),
     ).distinct()
@@ -150,4 +157,14 @@ def chamber_months(orders: DataFrame) -> DataFrame:
 
 def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders")
-    return chamber_months(orders.filter(F.col("o_totalprice") > REGISTERED_ABOVE))
+    return chamber_months(orders, registered_chamber())
+
+
+def monthly_periods(first: int = 1995, last: int = 2001) -> list:
+    """Every chamber for every month of these years."""
+    starts = [datetime(year, month, 1) for year in range(first, last + 1) for month in range(1, 13)]
+    ends = [later - timedelta(days=1) for later in [*starts[1:], datetime(last + 1, 1, 1)]]
+    return [
+        period for start, end in zip(starts, ends)
+        for period in chamber_periods(start, end, range(13, 28))
+    ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docketflow import CHAMBERS
+from docketflow import CHAMBERS, chamber_periods
 from workload import mapping as m
 
 
@@ -48,9 +48,7 @@ all_rows AS (
 asked AS (
   SELECT o_orderkey AS request_id, o_orderkey AS idexp, o_orderdate AS ta_fecha, juzgado,
          CAST(o_orderkey % 15 + 13 AS INTEGER) AS camara
-  FROM orders LEFT JOIN courts ON id_oficina = o_custkey % 100),
-periods(camara, desde, hasta) AS (VALUES {", ".join(
-    f"(CAST({p.camara} AS INTEGER), {_ts(p.desde)}, {_ts(p.hasta)})" for p in m.PERIODS)})
+  FROM orders LEFT JOIN courts ON id_oficina = o_custkey % 100)
 """
 
 _ROW = (
@@ -93,13 +91,32 @@ resolved AS (
 """
 
 
+def _statistics(periods, more: str = "") -> str:
+    """Requests counted by chamber, period, court and outcome."""
+    rows = ", ".join(f"(CAST({p.camara} AS INTEGER), {_ts(p.desde)}, {_ts(p.hasta)})" for p in periods)
+    return f"""{_TABLES},
+periods(camara, desde, hasta) AS (VALUES {rows}),
+in_period AS (
+  SELECT q.*, p.desde, p.hasta FROM asked q JOIN periods p USING (camara)
+  WHERE date_trunc('day', q.ta_fecha) BETWEEN p.desde AND p.hasta),
+{_resolved("in_period", "q.hasta")},
+grouped AS (
+  SELECT camara, desde, hasta, juzgado, codigo_salida, count(*) AS n,
+         CASE id_act WHEN -2 THEN 'sin_salida' WHEN -3 THEN 'varias' ELSE 'salida' END AS resultado
+  FROM resolved GROUP BY ALL)
+SELECT p.camara, p.desde, p.hasta, juzgado, resultado, codigo_salida, coalesce(n, 0) AS n{more}
+FROM periods p LEFT JOIN grouped g USING (camara, desde, hasta)
+"""
+
+
 _MONTHS = """
 SELECT DISTINCT CAST(o_orderkey % 15 + 13 AS INTEGER) AS camara,
        CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS desde,
        CAST(last_day(o_orderdate) AS TIMESTAMP) AS hasta
 FROM orders
 """
-_RUNS = f"{_MONTHS} WHERE o_totalprice > {m.REGISTERED_ABOVE}"
+_RUNS = _MONTHS.replace("o_orderkey % 15", "o_custkey % 10")
+_STORED = chamber_periods(m.PERIODS[0].desde, m.PERIODS[0].hasta, range(13, 28))
 
 _DEFAULTS = ", ".join(
     f"(CAST({c.camara} AS INTEGER), '{c.procedimiento}', TIMESTAMP '1996-07-01 00:00:00', "
@@ -117,9 +134,9 @@ SELECT event_id, ts FROM events
 WHERE date_trunc('day', ts) BETWEEN {_ts(m.DAY_FROM)} AND {_ts(m.DAY_TO)}
 """,
     "order_days": """
-SELECT o_orderkey, strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS dia,
-       date_diff('second', date_trunc('day', o_orderdate), o_orderdate) AS segundos
-FROM orders
+SELECT event_id, strptime(strftime(ts, '%d/%m/%Y'), '%d/%m/%Y') AS dia,
+       date_diff('second', date_trunc('day', ts), date_trunc('second', ts)) AS segundos
+FROM events
 """,
     "log_seconds": """
 WITH log AS (SELECT event_id + event_id // 10 AS numfila, ts AS fecha FROM events)
@@ -127,6 +144,15 @@ SELECT a.numfila,
        date_diff('second', date_trunc('second', a.fecha), date_trunc('second', (
          SELECT b.fecha FROM log b WHERE a.numfila = b.numfila + 1))) AS segundos
 FROM log a ORDER BY a.numfila
+""",
+    "log_seconds_selected": f"""
+WITH log AS (SELECT event_id + event_id // 10 AS numfila, ts AS fecha FROM events)
+SELECT date_diff('second', date_trunc('second', a.fecha), date_trunc('second', (
+         SELECT b.fecha FROM log b WHERE a.numfila = b.numfila + 1))) AS segundos
+FROM log a
+WHERE a.numfila BETWEEN {m.LOG_FIRST} AND {m.LOG_LAST}
+  AND a.numfila IN ({", ".join(map(str, range(m.LOG_FIRST, 2 * m.LOG_LAST, m.LOG_STEP)))})
+ORDER BY a.numfila
 """,
     "events_with_court": f"""{_TABLES}
 SELECT v.id AS id_actuacion_exp, v.caso AS id_expediente, v.fecha AS fecha_actuacion,
@@ -149,6 +175,10 @@ FROM (
 """,
     "last_exit_event": f"""{_TABLES}, {_resolved("asked", _END)}
 SELECT request_id, id_act, fecha_salida, codigo_salida FROM resolved
+""",
+    "last_exit_event_one_chamber": f"""{_TABLES},
+chamber AS (SELECT * FROM asked WHERE camara = {m.ONE_CHAMBER}), {_resolved("chamber", _END)}
+SELECT request_id, id_act, fecha_salida, codigo_salida FROM resolved
 """,
     "chamber_periods": f"""
 WITH periods(camara, procedimiento, desde, hasta) AS (VALUES {_DEFAULTS})
@@ -157,18 +187,8 @@ FROM periods p LEFT JOIN orders
   ON o_orderkey % 15 + 13 = p.camara AND date_trunc('day', o_orderdate) BETWEEN p.desde AND p.hasta
 GROUP BY ALL
 """,
-    "chamber_statistics": f"""{_TABLES},
-in_period AS (
-  SELECT q.*, p.desde, p.hasta FROM asked q JOIN periods p USING (camara)
-  WHERE date_trunc('day', q.ta_fecha) BETWEEN p.desde AND p.hasta),
-{_resolved("in_period", "q.hasta")},
-grouped AS (
-  SELECT camara, desde, hasta, juzgado, codigo_salida, count(*) AS n,
-         CASE id_act WHEN -2 THEN 'sin_salida' WHEN -3 THEN 'varias' ELSE 'salida' END AS resultado
-  FROM resolved GROUP BY ALL)
-SELECT p.camara, p.desde, p.hasta, juzgado, resultado, codigo_salida, coalesce(n, 0) AS n
-FROM periods p LEFT JOIN grouped g USING (camara, desde, hasta)
-""",
+    "chamber_statistics": _statistics(m.PERIODS),
+    "chamber_statistics_monthly": _statistics(m.monthly_periods()),
     "keep_since": f"""
 SELECT o_orderkey, o_orderdate FROM orders
 WHERE o_orderdate IS NULL OR o_orderdate >= {_ts(m.KEEP_FROM)}
@@ -186,7 +206,7 @@ WITH runs AS ({_RUNS})
 SELECT camara, desde, hasta, EXISTS (
          SELECT 1 FROM runs b
          WHERE b.camara = a.camara AND b.hasta + INTERVAL 1 DAY = a.desde) AS tiene_anterior
-FROM runs a
+FROM ({_MONTHS}) a
 """,
     "pending_periods": f"{_MONTHS} EXCEPT {_RUNS}",
     "error_log_append": f"""
@@ -196,4 +216,8 @@ SELECT procedimiento, CASE WHEN has_end THEN count(o_orderkey) END AS n,
 FROM chambers LEFT JOIN orders ON o_orderkey % 15 + 13 = camara
 GROUP BY procedimiento, has_end
 """,
+    "stored_statistics": _statistics(
+        _STORED,
+        f", CAST(CASE WHEN p.camara < {13 + m.REPEATED} THEN 2 ELSE 1 END AS BIGINT) AS ejecucion",
+    ),
 }

@@ -19,12 +19,12 @@ def day_between_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day/month/year text of each order back to its day."""
-    text = F.date_format("o_orderdate", "dd/MM/yyyy")
-    return m.load(spark, sf_dir, "orders").select(
-        "o_orderkey",
+    """Day/month/year text of each event back to its day, and the seconds since then."""
+    text = F.date_format("ts", "dd/MM/yyyy")
+    return m.load(spark, sf_dir, "events").select(
+        "event_id",
         df.parse_dmy(text).alias("dia"),
-        df.seconds_between(df.parse_dmy(text), F.col("o_orderdate")).alias("segundos"),
+        df.seconds_between(df.parse_dmy(text), F.col("ts")).alias("segundos"),
     )
 
 
@@ -32,6 +32,12 @@ def log_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.log_seconds(m.process_log(spark, sf_dir), keep_number=True)
 
 
+def log_seconds_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds and a list of numbers; sorted by the number, which is not returned."""
+    numbers = range(m.LOG_FIRST, 2 * m.LOG_LAST, m.LOG_STEP)
+    return df.log_seconds(m.process_log(spark, sf_dir), m.LOG_FIRST, m.LOG_LAST, numbers)
+
+
 def events_with_court(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = df.with_status_code(
         m.events(spark, sf_dir), m.states(spark), m.EXIT_CODES + m.CHILD_CODES
@@ -88,6 +94,13 @@ def last_exit_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def last_exit_event_one_chamber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of a single chamber: few requests, all other tables whole."""
+    asked = m.requests(spark, sf_dir).filter(F.col("camara") == m.ONE_CHAMBER)
+    tables = m.case_tables(spark, sf_dir)
+    return df.last_exit_event(asked, tables, m.PERIOD_END, m.EXIT_CODES, m.CHILD_CODES)
+
+
 def chamber_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default ends where a chamber has one, a given end for the other two."""
     start = datetime(1996, 7, 1)
@@ -109,6 +122,17 @@ def chamber_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chamber_statistics_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chamber, every month of the orders; each month is a period of its own."""
+    return df.chamber_statistics(
+        m.requests(spark, sf_dir),
+        m.case_tables(spark, sf_dir),
+        m.monthly_periods(),
+        m.EXIT_CODES,
+        m.CHILD_CODES,
+    )
+
+
 def keep_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = m.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return df.keep_since(orders, "o_orderdate", m.KEEP_FROM)
@@ -135,8 +159,8 @@ def keep_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def has_previous_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = m.run_registry(spark, sf_dir)
-    return df.has_previous_period(runs, runs)
+    asked = m.chamber_months(m.load(spark, sf_dir, "orders"))
+    return df.has_previous_period(asked, m.run_registry(spark, sf_dir))
 
 
 def pending_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,12 +187,36 @@ def error_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(failed, "procedimiento", "full")
 
 
+def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistic stored by three runs: first, repeated, and repeated to recalculate.
+
+    ``ejecucion`` is the number of the run whose rows stay: the second computes
+    nothing and leaves no number, the third, over the first chambers only,
+    replaces theirs.
+    """
+    requests, tables = m.requests(spark, sf_dir), m.case_tables(spark, sf_dir)
+    results, errors = shared_folder(spark, "statistics"), shared_folder(spark, "errors")
+    start, end = m.PERIODS[0].desde, m.PERIODS[0].hasta
+
+    def compute(periods):
+        return df.chamber_statistics(requests, tables, periods, m.EXIT_CODES, m.CHILD_CODES)
+
+    chambers = range(13, 28)
+    for camaras, again in ((chambers, False), (chambers, False), (chambers[: m.REPEATED], True)):
+        df.run_chambers(spark, compute, results, errors, start, end, camaras, again)
+    return df.read_statistics(spark, results).select(
+        "camara", "desde", "hasta", "juzgado", "resultado", "codigo_salida", "n",
+        F.col("run_id").alias("ejecucion"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         day_between_events,
         order_days,
         log_seconds,
+        log_seconds_selected,
         events_with_court,
         exit_own,
         exit_child_event,
@@ -176,13 +224,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         exit_candidates,
         latest_per_case,
         last_exit_event,
+        last_exit_event_one_chamber,
         chamber_periods,
         chamber_statistics,
+        chamber_statistics_monthly,
         keep_since,
         drop_matching,
         keep_matching,
         has_previous_period,
         pending_periods,
         error_log_append,
+        stored_statistics,
     )
 }
