@@ -76,28 +76,28 @@ def drop_boilerplate(
     """
     pages = docs.select(site.cast("string").alias("site"), "text")
     lines = cut(boilerplate(pages, ratio, min_pages))
-    found = lines.groupBy("site", "nameless").agg(F.collect_list("line").alias("lines"))
+    found = lines.groupBy("site", "nameless").agg(F.collect_list("line").alias("__gone"))
     if fits_broadcast(lines):
         found = F.broadcast(found)
-    row = F.struct(*(F.col(name) for name in docs.columns)).alias("doc")
+    row = F.struct(*(F.col(name) for name in docs.columns)).alias("__doc")
     packed = docs.select(
         row,
         F.coalesce(site.cast("string"), F.lit("")).alias("site"),
         site.isNull().alias("nameless"),
     )
     joined = packed.join(found, ["site", "nameless"], "left")
-    split = F.split("doc.text", "\n")
-    gone = F.coalesce("lines", F.array().cast("array<binary>"))
+    split = F.split("__doc.text", "\n")
+    gone = F.coalesce("__gone", F.array().cast("array<binary>"))
     kept = F.filter(split, lambda x: ~(x.rlike(WORD) & F.array_contains(gone, _key(x))))
-    text = F.when(F.size(gone) == 0, F.col("doc.text")).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.size(gone) == 0, F.col("__doc.text")).otherwise(F.array_join(kept, "\n"))
     columns = [
-        text.alias(name) if name == "text" else F.col("doc").getField(name).alias(name)
+        text.alias(name) if name == "text" else F.col("__doc").getField(name).alias(name)
         for name in docs.columns
     ]
     if counts:
-        n_lines = F.when(F.col("doc.text").isNull(), 0).otherwise(F.size(split)).cast("long")
+        n_lines = F.when(F.col("__doc.text").isNull(), 0).otherwise(F.size(split)).cast("long")
         n_kept = F.when(F.size(gone) == 0, n_lines).otherwise(
-            F.when(F.col("doc.text").isNull(), 0).otherwise(F.size(kept))
+            F.when(F.col("__doc.text").isNull(), 0).otherwise(F.size(kept))
         )
         columns += [n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped")]
     return joined.select(*columns)

@@ -16,10 +16,17 @@ component: most shingles of a long text cost one point.
 
 24 bands of 4 components make the candidates (a pair at 0.8 is missed once in
 300,000 pairs). Equal texts are one node. In a bucket every node is first
-compared with one pivot; nodes that this leaves in different parts are then
-compared with each other, all of them, so no link is lost and a large group of
-copies is never expanded to pairs. Every candidate is verified by its exact
-multiset overlap.
+compared with one pivot, which joins most copies. Only buckets with nodes of
+different parts go on. There, weight that a node shares with no other node left
+bounds its overlap with any of them: two nodes of sizes m and n that share at
+most s and t with others overlap in min(s, t) at most, so their similarity is at
+most min(s, t) / (m + n - min(s, t)). Nodes that cannot reach 0.8 with anyone
+leave, and the others are compared with the one that shares most. What is then
+still in different parts is compared with each other within a task for each
+bucket, a bucket of many nodes in blocks of bounded size; only links between
+different parts leave the task. So no link is lost, a large group of copies is
+not expanded to pairs, and texts that only have a passage in common are never
+paired. Every link is verified by the exact multiset overlap of the texts.
 
 Null texts and texts without words have no shingles: each is a class of its
 own. The class id is the least id in it; rows that repeat an id, or have none,
@@ -30,6 +37,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +47,16 @@ from pyspark.sql import functions as F
 from docketflow.llm.common import (
     WORD, cut, hashes, mixed, slices, window_hashes, words, written,
 )
+from docketflow.llm.units import (
+    ANSWERED, ASKED, answer_repeats, ask_repeats, in_order, in_units, places_of,
+)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
-PIVOT_ROUNDS = 2
+UNIT_BYTES = 8 * 1024 * 1024
+# Nodes of a bucket that one task compares with as many others.
+BLOCK = 1500
 _M = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
@@ -204,6 +217,164 @@ def node_of(text: Column) -> Column:
     return F.when(text.rlike(WORD), F.substring(F.sha2(text, 256), 1, 32))
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their labels, and the buckets that have several labels, with a pivot."""
+    placed = members.join(labels, "node")
+    pivot = F.min(F.struct("first", "node", "label", "size", "shared")).alias("pivot")
+    buckets = (
+        placed.groupBy("band", "key")
+        .agg(pivot, F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low <> high")
+    )
+    return placed, buckets
+
+
+def _still_mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    known = members.withColumn("shared", F.lit(0)).withColumn("first", F.lit(0))
+    _, buckets = _mixed(known, labels)
+    return written(members.join(buckets.select("band", "key"), ["band", "key"], "left_semi"), "mixed")
+
+
+def _possible(size: Column, size_a: Column, shared: Column, shared_a: Column) -> Column:
+    """Whether two nodes can reach the similarity, by their sizes and what they share at all."""
+    common = F.least(shared, shared_a, size, size_a)
+    return common * (1 + SIMILARITY) >= SIMILARITY * (size + size_a) - 1e-9
+
+
+def _with_pivot(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Candidates ``(a, b)``: the pivot of a bucket with nodes of other labels."""
+    placed, buckets = _mixed(members, labels)
+    names = ("node", "label", "size", "shared")
+    pivots = buckets.select("band", "key", *(F.col(f"pivot.{x}").alias(f"{x}_a") for x in names))
+    columns = (F.col(x) for x in ("size", "size_a", "shared", "shared_a"))
+    return (
+        placed.join(pivots, ["band", "key"])
+        .filter((F.col("label") != F.col("label_a")) & _possible(*columns))
+        .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
+        .distinct()
+    )
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash for every unit of weight of every shingle, as bytes."""
+    for batch in slices(batches, "text"):
+        text, element, weight = shingle_counts(batch.column("text"))
+        first = np.cumsum(weight) - weight
+        turn = np.arange(weight.sum()) - np.repeat(first, weight)
+        unit = mixed(np.repeat(element, weight) + turn.astype(np.uint64) * _OTHER)
+        ends = np.cumsum(np.bincount(text, weight, batch.num_rows).astype(np.int64))
+        packed = [unit[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(packed, pa.binary())], ["node", "units"]
+        )
+
+
+def _close(bucket: pa.Table) -> pa.Table:
+    """Links that join different labels, of all pairs of a bucket or of two of its blocks."""
+    node, label = bucket["node"].to_pylist(), bucket["label"].to_pylist()
+    block = bucket["block"].to_numpy()
+    between_two = bucket["low"][0].as_py() != bucket["high"][0].as_py()
+    units = [np.frombuffer(x, np.uint64) for x in bucket["units"].to_pylist()]
+    sizes = np.array([len(x) for x in units])
+    owner = np.repeat(np.arange(len(units)), sizes)
+    found, column = np.unique(np.concatenate(units), return_inverse=True)
+    counts = np.bincount(column, minlength=len(found))
+    common = counts[column] > 1
+    owner, column = owner[common], (np.cumsum(counts > 1) - 1)[column[common]]
+    overlaps = np.zeros((len(units), len(units)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        part = np.zeros((len(units), 4096), np.float32)
+        part[owner[a:b], column[a:b] - start] = 1
+        overlaps += part @ part.T
+    total = sizes[:, None] + sizes[None, :]
+    enough = overlaps.astype(np.float64) * (1 + SIMILARITY) >= SIMILARITY * total - 1e-9
+    close = np.triu(enough, 1)
+    if between_two:
+        close &= block[:, None] != block[None, :]
+    parent: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(close)):
+        x, y = find(label[i]), find(label[j])
+        if x != y:
+            parent[x] = y
+            links.append((node[i], node[j]))
+    a, b = zip(*links) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+
+
+def _within_buckets(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidates ``(a, b)`` that join different labels, out of all pairs of a bucket."""
+    placed, buckets = _mixed(members, labels)
+    sizes = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
+    mixed_ = buckets.select("band", "key").join(sizes, ["band", "key"]).select(
+        "band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    )
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
+    elements = wanted.select("node", "text").mapInArrow(_units, "node string, units binary")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    inside = placed.join(mixed_, ["band", "key"]).withColumn("block", own)
+    one = inside.filter("blocks = 1").withColumn("other", F.lit(0))
+    many = inside.filter("blocks > 1").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = one.union(many).select(
+        "band", "key", "node", "label", "block",
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    )
+    return (
+        dealt.join(elements, "node").groupBy("band", "key", "low", "high")
+        .applyInArrow(lambda table: _close(table), "a string, b string").distinct()
+    )
+
+
+def _linked(labels: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The labels after the verified pairs are joined."""
+    edges = cut(verified(pairs, texts))
+    if edges.isEmpty():
+        return labels
+    a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+    joined = edges.join(a, "a").join(b, "b")
+    roots = components(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    renamed = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return cut(labels.join(renamed, "label", "left").select(
+        "node", F.coalesce("root", "label").alias("label")
+    ))
+
+
+def _ask_shingles(unit: pa.Table, n_shards: int) -> pa.Table:
+    _, element, _ = shingle_counts(in_order(unit)["text"])
+    return ask_repeats(unit["unit"][0].as_py(), element, np.arange(len(element)), n_shards)
+
+
+def _shared(unit: pa.Table, found: pa.Table) -> pa.Table:
+    unit = in_order(unit)
+    text, _, weight = shingle_counts(unit["text"])
+    places = places_of(found)
+    shared = np.bincount(text[places], weight[places], unit.num_rows).astype(np.int64)
+    return pa.table({"node": unit["doc_id"], "shared": shared})
+
+
+def shared_weight(texts: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
+    """``(node, shared)``: the weight of a text's shingles that other texts have too."""
+    dealt, n = in_units(texts, "node", "text", unit_bytes)
+    by_unit = dealt.groupBy("unit")
+    ask = partial(_ask_shingles, n_shards=n)
+    found = (
+        by_unit.applyInArrow(lambda table: ask(table), ASKED)
+        .groupBy("shard").applyInArrow(answer_repeats, ANSWERED)
+    )
+    return by_unit.cogroup(found.groupBy("unit")).applyInArrow(
+        lambda left, right: _shared(left, right), "node string, shared long"
+    )
+
+
 def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes with their least id, and the labels of those nodes that have near duplicates."""
     signed = docs.filter("node is not null").mapInArrow(
@@ -225,40 +396,17 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "texts",
     )
     labels = cut(members.select("node").distinct().withColumn("label", F.col("node")))
-    for turn in range(PIVOT_ROUNDS + 1):
-        placed = members.join(labels, "node")
-        rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("label"), F.col("size"))
-        mixed_buckets = (
-            placed.groupBy("band", "key")
-            .agg(F.min(rank).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"))
-            .filter("low <> high")
-        )
-        if turn < PIVOT_ROUNDS:
-            other = mixed_buckets.select(
-                "band", "key", *(F.col(f"pivot.{x}").alias(f"{x}_a") for x in ("node", "label", "size"))
-            )
-        else:
-            other = placed.join(mixed_buckets.select("band", "key"), ["band", "key"]).select(
-                "band", "key", *(F.col(x).alias(f"{x}_a") for x in ("node", "label", "size"))
-            )
-        ordered = F.lit(True) if turn < PIVOT_ROUNDS else F.col("node_a") < F.col("node")
-        pairs = (
-            placed.join(other, ["band", "key"])
-            .filter((F.col("label") != F.col("label_a")) & ordered)
-            .filter(F.least("size", "size_a") >= SIMILARITY * F.greatest("size", "size_a"))
-            .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
-            .distinct()
-        )
-        edges = cut(verified(pairs, texts))
-        if edges.isEmpty():
-            continue
-        named = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
-        joined = edges.join(named[0], "a").join(named[1], "b")
-        roots = components(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-        renamed = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        labels = cut(labels.join(renamed, "label", "left").select(
-            "node", F.coalesce("root", "label").alias("label")
-        ))
+    by_hash = members.withColumn("shared", F.col("size")).withColumn("first", F.xxhash64("node"))
+    labels = _linked(labels, _with_pivot(by_hash, labels), texts)
+    left = _still_mixed(members, labels)
+    likely = written(
+        left.join(shared_weight(texts.join(left.select("node").distinct(), "node", "left_semi")), "node")
+        .filter(F.col("shared") >= SIMILARITY * F.col("size") - 1e-9)
+        .withColumn("first", F.lit(1) - F.col("shared") / F.col("size")),
+        "likely",
+    )
+    labels = _linked(labels, _with_pivot(likely, labels), texts)
+    labels = _linked(labels, _within_buckets(likely, labels, texts), texts)
     return nodes, labels
 
 

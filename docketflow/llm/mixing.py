@@ -18,6 +18,7 @@ alone, not on partitions.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Sequence
 from fractions import Fraction
 
@@ -138,16 +139,25 @@ def route(
 def place_last(sizes: Sequence[tuple[int, int]], rest: int) -> list[int]:
     """Of ``(order, size)`` those orders to take so that the sizes come near the rest.
 
-    In order, each that still fits; then one more where that comes nearer.
+    In order, each that still fits; then one more, or one for another, where
+    that comes nearer.
     """
-    chosen, left = [], rest
-    for order, size in sorted(sizes):
-        if 0 < size <= left:
-            chosen.append(order)
-            left -= size
-    others = [(abs(size - left), order) for order, size in sizes if size and order not in chosen]
-    nearest = min(others, default=None)
-    return chosen + [nearest[1]] if nearest and nearest[0] < left else chosen
+    chosen, others, left = [], [], rest
+    for order, size in sorted(x for x in sizes if x[1]):
+        fits = size <= left
+        (chosen if fits else others).append((size, order))
+        left -= size if fits else 0
+    others.sort()
+    best = (left, [], [])
+    for size, order in [(0, None), *sorted(chosen)]:
+        # What should come in if this one goes out (0: if nothing goes out).
+        at = bisect_left(others, (size + left, -1))
+        for new_size, new in others[max(0, at - 1) : at + 1]:
+            off = abs(left + size - new_size)
+            if off < best[0]:
+                best = (off, [order], [new])
+    _, out, into = best
+    return [order for _, order in chosen if order not in out] + into
 
 
 def select_rest(sized: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int, list[int]]]:

@@ -195,12 +195,12 @@ def top_k(
     # No score is further from 0 than this.
     bound = min(int(largest[0] or 0) ** 2 * (largest[1] or 0), _LONG.max)
     step = 1
-    while step * BINS < 2 * bound + 1:
+    while step * BINS < 2 * bound + 2:
         step *= BINS
     n = F.octet_length("ids") / 8
     states = cut(queries.withColumn("block", F.monotonically_increasing_id())).select(
         "*",
-        _repeated(-bound, n).alias("low"),
+        _repeated(-bound - 1, n).alias("low"),
         _repeated(0, n).alias("above"),
         F.lit(step).cast("long").alias("step"),
     )
