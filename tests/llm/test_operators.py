@@ -1,0 +1,552 @@
+"""The operators against brute force on small, awkward data."""
+
+import collections
+import html
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from docketflow.llm import (
+    html_extraction,
+    license_scan,
+    line_dedup,
+    lm_scoring,
+    minhash,
+    mixing,
+    quality_rules,
+    sentencepiece_codec,
+    substring_dedup,
+    topk_search,
+)
+from docketflow.llm.common import piece_model, words
+from docketflow.llm.elias_fano import EliasFano
+
+AWKWARD = [
+    (None, "no id"), (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, " a  b "), (4, " a  b "),
+    (5, "é\x1cx\x85y z   ▁a ▁▁b"), (6, "the " * 400), (7, "x" * 50_000),
+    (8, "\n\n one\n\ntwo \n one\n"), (9, "\0 \U0001f600 <s> </s> <0x0A>"),
+]
+
+
+def frame(spark, rows):
+    """The rows with columns whose names clash with inner ones."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    clashing = "node unit shard row size key label n kept doc site ids words".split()
+    return docs.withColumns({name: F.lit(name) for name in clashing})
+
+
+def empty(spark):
+    return frame(spark, []).withColumn("source", F.lit("s"))
+
+
+def texts_of(seed, n=60, vocabulary=26):
+    rng = random.Random(seed)
+    voc = [chr(97 + k % 26) * (1 + k // 26) for k in range(vocabulary)] + ["Éa", "ZZ"]
+    passages = [" ".join(rng.choices(voc, k=rng.randint(20, 90))) for _ in range(6)]
+    rows = []
+    for k in range(n):
+        parts = [
+            rng.choice(passages) if rng.random() < 0.4 else " ".join(rng.choices(voc, k=rng.randint(1, 60)))
+            for _ in range(rng.randint(0, 5))
+        ]
+        rows.append((100 + k, rng.choice([" ", "  ", "\n"]).join(parts)))
+    return rows + [rows[3], (999, rows[3][1])]
+
+
+def in_order(rows):
+    return sorted(rows, key=repr)
+
+
+def tuples(df):
+    return in_order(tuple(r) for r in df.collect())
+
+
+def test_words_are_split_at_six_characters_only():
+    texts = [t for _, t in AWKWARD]
+    dictionary, codes, bounds = words(pa.array(texts, pa.string()))
+    found = dictionary.to_pylist()
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert [found[c] for c in codes[a:b]] == re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# Substring dedup
+
+
+def without_repeats(rows, window):
+    docs = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    seen = collections.Counter(
+        tuple(d[i : i + window]) for d in docs for i in range(len(d) - window + 1)
+    )
+    result = []
+    for (doc_id, _), d in zip(rows, docs):
+        gone = set()
+        for i in range(len(d) - window + 1):
+            if seen[tuple(d[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        result.append((doc_id, len(d), len(gone), " ".join(w for k, w in enumerate(d) if k not in gone)))
+    return in_order(result)
+
+
+@pytest.mark.parametrize("window, unit_bytes", [(35, 2000), (35, 10**7), (7, 2000), (1, 500), (2, 500), (9, 900)])
+def test_substring_dedup(spark, window, unit_bytes):
+    rows = AWKWARD + texts_of(window)
+    found = substring_dedup.remove_repeats(frame(spark, rows), window, unit_bytes=unit_bytes)
+    expected = without_repeats(rows, window)
+    assert tuples(found) == expected and sum(r[2] for r in expected) > 0
+
+
+def test_substring_dedup_of_nothing(spark):
+    assert tuples(substring_dedup.remove_repeats(empty(spark))) == []
+
+
+# Mixing
+
+
+def test_targets_stop_at_twice_the_size():
+    sizes = [100, 1000, 10, 0, 500]
+    wanted = mixing.targets(sizes)
+    assert sum(wanted) == mixing.SHARE * sum(sizes)
+    assert all(t <= 2 * s for t, s in zip(wanted, sizes))
+    open_ = [k for k, (t, s) in enumerate(zip(wanted, sizes)) if t < 2 * s]
+    weight = [5, 2, 1, 5, 2]
+    assert len({wanted[k] / weight[k] for k in open_}) == 1
+    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
+
+
+def cheapest(capacity, quota, max_passes):
+    """Brute force: the most tokens, then the least repetition, over all integer routings."""
+    patterns = list(capacity)
+    best = {(0,) * len(quota): 0}
+    names = list(quota)
+    for p in patterns:
+        following = {}
+        options = [x for x in names if x in p]
+        for used, cost in best.items():
+            def spread(k, left, now, total, used=used, cost=cost):
+                if k == len(options):
+                    extra = sum(max(0, total - t * capacity[p]) for t in range(1, max_passes))
+                    key = tuple(now)
+                    following[key] = min(following.get(key, 10**9), cost + extra)
+                    return
+                at = names.index(options[k])
+                for n in range(0, min(left, quota[options[k]] - now[at]) + 1):
+                    spread(k + 1, left - n, [*now[:at], now[at] + n, *now[at + 1 :]], total + n)
+            spread(0, max_passes * capacity[p], list(used), 0)
+        best = following
+    most = max(sum(used) for used in best)
+    return most, min(cost for used, cost in best.items() if sum(used) == most)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_flow_is_full_and_cheapest(seed):
+    rng = random.Random(seed)
+    capacity = {("a",): rng.randint(0, 4), ("b",): rng.randint(0, 3), ("a", "b"): rng.randint(1, 3), ("b", "c"): 2}
+    quota = {"a": rng.randint(0, 6), "b": rng.randint(0, 6), "c": rng.randint(0, 5)}
+    flows = mixing.route(capacity, quota, 2)
+    used = {p: sum(flows[p, x] for x in p) for p in capacity}
+    assert all(sum(n for (_, x), n in flows.items() if x == name) <= q for name, q in quota.items())
+    cost = sum(max(0, used[p] - capacity[p]) for p in capacity)
+    assert (sum(used.values()), cost) == cheapest(capacity, quota, 2)
+
+
+@pytest.mark.parametrize("last_part", [4, 1024])
+def test_mixing_comes_near_its_targets(spark, monkeypatch, last_part):
+    monkeypatch.setattr(mixing, "LAST_PART", last_part)
+    rng = random.Random(5)
+    rows = [
+        (k, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["A", "A", "A", "a", "b", None, "é"]))
+        for k in range(600)
+    ] + [(None, None, "A"), (7, "x y", "b"), (7, "x y", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit(1))
+
+    def mixed():
+        frame_, sizes, wanted = mixing.mix(docs, F.array("source"))
+        return frame_.select("doc.doc_id", "doc.source", "size", "taken").collect(), sizes, wanted
+
+    found, sizes, wanted = mixed()
+    assert len(found) == len(rows)
+    assert list(sizes) == ["A", "a", "b", "é", None]
+    counted, taken = collections.Counter(), collections.Counter()
+    for r in found:
+        counted[r.source] += r["size"]
+        taken[r.source] += r.taken
+        assert r.taken in (0, r["size"], 2 * r["size"])
+    assert {k: v for k, v in counted.items()} == sizes
+    assert list(wanted.values()) == mixing.targets(list(sizes.values()))
+    # With a short last part, half a document at most is missing or too much.
+    assert all(abs(taken[s] - wanted[s]) <= (20 if last_part == 4 else 2) for s in sizes)
+    again, *_ = mixed()
+    assert in_order(map(tuple, again)) == in_order(map(tuple, found))
+
+
+def test_overlapping_sources_and_documents_of_none(spark):
+    rows = [(k, "a b c d", [["x"], ["y"], ["x", "y"], [], None, ["x", None]][k % 6]) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    found, sizes, wanted = mixing.mix(docs, F.col("sources"))
+    taken = {r.doc_id: r.taken for r in found.select("doc.doc_id", "taken").collect()}
+    assert sizes == {"x": 120, "y": 80, None: 40}
+    assert all(taken[k] == 0 for k in range(60) if k % 6 in (3, 4))
+    assert abs(sum(taken.values()) - min(sum(wanted.values()), 2 * 160)) <= 8
+
+
+def test_taken_documents_are_repeated(spark):
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, "c d", "s")], "doc_id long, text string, source string")
+    kept = mixing.take(docs, F.array("source"))
+    assert kept.columns == docs.columns and kept.count() == 3
+    nothing = mixing.take(empty(spark), F.array("source"))
+    assert nothing.count() == 0
+
+
+# SentencePiece
+
+
+def library(rows):
+    processor = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    coded = [(doc_id, processor.encode(text or "")) for doc_id, text in rows]
+    return in_order((doc_id, ids, processor.decode(ids)) for doc_id, ids in coded)
+
+
+def test_sentencepiece_equals_the_library(spark, monkeypatch):
+    rng = random.Random(2)
+    alphabet = ["a", "b", " ", " ", "  ", "▁", "é", "\n", "\t", "\0", "　", "​", "the", "①", "😀", "ﬁ", "<s>"]
+    rows = AWKWARD + [(k, "".join(rng.choices(alphabet, k=rng.randint(0, 30)))) for k in range(300)]
+    monkeypatch.setattr(sentencepiece_codec, "TABLE_ENTRIES", 50)
+    found = sentencepiece_codec.encode_decode(frame(spark, rows), piece_model())
+    assert tuples(found) == library(rows)
+    assert tuples(sentencepiece_codec.encode_decode(empty(spark), piece_model())) == []
+
+
+# License scan
+
+
+@pytest.fixture(scope="module")
+def model():
+    rng = random.Random(4)
+    voc = ["the", "of", "house", "under", "version", "work", "free", "public", "river", "and", "it"]
+    return license_scan.train([" ".join(rng.choices(voc, k=rng.randint(3, 30))) for _ in range(600)])
+
+
+def test_license_classifier_on_held_out_paragraphs(model):
+    trained, accuracy = model
+    assert accuracy > 0.97 and trained.threshold >= license_scan.MIN_THRESHOLD
+
+
+def test_license_scan(spark, model):
+    statements = [(k, s, f) for k, (f, own) in enumerate(license_scan.STATEMENTS.items(), 100) for s in own[:1]]
+    rows = AWKWARD + [(k, f"the house of the river\n\n{s}\nand it") for k, s, _ in statements]
+    rows += [(200, "word " * 300 + statements[0][1] + " word" * 300), (201, "\n".join(license_scan.NOT_GRANTED))]
+    found = {r.doc_id: r.licenses for r in license_scan.scan(frame(spark, rows), model[0]).collect()}
+    for k, _, family in statements:
+        assert [(x.paragraph, x.family) for x in found[k]] == [(2, family)]
+    assert [x.family for x in found[200]] == [statements[0][2]] and found[201] == []
+    assert all(found[k] == [] for k, _ in AWKWARD)
+    assert license_scan.scan(empty(spark)).count() == 0
+
+
+# Exact top-k
+
+
+def nearest(rows, k=5):
+    usable = [
+        (i, [math.floor(256 * x) for x in v]) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    result = []
+    for i, q in usable:
+        if i % 50:
+            continue
+        held = lambda s: max(-(2**63), min(2**63 - 1, s))
+        scored = sorted(
+            (-held(sum(a * b for a, b in zip(q, v))), j)
+            for j, v in usable if j != i and len(v) == len(q)
+        )
+        result += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:k], 1)]
+    return in_order(result)
+
+
+@pytest.mark.parametrize("scale, blocks", [(1.0, (512, 2048)), (1.0, (2, 5)), (1e5, (3, 7)), (4e6, (2, 50)), (1e13, (2, 50))])
+def test_top_k(spark, monkeypatch, scale, blocks):
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", blocks[0])
+    monkeypatch.setattr(topk_search, "CANDIDATE_BLOCK", blocks[1])
+    rng = random.Random(int(scale))
+    hot = [rng.uniform(-1, 1) * scale for _ in range(4)]
+    rows = [(k, hot if k % 3 == 0 else [rng.uniform(-1, 1) * scale for _ in range(4)]) for k in range(400)]
+    rows += [(None, hot), (500, None), (501, [1.0, None, 0.0, 0.0]), (502, [float("nan")] * 4),
+             (503, [float("inf"), 0.0, 0.0, 0.0]), (550, [1.0, 2.0]), (551, [2.0, 1.0]), (600, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    table = table.withColumns({x: F.lit(0) for x in ("dim", "part", "low", "score", "vector", "block")})
+    assert tuples(topk_search.top_k(table, F.col("vec_id") % 50 == 0)) == nearest(rows)
+
+
+def test_top_k_of_repeated_rows_and_of_nothing(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (1, [1.0]), (1, [1.0]), (2, [2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert tuples(topk_search.top_k(table, F.col("vec_id") % 50 == 0)) == nearest(rows)
+    assert topk_search.top_k(table.filter("vec_id > 9"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+# HTML extraction
+
+
+def page(body, nav="<nav><ul><li><a href=x>m</a></li><li><a href=y>n</a></li></ul></nav>"):
+    return f"<!DOCTYPE html><html><head><title>t</title><style>p</style></head><body>{nav}{body}</body></html>"
+
+
+PAGES = [
+    (1, "http://a.org/1", page("<div class=ad>buy</div><article><h1>One &amp; two</h1><p>a <b>b</b>\n c<p>d<br>e</article><footer>f</footer>"), "One & two\na b c\nd e"),
+    (2, "http://a.org/2", page("<article><h1>X</h1><p>1</p><p>2</p><p>3</p><div class='comments'><p>hi</p></div></article>"), "X\n1\n2\n3"),
+    (3, "http://a.org/3", page("<main><p>in</p><aside>side</aside><form>f <input> g</form></main><p>out</p>"), "in"),
+    (4, "http://b.org/", "<body><ul><li><a>x</a><li><a>y</a></ul><div id=cookie-notice>c</div><div>text<script>if (a < b) '</p>'</script> more</div>", "text more"),
+    (5, "http://b.org/", None, ""), (5, None, "", ""), (None, "no host", "plain &lt;text&gt; &#233;&nbsp;!", "plain <text> é !"),
+    (6, "http://c.org", "a < b and <!-- never closed", "a < b and"),
+    (7, "http://c.org", "<p>" + "long " * 20_000, "long " * 19_999 + "long"),
+    (8, "http://c.org", "<article><p>open <b>bold<p>next<article", "open bold\nnext"),
+    (8, "http://c.org", "<article><p>open <b>bold<p>next<article", "open bold\nnext"),
+]
+
+
+def test_html_extraction(spark):
+    table = spark.createDataFrame([r[:3] for r in PAGES], "page_id long, url string, html string").repartition(4)
+    table = table.withColumns({x: F.lit(x) for x in ("host", "menus", "text", "stream")})
+    found = tuples(html_extraction.extract(table))
+    assert found == in_order((i, url, text) for i, url, _, text in PAGES)
+    assert html_extraction.extract(table.filter("page_id > 100")).count() == 0
+
+
+def test_wrapper_has_optional_and_repeated_groups():
+    streams = [
+        html_extraction.folded(html_extraction.Page(x).stream)
+        for x in ("<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><h2>t</h2><p>y</p><p>z</p>")
+    ]
+    wrapper = html_extraction.as_regex(html_extraction.infer(streams))
+    assert wrapper == "ul ( li # /li )+ /ul ( h2 # /h2 )? ( p # /p )+"
+
+
+def test_generated_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+
+    def article(text):
+        inner = re.search("<article>(.*?)</article>", text, re.S)[1]
+        blocks = (re.sub("</?b>", "", x).replace("<br>", " ") for x in re.split("</?(?:h1|p)>", inner))
+        return "\n".join(x for x in (" ".join(html.unescape(b).split()) for b in blocks) if x)
+
+    found = tuples(html_extraction.extract(spark.createDataFrame(rows)))
+    assert found == in_order((r.page_id, r.url, article(r.html)) for r in rows)
+
+
+# Quality rules
+
+
+def counted(text):
+    own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = list(zip(own, own[1:], own[2:]))
+    seen = collections.Counter(windows)
+    covered = {k + d for k, w in enumerate(windows) if seen[w] > 1 for d in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(own) < 50 or 100 * len(covered) > 50 * len(own)
+    return (len(own), sum(map(len, own)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(covered), failed)
+
+
+def test_quality_counts_and_bands(spark):
+    rng = random.Random(8)
+    prose = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(n)) for n in (60, 400, 4000)]
+    noise = "".join(rng.choices([chr(c) for c in range(0x4E00, 0x9000)], k=6000))
+    noise = " ".join(noise[k : k + 8] for k in range(0, 6000, 8))
+    tail = prose[2][:5000] + " ".join(f"{k % 7} {k % 3}" for k in range(12_000))
+    rows = AWKWARD + texts_of(3) + [(k, t) for k, t in enumerate(prose, 1000)] + [(1010, noise), (1011, tail), (1012, "# | " * 30)]
+    found = {}
+    for r in quality_rules.quality(frame(spark, rows)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    for doc_id, text in rows:
+        assert counted(text) in [tuple(r)[1:7] for r in found[doc_id]]
+    assert all(found[1000 + k][0].kept for k in range(3))
+    for k in (1010, 1011):
+        assert not found[k][0].kept
+    assert all(r.kept is False for own in found.values() for r in own if r.base_failed)
+    kept = quality_rules.keep_good(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    assert kept.count() == sum(r.kept for own in found.values() for r in own)
+    assert quality_rules.quality(empty(spark)).count() == 0
+
+
+def test_bands_judge_by_size():
+    assert quality_rules.in_band(100, 1.4) and not quality_rules.in_band(2000, 0.9)
+    assert not quality_rules.in_band(300, 0.1) and quality_rules.in_band(20_000, 0.43)
+
+
+# Near duplicates
+
+
+def near_classes(rows):
+    own = [minhash.shingles(t or "") for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(own):
+        for j in range(i):
+            if a and own[j] and minhash.overlap(a, own[j]) >= 0.8:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return in_order((doc_id, least.get(find(i))) for i, (doc_id, _) in enumerate(rows))
+
+
+def copies(seed):
+    rng = random.Random(seed)
+    voc = [f"w{k}" for k in range(3000)]
+    base = rng.choices(voc, k=300)
+    rows = AWKWARD + [(300 + k, " ".join(rng.choices(voc, k=60))) for k in range(40)]
+    for k in range(60):  # copies with one to eight changed words: not all near each other
+        copy = list(base)
+        for at in rng.sample(range(300), rng.randint(1, 8)):
+            copy[at] = rng.choice(voc)
+        rows.append((1000 + k, " ".join(copy)))
+    chain = list(base[:200])
+    for k in range(20):  # each near the one before, the ends far apart
+        chain[10 * k % 200] = f"c{k}"
+        rows.append((2000 + k, " ".join(chain)))
+    rows += [(3000 + k, "\n".join(base)) for k in range(5)]
+    return rows + [(4000, "a b c d"), (4001, "a  b c d "), (4002, "a b c")]
+
+
+def test_near_duplicates(spark):
+    rows = copies(6)
+    expected = near_classes(rows)
+    assert tuples(minhash.near_duplicate_classes(frame(spark, rows))) == expected
+    docs = frame(spark, rows)
+    kept = minhash.one_per_class(docs)
+    assert kept.columns == docs.columns
+    with_words = [(i, t) for i, t in rows if t and t.split(None, 1)]
+    classes = {c for i, c in near_classes(with_words)}
+    assert kept.count() == len(classes) + len(rows) - len(with_words)
+    assert minhash.near_duplicate_classes(empty(spark)).count() == 0
+
+
+def test_bag_minhash_is_unbiased():
+    rng = random.Random(1)
+    errors = []
+    for turn in range(60):
+        own = [f"w{rng.randint(0, 50 if turn % 2 else 10**6)}" for _ in range(rng.choice([6, 30, 200]))]
+        other = [w if rng.random() > 0.03 else "zz" for w in own]
+        length = 1 if turn % 3 == 0 else 5
+        pair = [" ".join(own), " ".join(other)]
+        least = minhash.bag_minhash(*minhash.shingle_counts(pa.array(pair), length), 2, m=512)
+        errors.append((least[0] == least[1]).mean() - minhash.overlap(*(minhash.shingles(t, length) for t in pair)))
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.03
+
+
+# LM scoring
+
+
+def test_elias_fano():
+    rng = np.random.default_rng(1)
+    for n, top in ((0, 10), (1, 0), (5, 3), (1000, 50), (1000, 2**63), (3000, 10**6)):
+        values = np.sort(rng.integers(0, top + 1, n, dtype=np.uint64))
+        low_bits, lows, highs = EliasFano.encode(values)
+        sequence = EliasFano(low_bits, n, lows, highs)
+        asked = np.concatenate([values, rng.integers(0, top + 1, 500, dtype=np.uint64), np.array([0, min(2 * top, 2**64 - 1)], np.uint64)])
+        assert (sequence.successor(asked) == np.searchsorted(values, asked)).all()
+        assert (sequence.access(np.arange(n)) == values).all()
+
+
+def scores_by_definition(rows):
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+    own = [
+        (i, zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0,
+         re.findall(r"[^\x20\x09-\x0D]+", lower(t or "")) + [None])
+        for i, t in rows
+    ]
+    count, pairs, context, distinct = (collections.Counter() for _ in range(4))
+    for _, held, tokens in own:
+        if not held:
+            count.update(tokens)
+            for a, b in zip([0, *tokens], tokens):
+                distinct[a] += not pairs[a, b]
+                pairs[a, b] += 1
+                context[a] += 1
+    n, v = sum(count.values()), len(count)
+
+    def coded(p, step, kind):
+        return float(lm_scoring.probability(lm_scoring.quantised(np.array([p]), step, kind), step)[0])
+
+    result = []
+    for i, held, tokens in own:
+        p = [(count[w] + 0.1) / (n + 0.1 * (v + 1)) for w in tokens]
+        score = 0.0
+        for a, b, q in zip([0, *tokens], tokens, p):
+            if context[a]:
+                direct = max(pairs[a, b] - lm_scoring.DISCOUNT, 0) / context[a]
+                weight = lm_scoring.DISCOUNT * distinct[a] / context[a]
+                q = coded(direct, lm_scoring.STEP, np.uint8) + coded(weight, lm_scoring.WEIGHT_STEP, np.uint16) * q
+            score += math.log10(q)
+        result.append((i, held, len(tokens), sum(count[w] > 0 for w in tokens), n, sum(map(math.log10, p)), score))
+    return in_order((*r[:5], round(r[5], 6), round(r[6], 6)) for r in result)
+
+
+@pytest.mark.parametrize("unit_bytes", [2000, 10**7])
+def test_lm_scores(spark, unit_bytes):
+    rows = AWKWARD + texts_of(9)
+    found = lm_scoring.score(frame(spark, rows), unit_bytes=unit_bytes).collect()
+    assert in_order((*r[:5], round(r[5], 6), round(r[6], 6)) for r in map(tuple, found)) == scores_by_definition(rows)
+    assert lm_scoring.score(empty(spark)).count() == 0
+
+
+# Line dedup
+
+
+def test_line_dedup(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(300):
+        site = rng.choice(["a", "a", "a", "b", None, "one"] if k < 295 else ["small"])
+        lines = [f"own {k}", rng.choice(["common", "rare " + str(k % 9), "", "  "]), f"cookies of {site}"]
+        rng.shuffle(lines)
+        rows.append((k, site, rng.choice([None, "\n".join(lines), "\n".join(lines * 2)])))
+    rows += [(1, "a", "x"), (1, "a", "x"), (None, "a", "y")]
+    pages = collections.Counter(site for _, site, _ in rows)
+    having = collections.Counter((site, line) for _, site, t in rows for line in set((t or "").split("\n")))
+
+    def clean(site, text):
+        if text is None:
+            return None
+        return "\n".join(
+            x for x in text.split("\n")
+            if not x.strip() or having[site, x] < 5 or having[site, x] <= 0.1 * pages[site]
+        )
+
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    docs = docs.withColumn("site", F.lit(1)).withColumn("lines", F.lit(2))
+    found = line_dedup.drop_boilerplate(docs, F.col("source"), counts=True)
+    assert found.columns == [*docs.columns, "n_lines", "n_dropped"]
+    expected = in_order((i, s, clean(s, t)) for i, s, t in rows)
+    assert in_order(tuple(r)[:3] for r in found.collect()) == expected
+    assert any(a[2] != b[2] for a, b in zip(in_order(rows), expected))
+    assert line_dedup.drop_boilerplate(empty(spark), F.col("source")).count() == 0
+
+
+def test_line_dedup_without_broadcast(spark, no_broadcast):
+    docs = spark.createDataFrame([(k, "s", f"own {k}\nsame") for k in range(20)], "doc_id long, source string, text string")
+    found = line_dedup.drop_boilerplate(docs, F.col("source"))
+    assert {r.text for r in found.collect()} == {f"own {k}" for k in range(20)}
+
+
+def test_host_of(spark):
+    urls = ["http://A.Org/x?q", "https://b.net:80/#t", "no url", None, ""]
+    table = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert [r.h for r in table.select(line_dedup.host_of(F.col("u")).alias("h")).collect()] == ["a.org", "b.net", None, None, None]
+
+
