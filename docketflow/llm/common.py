@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A word is a run of characters other than these six; bytes.split() splits at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 4 * 1024 * 1024
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
