@@ -1,5 +1,9 @@
 """Every registered query equals its SQL, and runs in Spark alone."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb  # noqa: F401
 import pytest
 from conftest import plan_of
@@ -85,3 +89,19 @@ def test_runs_have_both_outcomes_at_every_scale(spark, sf):
     assert before == {True, False}
     pending = QUERIES["pending_periods"](spark, sf_dir)
     assert {r.camara for r in pending.select("camara").distinct().collect()} >= set(range(23, 28))
+
+
+def test_entry_works_without_the_training_operators():
+    code = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith(("docketflow.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as contract
+from workload.queries import QUERIES
+assert set(contract.queries()) == set(QUERIES) == set(contract.oracle_sql())
+"""
+    repo = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=repo, check=True)
