@@ -56,7 +56,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 UNIT_BYTES = 8 * 1024 * 1024
 # Nodes of a bucket that one task compares with as many others.
-BLOCK = 1500
+BLOCK = 800
 _M = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
@@ -289,9 +289,10 @@ def _close(bucket: pa.Table) -> pa.Table:
         part = np.zeros((len(units), 4096), np.float32)
         part[owner[a:b], column[a:b] - start] = 1
         overlaps += part @ part.T
-    total = sizes[:, None] + sizes[None, :]
-    enough = overlaps.astype(np.float64) * (1 + SIMILARITY) >= SIMILARITY * total - 1e-9
-    close = np.triu(enough, 1)
+    close = np.zeros(overlaps.shape, bool)
+    for i, row in enumerate(overlaps):
+        total = sizes[i] + sizes[i + 1 :]
+        close[i, i + 1 :] = row[i + 1 :].astype(np.float64) * (1 + SIMILARITY) >= SIMILARITY * total - 1e-9
     if between_two:
         close &= block[:, None] != block[None, :]
     parent: dict[str, str] = {}

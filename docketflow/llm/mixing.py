@@ -18,6 +18,7 @@ alone, not on partitions.
 from __future__ import annotations
 
 import heapq
+import json
 from bisect import bisect_left
 from collections.abc import Sequence
 from fractions import Fraction
@@ -36,7 +37,7 @@ SEED = 20240607
 LAST_PART = 1024
 FAN_OUT_BITS = 6
 ORDER_BITS = 63
-NO_NAME, SEPARATOR = "\u0001", "\u0000"
+NO_NAME = ""
 
 
 def n_words(text: Column) -> Column:
@@ -232,7 +233,7 @@ def mix(
     """
     spark = docs.sparkSession
     named = F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit(NO_NAME)))
-    key = F.array_join(F.array_sort(F.array_distinct(F.coalesce(named, F.array()))), SEPARATOR)
+    key = F.to_json(F.array_sort(F.array_distinct(F.coalesce(named, F.array()))))
     whole = F.struct(*(F.col(name) for name in docs.columns)).alias("doc")
     order = F.xxhash64(F.lit(seed), doc_id, text).bitwiseAND(F.lit(2**63 - 1))
     measured = docs.select(
@@ -241,9 +242,9 @@ def mix(
     sized = cut(measured.select("key", "size", "order"))
     totals = {
         r["key"]: r["size"]
-        for r in sized.filter("key <> ''").groupBy("key").agg(F.sum("size").alias("size")).collect()
+        for r in sized.filter("key <> '[]'").groupBy("key").agg(F.sum("size").alias("size")).collect()
     }
-    members = {pattern: tuple(pattern.split(SEPARATOR)) for pattern in totals}
+    members = {pattern: tuple(json.loads(pattern)) for pattern in totals}
     names = sorted({x for own in members.values() for x in own}, key=lambda x: (x == NO_NAME, x))
     sizes = {x: sum(totals[p] for p, own in members.items() if x in own) for x in names}
     wanted = dict(zip(names, targets(list(sizes.values()), weights, share, max_passes)))
