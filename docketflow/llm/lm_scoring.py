@@ -16,8 +16,9 @@ or both; the shard adds the counts up, builds its part of the trie with
 quantised probabilities (a byte, in steps of 7/254 of a decimal power, rounded
 down, so that the probabilities after a context never sum to more than one) and
 answers with one byte for each n-gram asked. A context's weight D n(v) / c(v) is
-quantised to two bytes. Everything counts over all training texts; nothing is
-pruned.
+quantised to two bytes. The steps of a context so frequent that its least value
+lies below 1e-7 are as much wider as it takes to reach that value, so a code of 0
+only stands for 0. Everything counts over all training texts; nothing is pruned.
 
 Null texts are empty and score their end. A text of a null id counts as id ''.
 Repeated rows count and score each by itself. 64-bit hashes stand for words, and
@@ -59,15 +60,31 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 10 == 0
 
 
-def quantised(p: np.ndarray, step: float, kind: type) -> np.ndarray:
+def steps(followed: np.ndarray, least: float, step: float, kind: type) -> np.ndarray:
+    """Step of each context: ``step``, or wider if it takes that to reach ``least / followed``."""
+    if not least:
+        return np.full(len(followed), step)
+    reach = np.log10(np.maximum(followed, 1) / least)
+    return np.maximum(step, reach / (np.iinfo(kind).max - 1))
+
+
+def pair_steps(followed: np.ndarray, discount: float) -> np.ndarray:
+    return steps(followed, np.floor(discount) + 1 - discount, STEP, np.uint8)
+
+
+def weight_steps(followed: np.ndarray, discount: float) -> np.ndarray:
+    return steps(followed, discount, WEIGHT_STEP, np.uint16)
+
+
+def quantised(p: np.ndarray, step: float | np.ndarray, kind: type) -> np.ndarray:
     """Codes of probabilities, rounded down; 0 stands for nothing at all."""
     top = np.iinfo(kind).max
     with np.errstate(divide="ignore"):
         code = np.floor(top + np.log10(p) / step + 1e-9)
-    return np.where(p > 0, np.maximum(code, 0), 0).astype(kind)
+    return np.where(p > 0, np.maximum(code, 1), 0).astype(kind)
 
 
-def probability(code: np.ndarray, step: float) -> np.ndarray:
+def probability(code: np.ndarray, step: float | np.ndarray) -> np.ndarray:
     top = np.iinfo(code.dtype).max
     return np.where(code > 0, 10.0 ** ((code.astype(np.float64) - top) * step), 0.0)
 
@@ -191,11 +208,12 @@ def _learn_and_answer(asked: pa.Table, discount: float) -> pa.Table:
     distinct = np.bincount(number_, minlength=len(contexts))
     with np.errstate(invalid="ignore", divide="ignore"):
         weight = np.where(followed > 0, discount * distinct / followed, 0)
-    codes = quantised(np.maximum(total - discount, 0) / followed[number_], STEP, np.uint8)
+    step = pair_steps(followed, discount)[number_]
+    codes = quantised(np.maximum(total - discount, 0) / followed[number_], step, np.uint8)
     with scratch() as folder:
         trie = Trie.build(
             folder, contexts, number_, successor_,
-            quantised(weight, WEIGHT_STEP, np.uint16), codes,
+            quantised(weight, weight_steps(followed, discount), np.uint16), codes,
         )
         rows = []
         for words_, _, per_word, short, _ in sent:
@@ -213,7 +231,9 @@ def _learn_and_answer(asked: pa.Table, discount: float) -> pa.Table:
     )
 
 
-def _score(table: pa.Table, found: pa.Table, n_shards: int, n_tokens: int, n_words: int) -> pa.Table:
+def _score(
+    table: pa.Table, found: pa.Table, n_shards: int, n_tokens: int, n_words: int, discount: float
+) -> pa.Table:
     unit = _Unit(table)
     counts = np.zeros(len(unit.words), np.uint64)
     weights = np.zeros(len(unit.words), np.uint16)
@@ -224,9 +244,13 @@ def _score(table: pa.Table, found: pa.Table, n_shards: int, n_tokens: int, n_wor
             answers[shard], np.uint64, np.uint16, np.uint8
         )
     base = (counts.astype(np.float64) + ADDED) / (n_tokens + ADDED * (n_words + 1))
-    weight = probability(weights, WEIGHT_STEP)
-    weight[weights == 0] = 1.0  # a context that no training text has
-    pair = np.log10(probability(codes, STEP) + weight[unit.before] * base[unit.after])
+    # A word is followed as often as it is found, and a begin is as frequent as an end.
+    followed = counts.astype(np.float64)
+    followed[unit.words == BEGIN] = followed[unit.words == END]
+    weight = probability(weights, weight_steps(followed, discount))
+    weight[followed == 0] = 1.0  # a context that no training text has
+    seen = probability(codes, pair_steps(followed, discount)[unit.before])
+    pair = np.log10(seen + weight[unit.before] * base[unit.after])
 
     def by_text(values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, unit.starts) if len(unit.starts) else values
@@ -276,7 +300,7 @@ def score(
     by_unit = dealt.groupBy("unit")
     ask = partial(_ask, n_shards=n)
     learn = partial(_learn_and_answer, discount=discount)
-    finish = partial(_score, n_shards=n, n_tokens=n_tokens, n_words=n_words)
+    finish = partial(_score, n_shards=n, n_tokens=n_tokens, n_words=n_words, discount=discount)
     found = (
         by_unit.applyInArrow(lambda table: ask(table), _ASKED_SQL)
         .groupBy("shard")

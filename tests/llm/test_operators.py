@@ -25,7 +25,7 @@ from docketflow.llm import (
     substring_dedup,
     topk_search,
 )
-from docketflow.llm.common import piece_model, words
+from docketflow.llm.common import hashes, piece_model, words
 from docketflow.llm.elias_fano import EliasFano
 
 AWKWARD = [
@@ -505,6 +505,56 @@ def test_lm_scores(spark, unit_bytes):
     assert lm_scoring.score(empty(spark)).count() == 0
 
 
+def test_lm_scores_of_contexts_above_ten_million():
+    """A seen pair keeps its discounted mass, and a stock phrase its small weight."""
+    many = 220_000_000
+    rows = pa.table({
+        "doc_id": [1, 2, 3], "text": ["the rare", "stock phrase", "stock rare"], "held_out": [False, False, True],
+        "unit": [0, 0, 0], "row": [0, 1, 2],
+    })
+    asked = lm_scoring._ask(rows, 1)
+    unit = lm_scoring._Unit(rows)
+    words, counts, per_word, short, pairs = map(np.copy, lm_scoring._asked(asked["ngrams"][0].as_py()))
+    name = dict(zip(hashes(pa.array(["the", "rare", "stock", "phrase"])).tolist(), ["the", "rare", "stock", "phrase"]))
+    name |= {int(lm_scoring.BEGIN): "begin", int(lm_scoring.END): "end"}
+    named = [name[w] for w in words.tolist()]
+    at = {(named[a], named[b]): k for k, (a, b) in enumerate(zip(unit.before, unit.after))}
+    # "the" is followed by "rare" once and by an end else; "stock" always by "phrase".
+    counts[[named.index(x) for x in ("the", "stock", "phrase", "end")]] = many
+    pairs[[at["stock", "phrase"], at["phrase", "end"]]] = many
+    pairs[at["begin", "the"]] = many - 1
+    end = np.uint64(lm_scoring.mixed(np.array([lm_scoring.END]))[0] & lm_scoring._LOW)
+    more = lm_scoring._join(
+        np.array([words[named.index("the")]]), np.zeros(1, np.uint32), np.ones(1, np.uint32),
+        np.array([end], np.uint64).astype(np.uint32), np.array([end >> np.uint64(32)]).astype(np.uint8),
+        np.array([many - 1], np.uint32),
+    )
+    sent = lm_scoring._join(
+        np.diff(words, prepend=np.uint64(0)), counts, per_word.astype(np.uint32), short.astype(np.uint32),
+        (short >> np.uint64(32)).astype(np.uint8), pairs,
+    )
+    asked = pa.table({"unit": [0, 1], "shard": [0, 0], "ngrams": [sent, more]}, schema=lm_scoring._ASKED)
+    found = lm_scoring._learn_and_answer(asked, 0.9).slice(0, 1)
+    n, v = 4 * many, 4
+    scored = lm_scoring._score(rows, found, 1, n, v, 0.9)
+    base = {w: (int(counts[named.index(w)]) + 0.1) / (n + 0.1 * (v + 1)) for w in named}
+    seen, distinct, followed = collections.Counter(), collections.Counter(), {}
+    for (a, b), k in at.items():
+        seen[a, b] = int(pairs[k])
+    seen["the", "end"] = many - 1
+    for (a, b), k in seen.items():
+        distinct[a] += k > 0
+    followed = {w: int(counts[named.index(w)]) for w in named} | {"begin": many}
+    for k, text in enumerate(rows["text"].to_pylist()):
+        own = ["begin", *text.split(), "end"]
+        expected = sum(
+            math.log10((max(seen[a, b] - 0.9, 0) + 0.9 * distinct[a] * base[b]) / followed[a])
+            for a, b in zip(own, own[1:])
+        )
+        # Rounded down by a step of 0.04 decimal powers at most for each of three tokens.
+        assert expected - 0.12 < scored["score"][k].as_py() <= expected + 1e-6
+
+
 # Line dedup
 
 
