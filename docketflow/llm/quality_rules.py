@@ -3,7 +3,8 @@
 How well zstandard compresses a text tells repetition (far too well) and noise
 (hardly at all) from prose. The ratio, compressed by plain size in bytes, is
 taken of the whole text and of its chunks of fixed size; both must lie in the
-band of their size.
+band of their size. What is left at the end is a chunk too: it is judged by the
+band of its own length, and as the end of the last bytes of full chunk size.
 
 Null and empty texts, and texts without words, have zero counts, fail the base
 rules and are not kept. Repeated rows each get their own row. Every column but
@@ -68,6 +69,18 @@ def repeated_words(words: list[bytes], length: int = 3) -> int:
     return covered
 
 
+def bad_chunks(text: bytes, compress) -> float:
+    """Share of the chunks out of their band."""
+    bad = []
+    for start in range(0, len(text), CHUNK_BYTES):
+        chunk = text[start : start + CHUNK_BYTES]
+        judged = [chunk]
+        if start and len(chunk) < CHUNK_BYTES:  # a short rest alone says little
+            judged.append(text[-CHUNK_BYTES:])
+        bad.append(not all(in_band(len(x), len(compress(x)) / len(x)) for x in judged))
+    return sum(bad) / len(bad) if bad else 0.0
+
+
 def rules(text: bytes | None, compress) -> tuple:
     """All columns of SCHEMA for one text."""
     text = text or b""
@@ -76,12 +89,7 @@ def rules(text: bytes | None, compress) -> tuple:
     n_repeat = repeated_words(words)
     failed = len(words) < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * len(words)
     ratio = len(compress(text)) / len(text) if text else 0.0
-    chunks = [
-        text[start : start + CHUNK_BYTES]
-        for start in range(0, len(text) - CHUNK_BYTES + 1, CHUNK_BYTES)
-    ]
-    bad = sum(not in_band(CHUNK_BYTES, len(compress(chunk)) / CHUNK_BYTES) for chunk in chunks)
-    bad_share = bad / len(chunks) if chunks else 0.0
+    bad_share = bad_chunks(text, compress)
     return (
         len(words),
         len(text.translate(None, _SPACE + _TRAILING)),

@@ -1,5 +1,6 @@
 """The operators against brute force on small, awkward data."""
 
+import base64
 import collections
 import html
 import math
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+import zstandard
 from pyspark.sql import functions as F
 
 from docketflow.llm import (
@@ -382,6 +384,22 @@ def test_bands_judge_by_size():
     assert not quality_rules.in_band(300, 0.1) and quality_rules.in_band(20_000, 0.43)
 
 
+def test_bad_tail_is_judged():
+    rng = random.Random(3)
+    voc = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(900)]
+    prose = " ".join(rng.choices(voc, k=3000)).encode()
+    noise = base64.b64encode(rng.randbytes(9000))
+    noise = b" ".join(noise[k : k + 12] for k in range(0, len(noise), 12))
+    compress = zstandard.ZstdCompressor(level=quality_rules.LEVEL).compress
+    judged = lambda text: quality_rules.rules(text, compress)
+    for n in (1, 200, 255, 300, 2048, 4095):
+        assert judged(prose[: 4096 + n])[-3] and judged(prose[: 4096 + n])[-1] == 0
+    for n in (2048, 4095):
+        tailed = judged(prose[:4096] + noise[:n])
+        assert quality_rules.in_band(4096 + n, tailed[-2])  # as a whole it would pass
+        assert not tailed[-3] and tailed[-1] == 0.5
+
+
 # Near duplicates
 
 
