@@ -322,6 +322,22 @@ def test_html_extraction(spark):
     assert html_extraction.extract(table.filter("page_id > 100")).count() == 0
 
 
+@pytest.mark.parametrize("html_, text", [
+    ("<body class='right-sidebar'><p>a</p></body>", "a"),
+    ("<html class=no-search><body class='no-sidebar'><article class='post comment-open'><p>a</p></article></body></html>", "a"),
+    ("<main class=widget><p>a</p></main><p>b</p>", "a"),
+    ("<div id='content-with-header'><p>a</p></div><div class=no-sidebar><p>b</p></div>", "a\nb"),
+    ("<div class=right-sidebar><main><p>a</p></main><p>s</p></div>", "a"),
+    ("<div class=widget><article><p>a</p><div class=share>s</div></article></div>", "a"),
+    ("<article><p>a</p></article><div class=sidebar><article><p>s</p></article></div>", "a"),
+    ("<div><p>a</p></div><div id=comments><article><p>c</p></article></div>", "a"),
+    ("<div class=right-sidebar>s</div><div class='box siteHeader'>h</div><div id=cookie-notice>c</div><div>a</div>", "a"),
+    ("<div class=entry-header><h1>t</h1></div><div>a</div><div class=post-comments>c</div>", "t\na"),
+])
+def test_class_words_of_themes(html_, text):
+    assert html_extraction.main_text(html_, set()) == text
+
+
 def test_wrapper_has_optional_and_repeated_groups():
     streams = [
         html_extraction.folded(html_extraction.Page(x).stream)
