@@ -1,18 +1,21 @@
 """License scan with a trained paragraph classifier.
 
-A paragraph is a line of a text. Its features are one- and two-word n-grams in
+A paragraph is the text between blank lines, however its lines are wrapped. Its features are one- and two-word n-grams in
 lower case, those that several training paragraphs share, scaled by its length;
 a softmax regression over the licence families and "none" judges them, for long
-paragraphs in overlapping windows of ``WINDOW`` words. It is trained on variants
+paragraphs in overlapping windows of ``WINDOWS`` words. It is trained on variants
 of the families' statements and on a bounded sample of the corpus' own
 paragraphs as "none" (about ``NONE_SAMPLE`` paragraphs, at most twice as many).
 
 The unknown class is calibrated on a third of the training data that the
 regression does not see: its scores are divided by the temperature that makes
 them most likely, and the least threshold is taken above which no paragraph of
-"none" is found, ``MIN_THRESHOLD`` at least. A paragraph above it is confirmed
-if it holds ``CONFIRMED`` of the three-word n-grams of one of the family's
-statements, in any place of the paragraph.
+"none" is found, ``MIN_THRESHOLD`` at least. Every family that is above it in a
+window, against "none" alone (other families may be there too), is confirmed if
+``CONFIRMED`` of the three-word n-grams of one of its statements stand close to
+the window, within twice the statement's length and a window; words without a
+letter or digit, as marks of comments, do not count. Of places that overlap the
+fullest is kept, so a paragraph can have any number of licences.
 
 Null, empty and wordless texts have no licence. Any length of text is judged
 whole, every row by itself; other columns are ignored.
@@ -21,6 +24,7 @@ whole, every row by itself; other columns are ignored.
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -40,6 +44,8 @@ EPOCHS = 200
 MIN_THRESHOLD = 0.6
 CONFIRMED = 0.6
 WINDOW = 24
+# A short statement is lost in a wide window of other text.
+WINDOWS = (WINDOW, 10)
 SEED = 7
 NONE = "none"
 
@@ -234,29 +240,115 @@ def none_sample(docs: DataFrame, text: str, n: int = NONE_SAMPLE) -> list[str]:
     return sorted(r["line"] for r in rows)[: 2 * n]
 
 
-def _trigrams(text: str) -> set[tuple[str, ...]]:
-    own = _normal(pa.array(text.lower().split(), pa.string())).to_pylist()
-    return set(zip(own, own[1:], own[2:])) or {tuple(own)}
+_BLANK = r"\n(?:[ \t\x0b\x0c\r]*\n)+"
+_AROUND = ".,;:!?()[]{}\"'*_`|<>"
 
 
-def confirmed(family: str, paragraph: str) -> bool:
-    """Whether the paragraph holds enough of one of the family's statements."""
-    found = _trigrams(paragraph)
-    return any(
-        len(own & found) >= CONFIRMED * len(own) for own in map(_trigrams, STATEMENTS[family])
-    )
+def _read(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Normal words with a letter or digit, and the line and the place in words of each."""
+    words_, line_of, place_of = [], [], []
+    place = 0
+    for k, line in enumerate(text.encode().split(b"\n")):
+        for word in line.split():
+            own = word.decode().lower().strip(_AROUND)
+            if any(map(str.isalnum, own)):
+                words_.append(own)
+                line_of.append(k)
+                place_of.append(place)
+            place += 1
+    return words_, np.array(line_of, int), np.array(place_of, int)
 
 
-def judge(paragraphs: pa.Array, model: Model) -> list[tuple[int, str, float]]:
-    """``(paragraph, family, probability)`` of those that a family is found in."""
-    found, owner, place, sizes = ngrams(paragraphs)
-    if not len(found):
-        return []
-    there, number = known(found, model.ngrams)
-    owner, place = owner[there], place[there]
-    none = len(model.families) - 1
+def _trigrams(own: Sequence[str]) -> list[tuple[str, ...]]:
+    return list(zip(own, own[1:], own[2:]))
+
+
+_OWN = {
+    family: [set(_trigrams(_read(x)[0])) for x in statements]
+    for family, statements in STATEMENTS.items()
+}
+
+
+def places(family: str, own: Sequence[str]) -> list[tuple[float, int, int]]:
+    """``(fit, first, last)``: words that hold enough of one of the family's statements.
+
+    The fit is the share of the statement, less by what stands between its parts.
+    """
+    found = []
+    trigrams = _trigrams(own)
+    for statement in _OWN[family]:
+        reach = 2 * (len(statement) + 2) + WINDOW
+        at = [k for k, x in enumerate(trigrams) if x in statement]
+        for start in range(len(at)):
+            seen: set[tuple[str, ...]] = set()
+            end = start
+            # On to the last trigram that is new; a repeat after enough is the next statement.
+            for k in range(start, len(at)):
+                if at[k] - at[start] > reach:
+                    break
+                again = trigrams[at[k]] in seen
+                if again and len(seen) >= CONFIRMED * len(statement):
+                    break
+                if not again:
+                    seen.add(trigrams[at[k]])
+                    end = k
+            if len(seen) >= CONFIRMED * len(statement):
+                extent = max(len(statement), at[end] - at[start] + 1)
+                found.append((len(seen) / extent, at[start], at[end] + 2))
+    return found
+
+
+def _licences(
+    paragraph: str, windows: Sequence[tuple[int, int, str, float]]
+) -> list[tuple[int, int, int, int, str, float]]:
+    """``(first word, last word, first line, last line, family, probability)`` of windows ``(place, width, family, chance)``."""
+    own, line_of, place_of = _read(paragraph)
+    candidates = []
+    for family in sorted({x[2] for x in windows}):
+        for fit, first, last in places(family, own):
+            low, high = place_of[first], place_of[last]
+            chances = [
+                chance for start, width, name, chance in windows
+                if name == family and start <= high and low < start + width
+            ]
+            if chances:
+                candidates.append((fit, last - first, max(chances), first, last, family))
+    kept: list[list] = []
+    for candidate in sorted(candidates, key=lambda x: (*(-y for y in x[:3]), *x[3:])):
+        fit, _, chance, first, last, family = candidate
+        # Neighbours may share a word.
+        met = [x for x in kept if min(last, x[1]) > max(first, x[0])]
+        if not met:
+            kept.append([first, last, chance, family])
+        elif fit >= CONFIRMED and len(met) == 1 and met[0][3] == family:
+            met[0][:2] = min(first, met[0][0]), max(last, met[0][1])  # a longer form of it
+    return [
+        (
+            int(place_of[first]), int(place_of[last]), int(line_of[first]), int(line_of[last]),
+            family, chance,
+        )
+        for first, last, chance, family in kept
+    ]
+
+
+def _without(paragraph: str, spans: Sequence[tuple[int, int]]) -> str:
+    """The paragraph with a word that says nothing for each word of the spans."""
+    taken = {place for first, last in spans for place in range(first, last + 1)}
+    place, lines = 0, []
+    for line in paragraph.encode().split(b"\n"):
+        own = line.split()
+        lines.append(b" ".join(b"x0x" if place + k in taken else x for k, x in enumerate(own)))
+        place += len(own)
+    return b"\n".join(lines).decode()
+
+
+def _windows(
+    known_ngrams: tuple[np.ndarray, ...], sizes: np.ndarray, model: Model, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Paragraph, place and probabilities of each window that has a known n-gram."""
+    number, owner, place = known_ngrams
     # Windows overlap by half, so every statement of half a window lies in one of them.
-    half = WINDOW // 2
+    half = width // 2
     spans = np.maximum(1, -(-(sizes - half) // half))
     base = np.cumsum(spans) - spans
     own = np.minimum(place // half, spans[owner] - 1)
@@ -265,32 +357,75 @@ def judge(paragraphs: pa.Array, model: Model) -> list[tuple[int, str, float]]:
     windows, number = windows[inside], np.concatenate([number, number])[inside]
     asked, at = np.unique(windows, return_inverse=True)
     logits = np.stack(
-        [np.bincount(at, model.weights[number, k], len(asked)) for k in range(none + 1)], axis=1
+        [np.bincount(at, model.weights[number, k], len(asked)) for k in range(len(model.families))],
+        axis=1,
     )
     paragraph = np.searchsorted(base, asked, side="right") - 1
-    length = np.clip(sizes[paragraph] - (asked - base[paragraph]) * half, 1, WINDOW)
+    start = (asked - base[paragraph]) * half
+    length = np.clip(sizes[paragraph] - start, 1, width)
     logits = logits / np.sqrt(2 * length - 1)[:, None] + model.bias
-    p = softmax(logits / model.temperature)[:, :none]
-    best = np.flatnonzero(p.max(axis=1) >= model.threshold)
-    result: dict[int, tuple[int, str, float]] = {}
-    for window in best[np.argsort(-p[best].max(axis=1), kind="stable")]:
-        k = int(paragraph[window])
-        family = model.families[int(p[window].argmax())]
-        if k not in result and confirmed(family, paragraphs[k].as_py()):
-            result[k] = (k, family, float(p[window].max()))
-    return list(result.values())
+    return paragraph, start, softmax(logits / model.temperature)
+
+
+def judge(paragraphs: pa.Array, model: Model) -> list[tuple[int, int, int, str, float]]:
+    """``(paragraph, first line in it, last line, family, probability)`` of every licence.
+
+    What is left of a paragraph beside its licences is judged again until nothing
+    is found, for a clear licence can outweigh its neighbour.
+    """
+    found: dict[int, list[tuple[int, int, int, int, str, float]]] = {}
+    numbers, texts = range(len(paragraphs)), paragraphs
+    while more := _judged(texts, model):
+        for k, own in more.items():
+            found.setdefault(numbers[k], []).extend(own)
+        left = [_without(texts[k].as_py(), [x[:2] for x in own]) for k, own in more.items()]
+        numbers, texts = [numbers[k] for k in more], pa.array(left, pa.string())
+    return [(k, *licence[2:]) for k in sorted(found) for licence in sorted(found[k])]
+
+
+def _judged(
+    paragraphs: pa.Array, model: Model
+) -> dict[int, list[tuple[int, int, int, int, str, float]]]:
+    """The licences that one pass finds in each paragraph that has any."""
+    found, owner, place, sizes = ngrams(paragraphs)
+    if not len(found):
+        return {}
+    there, number = known(found, model.ngrams)
+    none = len(model.families) - 1
+    above: dict[int, list[tuple[int, int, str, float]]] = {}
+    for width in WINDOWS:
+        paragraph, start, p = _windows((number, owner[there], place[there]), sizes, model, width)
+        # Against "none" alone: families that meet in a window take chance from each other.
+        alone = p[:, :none] / (p[:, :none] + p[:, none:])
+        for window, family in zip(*np.nonzero(alone >= model.threshold)):
+            above.setdefault(int(paragraph[window]), []).append(
+                (int(start[window]), width, model.families[family], float(p[window, family]))
+            )
+    licences = {k: _licences(paragraphs[k].as_py(), own) for k, own in above.items()}
+    return {k: own for k, own in licences.items() if own}
 
 
 def _scan(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        lines = pc.split_pattern(pc.fill_null(batch.column("text"), ""), "\n")
-        document = pc.list_parent_indices(lines).to_numpy(zero_copy_only=False)
-        first = np.searchsorted(document, np.arange(batch.num_rows))
+        texts = pc.fill_null(batch.column("text"), "")
+        blocks = pc.split_pattern_regex(texts, _BLANK)
+        document = pc.list_parent_indices(blocks).to_numpy(zero_copy_only=False)
+        start = np.searchsorted(document, np.arange(batch.num_rows))
         found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-        for paragraph, family, chance in judge(lines.flatten(), model):
-            at = int(document[paragraph])
+        line_at: dict[int, list[int]] = {}
+        for block, first, last, family, chance in judge(blocks.flatten(), model):
+            at = int(document[block])
+            if at not in line_at:
+                text = texts[at].as_py()
+                ends = [x.end() for x in re.finditer(_BLANK, text)]
+                breaks = [text.count("\n", a, b) for a, b in zip([0, *ends], ends)]
+                line_at[at] = [0, *np.cumsum(breaks, dtype=int).tolist()]
+            line = line_at[at][int(block - start[at])]
             found[at].append(
-                {"paragraph": int(paragraph - first[at]), "family": family, "probability": chance}
+                {
+                    "paragraph": line + first, "last": line + last,
+                    "family": family, "probability": chance,
+                }
             )
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(found, _FOUND)], ["doc_id", "licenses"]
@@ -298,17 +433,22 @@ def _scan(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Record
 
 
 _FOUND = pa.list_(
-    pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64())])
+    pa.struct(
+        [
+            ("paragraph", pa.int32()), ("last", pa.int32()),
+            ("family", pa.string()), ("probability", pa.float64()),
+        ]
+    )
 )
 
 
 def scan(
     docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``(doc_id, licenses)``: the licence paragraphs of each document.
+    """``(doc_id, licenses)``: the licences of each document.
 
-    ``licenses`` is an array of ``(paragraph, family, probability)``, paragraphs
-    counted from 0. Without a model one is trained on the documents' own sample.
+    ``licenses`` is an array of ``(paragraph, last, family, probability)``, the
+    first and the last line of each, counted from 0. Without a model one is trained on the documents' own sample.
     """
     if model is None:
         model, _ = train(none_sample(docs, text))
@@ -316,5 +456,6 @@ def scan(
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(
         partial(_scan, model=model),
-        f"doc_id {kind}, licenses array<struct<paragraph:int,family:string,probability:double>>",
+        f"doc_id {kind},"
+        " licenses array<struct<paragraph:int,last:int,family:string,probability:double>>",
     )

@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -252,6 +253,20 @@ def test_license_scan(spark, model):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def test_wrapped_notices(spark, model):
+    rows, expected = [], {}
+    for k, (family, own) in enumerate(license_scan.STATEMENTS.items()):
+        for n, statement in enumerate(own):
+            for width, mark in ((40, ""), (72, " * "), (76, "# ")):
+                lines = textwrap.wrap("Copyright of the house. " * (n % 2) + statement, width)
+                rows.append((1000 * k + 100 * n + width, "the river\r\n \n\n" + "\n".join(mark + x for x in lines) + "\n\nand it"))
+                expected[rows[-1][0]] = (family, 3, 2 + len(lines))
+    found = {r.doc_id: r.licenses for r in license_scan.scan(frame(spark, rows), model[0]).collect()}
+    for k, (family, first, last) in expected.items():
+        assert [x.family for x in found[k]] == [family], k
+        assert first <= found[k][0].paragraph <= found[k][0].last <= last
+
+
 # Exact top-k
 
 
