@@ -267,6 +267,16 @@ def test_wrapped_notices(spark, model):
         assert first <= found[k][0].paragraph <= found[k][0].last <= last
 
 
+def test_several_licences_in_a_line(spark, model):
+    mit, by, apache = "Released under the MIT License.", "Licensed under CC BY 4.0.", license_scan.STATEMENTS["Apache-2.0"][0]
+    house = " the house of the river" * 40
+    rows = [(1, f"Code {mit}{house} {by} it"), (2, f"{mit} {by}"), (3, f"{apache} {mit}{house} {mit}"), (4, f"{mit}\n{by}\n{mit}")]
+    found = {r.doc_id: [(x.paragraph, x.family) for x in r.licenses] for r in license_scan.scan(frame(spark, rows), model[0]).collect()}
+    assert found[1] == found[2] == [(0, "MIT"), (0, "CC-BY-4.0")]
+    assert found[3] == [(0, "Apache-2.0"), (0, "MIT"), (0, "MIT")]
+    assert found[4] == [(0, "MIT"), (1, "CC-BY-4.0"), (2, "MIT")]
+
+
 # Exact top-k
 
 
