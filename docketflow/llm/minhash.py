@@ -110,7 +110,8 @@ def bag_minhash(
         first = mixed(seed[:, None] + number * _STEP)
         second = mixed(first ^ _OTHER)
         gaps = -np.log(((first >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
-        points = at[:, None] + np.cumsum(gaps / rate[:, None], axis=1)
+        # Added in order from the start, so that the width never shows in the last bit.
+        points = np.cumsum(np.column_stack([at, gaps / rate[:, None]]), axis=1)[:, 1:]
         component = (second >> np.uint64(32)).astype(np.int64) * m >> 32
         part = (second & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32
         unit = below[:, None] + 1 + np.floor(part * rate[:, None])

@@ -508,6 +508,15 @@ def test_bag_minhash_is_unbiased():
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.03
 
 
+def test_signature_of_a_text_alone_and_in_a_batch():
+    rng = random.Random(5)
+    few = [" ".join(f"w{rng.randint(0, 9**6)}" for _ in range(rng.choice([8, 14, 60]))) for _ in range(50)]
+    many = few + [" ".join(f"w{rng.randint(0, 9**6)}" for _ in range(400)) for _ in range(300)]
+    sign = lambda texts: minhash.bag_minhash(*minhash.shingle_counts(pa.array(texts)), len(texts))
+    together = sign(many)[: len(few)]
+    assert (np.concatenate([sign([x]) for x in few]) == together).all()
+
+
 # LM scoring
 
 
