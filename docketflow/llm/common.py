@@ -115,6 +115,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_tokenizer() -> str:
+    """The tokenizer of the packing query, from the installed public package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows read from Parquet in the shared folder: smaller than a checkpoint."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}"

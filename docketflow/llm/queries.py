@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.llm import (
+    divergence,
     html_extraction,
     license_scan,
     line_dedup,
     lm_scoring,
+    merkle,
     minhash,
     mixing,
+    packing,
     quality_rules,
     sentencepiece_codec,
     substring_dedup,
     topk_search,
 )
-from docketflow.llm.common import load, piece_model
+from docketflow.llm.common import load, piece_model, word_tokenizer
 from docketflow.llm.oracle import ORACLE_SQL
 
 
@@ -95,6 +98,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, F.col("source"), counts=True)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(load(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(load(spark, sf_dir, "documents"), word_tokenizer())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -108,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_lm_scoring,
         op10_line_dedup,
+        op11_merkle_manifest,
+        op12_source_divergence,
+        op13_packing,
     )
 }
 
