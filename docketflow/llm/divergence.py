@@ -54,6 +54,9 @@ NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 # Counts in the columns of a block of the vocabulary; bounds what a task holds.
 BLOCK_COUNTS = 4_000_000
 
+# Sources whose counts decide in which range of the vocabulary a term lies.
+LEADING_COUNTS = 2
+
 COUNTED = "lang string, source string, term string, count long, docs long"
 
 
@@ -223,7 +226,8 @@ def _pairs(vocabulary: DataFrame, groups: DataFrame) -> DataFrame:
     most = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
     block_terms = max(1, BLOCK_COUNTS // most)
     blocks = written(
-        vocabulary.repartitionByRange("lang", "counts", "term")
+        # The leading counts decide the range: whole rows of counts would make long sampled keys.
+        vocabulary.repartitionByRange("lang", F.slice("counts", 1, LEADING_COUNTS), "term")
         .sortWithinPartitions("lang", "counts", "term")
         .withColumn("place", F.monotonically_increasing_id())
         .withColumn("block", F.expr(f"place div {block_terms}"))

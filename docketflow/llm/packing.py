@@ -16,8 +16,9 @@ holds its open windows and one slice of texts; the partitions' leftovers are
 bounded by the number of windows, whatever the size of a source or text.
 
 Words are encoded once for each distinct one of a task: the tokenizer must drop
-white space and encode the words between it independently, which is checked on
-samples when it is loaded. A document's ids are followed by one end id. Null and
+white space and encode the words between it independently, and plain ASCII words
+must fall into parts by one rule, which is checked against the library on samples
+when it is loaded. A document's ids are followed by one end id. Null and
 empty texts, and texts without ids, are that id alone. Texts of any length,
 repeated rows and null ids are packed as they are; other columns are ignored. An
 empty table has no pieces. The packing depends on the partitions' rows in their
@@ -27,12 +28,14 @@ order; a task that is computed again packs alike, and each round is stored.
 from __future__ import annotations
 
 import os
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,39 +54,107 @@ TABLE_ENTRIES = 200_000
 ROUND_BITS, TASK_BITS = 58, 32
 
 
+# A word of these characters alone is cut into parts by rule, one part at a time.
+PLAIN_WORD = r"^[\x21-\x7E]+$"
+PART = r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ a-z0-9]+)"
+
+
+def gathered(
+    flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` that ``codes`` name, one after the other, and where each starts.
+
+    Stretch k has the ``lengths[k]`` elements after those of the stretches before it. The last
+    number of the starts is the end.
+    """
+    own = lengths[codes]
+    starts = np.concatenate([[0], np.cumsum(own)])
+    first = np.cumsum(lengths) - lengths
+    at = np.repeat(first[codes] - starts[:-1], own)
+    at += np.arange(starts[-1])
+    return flat[at], starts
+
+
+class _Ids:
+    """The ids of each distinct text that was asked for, learnt when it is first met."""
+
+    def __init__(self, learn) -> None:
+        self.learn, self.known = learn, {}
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has."""
+        if len(self.known) > TABLE_ENTRIES:
+            self.known.clear()
+        new = [text for text in texts if text not in self.known]
+        for text, ids in zip(new, self.learn(new)):
+            self.known[text] = array("I", ids).tobytes()
+        found = [self.known[text] for text in texts]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), lengths
+
+
 class WordTable:
-    """The ids of each distinct word."""
+    """Ids of words by a table of the distinct ones.
+
+    Words of plain ASCII are cut into parts (contractions, letters, digits, other marks) and each
+    distinct part is encoded once; other words are encoded whole, once each.
+    """
 
     def __init__(self, tokenizer: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        for text in ("a b", " a\n\tb  ", "x1 'S.\x0b́e \x0c한\r-"):
-            whole = self.tokenizer.encode(text, add_special_tokens=False).ids
-            parts = self.tokenizer.encode_batch(text.split(), add_special_tokens=False)
-            if whole != [k for part in parts for k in part.ids]:
-                raise ValueError("this tokenizer does not encode words independently")
-        self.ids: dict[str, np.ndarray] = {}
+        model = self.tokenizer.model
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = _Ids(lambda new: ([x.id for x in model.tokenize(part)] for part in new))
+        self.words = _Ids(lambda new: (x.ids for x in self._library(new)))
+        self._check()
+
+    def _library(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
+
+    def _check(self) -> None:
+        """Whether this tokenizer does drop white space and cut plain words by the rule."""
+        marks = [chr(k) for k in range(0x21, 0x7F)]
+        pairs = [f"{a}{b}" for a in ("'", "-", "aB", "7", ".") for b in marks]
+        contracted = "it's 'S --'s I'LL 'veto don't 've'd 're'm a'l 'l x''s 12's"
+        texts = [
+            "a b", " a\n\tb  ", "x1 'S.\x0b\u0301e \x0c\u1112\u1161\u11ab\r-", " ".join(marks),
+            "".join(marks), " ".join(pairs), "".join(pairs), contracted, *self.special,
+        ]
+        ids, bounds = self.encode(pa.array(texts))
+        if any(
+            whole.ids != ids[a:b].tolist()
+            for whole, a, b in zip(self._library(texts), bounds, bounds[1:])
+        ):
+            raise ValueError("this tokenizer does not encode words independently")
+
+    def _words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the distinct words one after the other, and how many each has."""
+        plain = pc.match_substring_regex(distinct, PLAIN_WORD)
+        for content in self.special:
+            plain = pc.and_not(plain, pc.match_substring(distinct, content))
+        cut = pc.replace_substring_regex(pc.ascii_lower(distinct.filter(plain)), PART, r" \1 ")
+        part_names, part_codes, bounds = words(cut)
+        ids, lengths = self.parts.of(part_names.to_pylist())
+        ids, starts = gathered(ids, lengths, part_codes)
+        others, other_lengths = self.words.of(distinct.filter(pc.invert(plain)).to_pylist())
+        # Plain words come first in the ids; each word is then taken at its own place.
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        sizes = np.concatenate([np.diff(starts[bounds]), other_lengths])
+        place = np.empty(len(distinct), np.int64)
+        place[np.concatenate([np.flatnonzero(is_plain), np.flatnonzero(~is_plain)])] = np.arange(
+            len(distinct)
+        )
+        ids, _ = gathered(np.concatenate([ids, others]), sizes, place)
+        return ids, sizes[place]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text starts and ends."""
-        if len(self.ids) > TABLE_ENTRIES:
-            self.ids.clear()
         dictionary, codes, bounds = words(texts)
-        distinct = dictionary.to_pylist()
-        new = [word for word in distinct if word and word not in self.ids]
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.ids[word] = np.array(coded.ids, np.uint32)
-        none = np.zeros(0, np.uint32)
-        known = [self.ids[word] if word else none for word in distinct]
-        lengths = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.concatenate([none, *known])
-        first = np.cumsum(lengths) - lengths
-        own = lengths[codes]
-        ends = np.cumsum(own)
-        at = np.repeat(first[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
-        return flat[at], np.concatenate([[0], ends])[bounds]
+        ids, starts = gathered(*self._words(dictionary), codes)
+        return ids, starts[bounds]
 
 
 class Piece:
