@@ -16,8 +16,8 @@ holds its open windows and one slice of texts; the partitions' leftovers are
 bounded by the number of windows, whatever the size of a source or text.
 
 Words are encoded once for each distinct one of a task: the tokenizer must drop
-white space and encode the words between it independently, and plain ASCII words
-must fall into parts by one rule, which is checked against the library on samples
+white space and encode the words between it independently, and words of
+ASCII and Latin-1 letters must fall into parts by one rule, which is checked against the library on samples
 when it is loaded. A document's ids are followed by one end id. Null and
 empty texts, and texts without ids, are that id alone. Texts of any length,
 repeated rows and null ids are packed as they are; other columns are ignored. An
@@ -49,14 +49,14 @@ LEAST_PIECE = 16
 # Partitions whose leftovers one task merges: 64 * 64 windows of 8 KB.
 FAN_IN = 64
 # Entries after which a task starts a new table of words; this bounds memory only.
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 400_000
 # A sequence's id: the round, the task in it, the number in the task.
 ROUND_BITS, TASK_BITS = 58, 32
 
 
-# A word of these characters alone is cut into parts by rule, one part at a time.
-PLAIN_WORD = r"^[\x21-\x7E]+$"
-PART = r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ a-z0-9]+)"
+# A word of ASCII and Latin-1 letters alone is cut into parts by rule, each encoded on its own.
+PLAIN_WORD = r"^[\x21-\x7E\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
+PART = r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ a-z0-9\x{DF}-\x{F6}\x{F8}-\x{FF}]+)"
 
 
 def gathered(
@@ -96,7 +96,7 @@ class _Ids:
 class WordTable:
     """Ids of words by a table of the distinct ones.
 
-    Words of plain ASCII are cut into parts (contractions, letters, digits, other marks) and each
+    Words of ASCII and Latin-1 letters are cut into parts (contractions, letters, digits, other marks) and each
     distinct part is encoded once; other words are encoded whole, once each.
     """
 
@@ -105,18 +105,27 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        model = self.tokenizer.model
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = _Ids(lambda new: ([x.id for x in model.tokenize(part)] for part in new))
-        self.words = _Ids(lambda new: (x.ids for x in self._library(new)))
+        # How the model spells letters beyond ASCII, which are several bytes each.
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelt = {k: spell(chr(k))[0][0] for k in range(0xDF, 0x100) if chr(k).isalpha()}
+        self.parts = _Ids(self._ids_of_parts)
+        self.words = _Ids(lambda new: [x.ids for x in self._library(new)])
         self._check()
 
     def _library(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
 
+    def _ids_of_parts(self, parts: list[str]) -> list[list[int]]:
+        tokenize, spelt = self.tokenizer.model.tokenize, self.spelt
+        return [
+            [x.id for x in tokenize(part if part.isascii() else part.translate(spelt))]
+            for part in parts
+        ]
+
     def _check(self) -> None:
         """Whether this tokenizer does drop white space and cut plain words by the rule."""
-        marks = [chr(k) for k in range(0x21, 0x7F)]
+        marks = [chr(k) for k in (*range(0x21, 0x7F), *range(0xC0, 0x100))]
         pairs = [f"{a}{b}" for a in ("'", "-", "aB", "7", ".") for b in marks]
         contracted = "it's 'S --'s I'LL 'veto don't 've'd 're'm a'l 'l x''s 12's"
         texts = [
@@ -135,7 +144,7 @@ class WordTable:
         plain = pc.match_substring_regex(distinct, PLAIN_WORD)
         for content in self.special:
             plain = pc.and_not(plain, pc.match_substring(distinct, content))
-        cut = pc.replace_substring_regex(pc.ascii_lower(distinct.filter(plain)), PART, r" \1 ")
+        cut = pc.replace_substring_regex(pc.utf8_lower(distinct.filter(plain)), PART, r" \1 ")
         part_names, part_codes, bounds = words(cut)
         ids, lengths = self.parts.of(part_names.to_pylist())
         ids, starts = gathered(ids, lengths, part_codes)
