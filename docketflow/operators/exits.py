@@ -7,14 +7,23 @@ date, and if it does not, no earlier row does either. So the rows are reduced
 to one per case and court first, then to the two latest cases per requested
 case and court, and each request meets at most one row. Nothing grows with
 requests times events.
+
+Where requests have different period ends, time is an axis of steps: the given
+ends, or single days where each request brings an end of its own. Rows are
+reduced to one per case, court and step, then to the two latest cases of a step,
+and an as-of merge runs along the axis: rows and asked ends of a case and court
+in one order, carrying the latest row so far and the latest of another case. A
+case with a third of all rows is spread over its steps before, and afterwards
+has two rows a step at most. No plan holds an expression for each end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from datetime import datetime
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date, datetime
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketflow.functions.codes import CHILD_CODES, EXIT_CODES, NO_EXIT, SEVERAL_EXITS
@@ -29,16 +38,18 @@ from docketflow.operators.candidates import origins
 from docketflow.operators import joins
 from docketflow.operators.joins import HotKeys, hot_key_sketch, hot_keys_from, spread_join
 from docketflow.operators.lookup import Lookup, court_lookup, with_court, with_status_code
-from docketflow.sources.tables import CaseTables
+from docketflow.sources.tables import CaseTables, parameter_table
 
 # Prune by the requested cases when there are at least so many times as many cases.
 PRUNE_RATIO = 2
+# Column of the place on the time axis.
+STEP = "__paso"
 
 
 def last_exit_event(
     requests: DataFrame,
     tables: CaseTables,
-    period_end: Moment | Sequence[Moment],
+    period_end: Moment | Sequence[Moment] | None = None,
     exit_codes: Iterable[str] = EXIT_CODES,
     child_codes: Iterable[str] = CHILD_CODES,
 ) -> DataFrame:
@@ -46,7 +57,9 @@ def last_exit_event(
 
     ``id_act`` is the id of the exit, -2 when there is none and -3 when more
     than one case has one; date and code are NULL for both. With several period
-    ends ``requests`` must say in ``fin_periodo`` which of them applies.
+    ends ``requests`` must say in ``fin_periodo`` which of them applies. Without
+    any, ``fin_periodo`` is each request's own bound, of whatever value: it counts
+    to the end of its day, and a request without it has no exit.
     """
     return resolve_exits(requests, tables, period_end, exit_codes, child_codes).select(
         "request_id", "id_act", "fecha_salida", "codigo_salida"
@@ -56,32 +69,36 @@ def last_exit_event(
 def resolve_exits(
     requests: DataFrame,
     tables: CaseTables,
-    period_end: Moment | Sequence[Moment],
+    period_end: Moment | Sequence[Moment] | None = None,
     exit_codes: Iterable[str] = EXIT_CODES,
     child_codes: Iterable[str] = CHILD_CODES,
 ) -> DataFrame:
     """:func:`last_exit_event` with all columns of ``requests`` and their ``juzgado``."""
-    ends = _period_ends(period_end)
+    if period_end is None and "fin_periodo" not in requests.columns:
+        raise ValueError("neither a period end nor fin_periodo is given")
+    ends = None if period_end is None else _period_ends(period_end)
     courts = court_lookup(tables.courts)
-    count, earliest, hot = _profile(requests)
-    asked_cases = _few_cases(requests, count, tables.cases)
-    asked_ends = requests.select("idexp", "fin_periodo").distinct() if len(ends) > 1 else None
-    best = _two_latest(
-        _latest_per_case(
-            tables, courts, ends, earliest, exit_codes, child_codes, asked_cases, asked_ends
-        )
-    )
+    profile = _profile(requests, own_ends=ends is None)
     keys = ["idexp", "juzgado"]
     asked = with_court(requests, "ta_oficina", courts)
-    if len(ends) > 1:
-        keys.append("fin_periodo")
-    if len(ends) > 1 or "fin_periodo" in requests.columns:
-        end = F.col("fin_periodo")
-        known = end.isin([timestamp_literal(moment) for moment in ends])
-        problem = F.raise_error(F.lit("fin_periodo is not among the given period ends"))
+    last, steps = (profile.latest, _days) if ends is None else (ends[-1], None)
+    if ends is None:
+        asked = asked.withColumn(STEP, _day(F.col("fin_periodo")))
+    elif len(ends) > 1:
+        asked, steps = _with_step(asked, ends), _first_ends(requests.sparkSession, ends)
+    elif "fin_periodo" in requests.columns:
         # A filter, as a column that nothing uses would not be computed.
-        asked = asked.filter(F.when(known, F.lit(True)).otherwise(problem.cast("boolean")))
-    joined = spread_join(asked, best, keys, "left", hot, hot_on=["idexp"])
+        asked = asked.filter(_known(F.col("fin_periodo") == timestamp_literal(ends[0])))
+    latest = _latest_per_case(
+        tables, courts, last, profile.earliest, exit_codes, child_codes, steps,
+        _few_cases(requests, profile.count, tables.cases),
+    )
+    if steps is None:
+        best = _two_latest(latest)
+    else:
+        keys.append(STEP)
+        best = _as_of(latest, asked.select(*keys))
+    joined = spread_join(asked, best, keys, "left", profile.hot, hot_on=["idexp"])
     since = F.col("ta_fecha")
     several = F.coalesce(from_day(F.col("segunda_fecha"), since), F.lit(False))
     single = from_day(F.col("ultimo.fecha_actuacion"), since) & ~several
@@ -109,10 +126,12 @@ def latest_per_case(
     Equal dates are decided by the higher id, then the higher code. With several
     period ends there is one row for each of them, named in ``fin_periodo``.
     """
-    courts = court_lookup(tables.courts)
-    rows = _latest_per_case(
-        tables, courts, _period_ends(period_end), since, exit_codes, child_codes
-    )
+    courts, ends = court_lookup(tables.courts), _period_ends(period_end)
+    spark = tables.events.sparkSession
+    steps = _first_ends(spark, ends) if len(ends) > 1 else None
+    rows = _latest_per_case(tables, courts, ends[-1], since, exit_codes, child_codes, steps)
+    if steps is not None:
+        rows = _at_every_end(rows, spark, ends)
     kept = [name for name in rows.columns if name != "ultimo"]
     return rows.select(*kept, "ultimo.id_actuacion_exp", "ultimo.fecha_actuacion", "ultimo.codigo")
 
@@ -125,14 +144,82 @@ def _period_ends(period_end: Moment | Sequence[Moment]) -> list[datetime]:
     return ends
 
 
-def _profile(requests: DataFrame) -> tuple[int, datetime | None, HotKeys]:
-    """Number of requests, earliest date and the cases asked for most, in one pass."""
+class _Profile(NamedTuple):
+    """What one pass over the requests tells."""
+
+    count: int
+    earliest: datetime | None  # date asked from
+    latest: datetime | None  # own period end
+    hot: HotKeys  # the cases asked for most
+
+
+def _profile(requests: DataFrame, own_ends: bool) -> _Profile:
+    latest = F.max("fin_periodo") if own_ends else F.lit(None)
     row = requests.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ta_fecha").alias("earliest"),
+        latest.alias("latest"),
         hot_key_sketch(requests.sparkSession, ["idexp"]).alias("top"),
     ).first()
-    return row["n"], row["earliest"], hot_keys_from(requests.sparkSession, row["top"], row["n"])
+    hot = hot_keys_from(requests.sparkSession, row["top"], row["n"])
+    return _Profile(row["n"], row["earliest"], row["latest"], hot)
+
+
+def _known(is_end: Column) -> Column:
+    problem = F.raise_error(F.lit("fin_periodo is not among the given period ends"))
+    return F.when(is_end, F.lit(True)).otherwise(problem.cast("boolean"))
+
+
+# Steps of the time axis
+
+
+def _day(moment: Column) -> Column:
+    return F.unix_date(moment.cast("date"))
+
+
+def _days(moves: DataFrame) -> DataFrame:
+    """Each row at the step of its own day."""
+    return moves.withColumn(STEP, _day(_moment_of_move()))
+
+
+def _moment_of_move() -> Column:
+    return F.coalesce("propio.fecha_actuacion", "derivado.fecha_actuacion")
+
+
+def _ends_table(spark: SparkSession, ends: Sequence[datetime]) -> DataFrame:
+    """``(fin_periodo, STEP)``: the ends numbered in order."""
+    rows = [(end, k) for k, end in enumerate(ends)]
+    return F.broadcast(parameter_table(spark, rows, {"fin_periodo": "timestamp_ntz", STEP: "int"}))
+
+
+def _with_step(asked: DataFrame, ends: Sequence[datetime]) -> DataFrame:
+    """The requests with the step of their ``fin_periodo``; fails where it is not an end."""
+    joined = asked.join(_ends_table(asked.sparkSession, ends), "fin_periodo", "left")
+    return joined.filter(_known(F.col(STEP).isNotNull())).select(*asked.columns, STEP)
+
+
+def _first_ends(
+    spark: SparkSession, ends: Sequence[datetime]
+) -> Callable[[DataFrame], DataFrame]:
+    """Puts each row at the first end that includes it, by an index of the days between the ends.
+
+    The index has a row for each day from the first end to the last, so it grows
+    with the years and not with the number of ends.
+    """
+    epoch = date(1970, 1, 1)
+    days = [(end.date() - epoch).days for end in ends]
+    spans = [
+        (k, before + 1, day) for k, (before, day) in enumerate(zip([days[0] - 1, *days], days))
+        if day > before
+    ]
+    table = parameter_table(spark, spans, {STEP: "int", "desde": "int", "hasta": "int"})
+    index = F.broadcast(table.select(STEP, F.explode(F.sequence("desde", "hasta")).alias("dia")))
+
+    def steps(moves: DataFrame) -> DataFrame:
+        day = F.greatest(_day(_moment_of_move()), F.lit(days[0]))
+        return moves.withColumn("dia", day).join(index, "dia").select(*moves.columns, STEP)
+
+    return steps
 
 
 def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame | None:
@@ -149,15 +236,18 @@ def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame |
 def _latest_per_case(
     tables: CaseTables,
     courts: Lookup,
-    ends: list[datetime],
+    last: Moment | None,
     since: Moment | None,
     exit_codes: Iterable[str],
     child_codes: Iterable[str],
+    steps: Callable[[DataFrame], DataFrame] | None = None,
     asked_cases: DataFrame | None = None,
-    asked_ends: DataFrame | None = None,
 ) -> DataFrame:
-    moves = _moves(tables, ends, since, list(exit_codes), list(child_codes))
-    several_ends = ["fin_periodo"] if len(ends) > 1 else []
+    """The latest row per requested case, court and case, with ``steps`` for each step of time."""
+    moves = _moves(tables, last, since, list(exit_codes), list(child_codes))
+    step = []
+    if steps is not None:
+        moves, step = steps(moves), [STEP]
     cases = tables.cases
     if asked_cases is not None:
         # Joined by an expression, so that all three joins share one broadcast.
@@ -168,12 +258,10 @@ def _latest_per_case(
         cases = cases.join(few, cases["id_expediente_origen"] == few["idexp"], "left_semi")
     if not courts.small:
         # The offices must be shuffled: collapse copies and busy offices first.
-        moves = _latest(moves, ["id_expediente", "id_oficina", *several_ends])
+        moves = _latest(moves, ["id_expediente", "id_oficina", *step])
     at_court = with_court(moves, "id_oficina", courts, "inner")
-    latest = _latest(at_court, ["id_expediente", "juzgado", *several_ends])
-    if several_ends:
-        latest = _carried_forward(latest)
-    # At most one row per case, court and interval is left on this side, so no case is hot.
+    latest = _latest(at_court, ["id_expediente", "juzgado", *step])
+    # At most one row per case, court and step is left on this side, so no case is hot.
     by_case = latest.join(origins(cases), "id_expediente", "left")
     case, origin = F.col("id_expediente"), F.col("id_expediente_origen")
     # A row counts once for its own case, and once for each case it originates from.
@@ -186,21 +274,20 @@ def _latest_per_case(
         F.struct(case.alias("idexp"), as_own.alias("ultimo")),
         F.struct(origin.alias("idexp"), as_child.alias("ultimo")),
     )
-    interval = ["fin_periodo", "siguiente"] if several_ends else []
     by_target = (
-        by_case.select("id_expediente", "juzgado", *interval, F.explode(roles).alias("rol"))
+        by_case.select("id_expediente", "juzgado", *step, F.explode(roles).alias("rol"))
         .filter(F.col("rol.ultimo").isNotNull())
-        .select("rol.idexp", "juzgado", "id_expediente", *interval, "rol.ultimo")
+        .select("rol.idexp", "juzgado", "id_expediente", *step, "rol.ultimo")
     )
     if asked_cases is not None:
         few = F.broadcast(asked_cases)
         by_target = by_target.join(few, by_target["idexp"] == few["idexp"], "left_semi")
-    return _at_ends(by_target, ends, asked_ends) if several_ends else by_target
+    return by_target
 
 
 def _moves(
     tables: CaseTables,
-    ends: list[datetime],
+    last: Moment | None,
     since: Moment | None,
     exit_codes: list[str],
     child_codes: list[str],
@@ -208,12 +295,12 @@ def _moves(
     """Events and reassignments in the period, each source read once.
 
     ``propio`` holds the row if it counts for its own case, ``derivado`` if it
-    counts for the case it originates from. ``fin_periodo`` is the first period
-    end that includes the row.
+    counts for the case it originates from. Without ``last`` nothing is asked for.
     """
 
     def in_period(df: DataFrame, moment: Column) -> DataFrame:
-        kept = df.filter(F.col("id_expediente").isNotNull() & until_day(moment, ends[-1]))
+        until = F.lit(False) if last is None else until_day(moment, last)
+        kept = df.filter(F.col("id_expediente").isNotNull() & until)
         return kept if since is None else kept.filter(from_day(moment, since))
 
     fecha = F.col("fecha_actuacion")
@@ -229,7 +316,7 @@ def _moves(
         F.col("id_cambio_asignacion_exp").alias("id_actuacion_exp"),
         code.alias("codigo"),
     )
-    moves = events.select(
+    return events.select(
         "id_expediente",
         "id_oficina",
         F.when(F.col("codigo").isin(exit_codes), event).alias("propio"),
@@ -239,13 +326,6 @@ def _moves(
             "id_expediente", "id_oficina", F.when(F.lit(False), reassignment), reassignment
         )
     )
-    if len(ends) == 1:
-        return moves
-    moment = F.coalesce("propio.fecha_actuacion", "derivado.fecha_actuacion")
-    first_end = F.when(until_day(moment, ends[0]), timestamp_literal(ends[0]))
-    for end in ends[1:]:
-        first_end = first_end.when(until_day(moment, end), timestamp_literal(end))
-    return moves.withColumn("fin_periodo", first_end)
 
 
 def _latest(moves: DataFrame, keys: list[str]) -> DataFrame:
@@ -255,41 +335,45 @@ def _latest(moves: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _carried_forward(latest: DataFrame) -> DataFrame:
-    """Turn the latest row per interval between ends into the latest row so far.
+def _at_every_end(rows: DataFrame, spark: SparkSession, ends: Sequence[datetime]) -> DataFrame:
+    """The row that holds at each end, from the rows that are the latest of their step.
 
-    ``siguiente`` is the next end from which another row holds. A window has at
-    most one row per period end.
+    A case of one requested case and court has at most one row per end.
     """
-    in_order = Window.partitionBy("id_expediente", "juzgado").orderBy("fin_periodo")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        latest.withColumn("siguiente", F.lead("fin_periodo").over(in_order))
-        .withColumn("propio", F.last("propio", ignorenulls=True).over(so_far))
-        .withColumn("derivado", F.last("derivado", ignorenulls=True).over(so_far))
-    )
+    in_order = Window.partitionBy("idexp", "juzgado", "id_expediente").orderBy(STEP)
+    following = F.lead(STEP, 1, len(ends)).over(in_order)
+    held = rows.withColumn("siguiente", following)
+    every = F.explode(F.sequence(F.col(STEP), F.col("siguiente") - 1)).alias(STEP)
+    columns = [name for name in rows.columns if name != STEP]
+    expanded = held.select(*columns, every)
+    return expanded.join(_ends_table(spark, ends), STEP).select(*columns, "fin_periodo")
 
 
-def _at_ends(by_target: DataFrame, ends: list[datetime], asked: DataFrame | None) -> DataFrame:
-    """The row that holds at each end: only at ends asked for of its case, if those are given.
+def _as_of(latest: DataFrame, asked: DataFrame) -> DataFrame:
+    """The state of each asked ``(idexp, juzgado, STEP)``: latest row, and date of another case's.
 
-    A case has at most as many asked ends as there are ends; its rows are not
-    written for the others.
+    Two cases of a step suffice: a third is behind both of them from then on. In
+    the order of time, the latest row of another case is the one before the
+    present run of rows of one case.
     """
-    start, following = F.col("fin_periodo"), F.col("siguiente")
-    columns = [name for name in by_target.columns if name not in ("fin_periodo", "siguiente")]
-    if asked is None:
-        every_end = F.array(*[timestamp_literal(end) for end in ends])
-        reached = F.filter(
-            every_end, lambda end: (end >= start) & (following.isNull() | (end < following))
-        )
-        return by_target.select(*columns, F.explode(reached).alias("fin_periodo"))
-    pairs = asked.select("idexp", F.col("fin_periodo").alias("fin"))
-    holds = (F.col("fin") >= start) & (following.isNull() | (F.col("fin") < following))
-    if joins.fits_broadcast(pairs):
-        pairs = F.broadcast(pairs)
-    return by_target.join(pairs, "idexp").filter(holds).select(
-        *columns, F.col("fin").alias("fin_periodo")
+    keys = ["idexp", "juzgado", STEP]
+    event = F.struct("ultimo.*", F.col("id_expediente").alias("caso"))
+    rows = _numbered(latest, keys).filter(F.col("numero_fila") <= 2)
+    rows = rows.select(*keys, F.lit(False).alias("pedido"), event.alias("evento"))
+    nothing = F.lit(None).cast(rows.schema["evento"].dataType).alias("evento")
+    known = asked.dropna(subset=keys).distinct().select(*keys, F.lit(True).alias("pedido"), nothing)
+    in_order = Window.partitionBy("idexp", "juzgado").orderBy(STEP, "pedido", "evento")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    other = F.col("previo.caso") != F.col("evento.caso")
+    return (
+        rows.unionByName(known)
+        .withColumn("previo", F.last("evento", ignorenulls=True).over(before))
+        .withColumn("otro", F.when(other, F.col("previo.fecha_actuacion")))
+        .withColumn("ultimo", F.last("evento", ignorenulls=True).over(so_far))
+        .withColumn("segunda_fecha", F.last("otro", ignorenulls=True).over(so_far))
+        .filter("pedido")
+        .select(*keys, "ultimo", "segunda_fecha")
     )
 
 
@@ -300,13 +384,10 @@ def _two_latest(latest: DataFrame) -> DataFrame:
     works before the shuffle, so a case with a great many derived cases
     leaves two rows per task.
     """
-    keys = [name for name in ("idexp", "juzgado", "fin_periodo") if name in latest.columns]
-    order = Window.partitionBy(*keys).orderBy(
-        F.desc("ultimo.fecha_actuacion"), F.desc("ultimo.id_actuacion_exp"), F.desc("ultimo.codigo")
-    )
+    keys = ["idexp", "juzgado"]
     rank = F.col("numero_fila")
     return (
-        latest.withColumn("numero_fila", F.row_number().over(order))
+        _numbered(latest, keys)
         .filter(rank <= 2)
         .groupBy(*keys)
         .agg(
@@ -314,3 +395,10 @@ def _two_latest(latest: DataFrame) -> DataFrame:
             F.max(F.when(rank == 2, F.col("ultimo.fecha_actuacion"))).alias("segunda_fecha"),
         )
     )
+
+
+def _numbered(latest: DataFrame, keys: list[str]) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy(
+        F.desc("ultimo.fecha_actuacion"), F.desc("ultimo.id_actuacion_exp"), F.desc("ultimo.codigo")
+    )
+    return latest.withColumn("numero_fila", F.row_number().over(order))

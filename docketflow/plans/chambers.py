@@ -6,7 +6,7 @@ from collections.abc import Collection, Iterable, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.functions.codes import CHILD_CODES, EXIT_CODES, NO_EXIT, SEVERAL_EXITS
@@ -14,6 +14,10 @@ from docketflow.functions.dates import Moment, as_datetime, day_between
 from docketflow.operators.exits import resolve_exits
 from docketflow.sources.tables import CaseTables, parameter_table
 
+# Rows of the index of periods by day, which is broadcast: about 10 MB.
+MAX_BUCKETS = 200_000
+BUCKET = "__dias"
+
 
 class Chamber(NamedTuple):
     camara: int
@@ -99,23 +103,42 @@ def periods_frame(spark: SparkSession, periods: Iterable[ChamberPeriod]) -> Data
 def requests_in_periods(requests: DataFrame, periods: Sequence[ChamberPeriod]) -> DataFrame:
     """Requests whose date lies in the period of their chamber, with that period.
 
-    ``requests`` has ``camara`` and ``ta_fecha``. The chambers and the outermost
+    ``requests`` has ``camara`` and ``ta_fecha``. Periods may overlap. The chambers and the outermost
     bounds are literals besides, so that they reach the scan and its partitions.
     """
     if not periods:
         raise ValueError("no period given")
-    table = F.broadcast(periods_frame(requests.sparkSession, periods).drop("procedimiento"))
     fecha = F.col("ta_fecha")
-    span = day_between(
-        fecha, min(period.desde for period in periods), max(period.hasta for period in periods)
-    )
+    first, last = min(p.desde for p in periods), max(p.hasta for p in periods)
+    table, width = _by_bucket(requests.sparkSession, periods)
     return (
-        requests.filter(span & F.col("camara").isin(sorted({p.camara for p in periods})))
-        .join(table, "camara")
+        requests.filter(
+            day_between(fecha, first, last) & F.col("camara").isin(sorted({p.camara for p in periods}))
+        )
+        .withColumn(BUCKET, _bucket(fecha, width))
+        .join(F.broadcast(table), ["camara", BUCKET])
         .filter(day_between(fecha, F.col("desde"), F.col("hasta")))
+        .select(*requests.columns, "desde", "hasta")
     )
 
 
+def _bucket(moment: Column, width: int) -> Column:
+    return F.floor(F.unix_date(moment.cast("date")) / F.lit(width)).cast("int")
+
+
+def _by_bucket(spark: SparkSession, periods: Sequence[ChamberPeriod]) -> tuple[DataFrame, int]:
+    """The periods once for each bucket of days they touch, and the width of a bucket in days.
+
+    A request meets the periods of its bucket only. Buckets are single days unless
+    the periods together have more than MAX_BUCKETS of them.
+    """
+    days = sum(max(0, (p.hasta.date() - p.desde.date()).days) + 1 for p in periods)
+    width = -(-days // MAX_BUCKETS)
+    bounds = F.sequence(_bucket(F.col("desde"), width), _bucket(F.col("hasta"), width))
+    table = periods_frame(spark, periods).drop("procedimiento").filter("desde < hasta + interval 1 day")
+    return table.withColumn(BUCKET, F.explode(bounds)), width
+
+
 def requests_per_period(requests: DataFrame, periods: Sequence[ChamberPeriod]) -> DataFrame:
     """How many requests each chamber has in its period; 0 where there are none."""
     counted = (

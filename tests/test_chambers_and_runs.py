@@ -1,10 +1,14 @@
+import random
+from datetime import datetime, timedelta
 from types import SimpleNamespace
+
 import pytest
-from conftest import at, table, tables_of
+from conftest import at, plan_of, table, tables_of
 from pyspark.sql import functions as F
 
 from docketflow import (
     CHAMBERS,
+    ChamberPeriod,
     append_error,
     chamber_periods,
     chamber_statistics,
@@ -18,6 +22,7 @@ from docketflow import (
     run_chambers,
     save_statistics,
 )
+from docketflow.plans import chambers
 from docketflow.plans.runs import DONE, FAILED, SKIPPED
 from docketflow.sources.results import shared_folder
 
@@ -96,6 +101,51 @@ def test_requests_per_period(small):
     assert {row.camara: row.n for row in rows} == {13: 3, 14: 1, 16: 0}
 
 
+def in_periods_by_definition(requests, periods):
+    midnight = lambda moment: datetime.combine(moment.date(), datetime.min.time())
+    return sorted(
+        (r[0], p.camara, p.desde, p.hasta) for r in requests for p in periods
+        if r[4] == p.camara and p.desde <= midnight(r[2]) <= p.hasta
+    )
+
+
+@pytest.mark.parametrize("most", [200_000, 50])
+def test_requests_in_overlapping_periods(spark, monkeypatch, most):
+    monkeypatch.setattr(chambers, "MAX_BUCKETS", most)
+    rng = random.Random(most)
+    start = at("2008-01-01")
+    asked = [
+        (k, k, start + timedelta(hours=rng.randrange(-100, 2400)), 10, rng.choice([13, 14, 15, None]))
+        for k in range(300)
+    ]
+    periods = []
+    for _ in range(60):
+        first = start + timedelta(hours=rng.choice([24 * rng.randrange(90), rng.randrange(2000)]))
+        periods.append(ChamberPeriod(rng.choice([13, 14]), "p", first, first + timedelta(hours=rng.randrange(-48, 700))))
+    found = chambers.requests_in_periods(table(spark, "pedidos", asked), periods)
+    rows = sorted((r.request_id, r.camara, r.desde, r.hasta) for r in found.collect())
+    assert rows == in_periods_by_definition(asked, periods) and len(rows) > 100
+
+
+def test_a_thousand_periods(spark, small):
+    """Daily and overlapping periods of a chamber: no expression for each, results as one by one."""
+    requests, tables = small
+    days = [STARTS + timedelta(days=k) for k in range(360)]
+    periods = [ChamberPeriod(13, "p", day, day + timedelta(days=n)) for day in days for n in (0, 6, 364)]
+    periods = periods[:1000]
+    result = chamber_statistics(requests, tables, periods)
+    short = chamber_statistics(requests, tables, periods[:30])
+    assert abs(len(plan_of(result)) - len(plan_of(short))) < 0.05 * len(plan_of(short))
+    found = {(r.desde, r.hasta, r.juzgado, r.resultado): r.n for r in result.collect()}
+    assert {key[:2] for key in found} == {p[2:] for p in periods}
+    # One period alone says the same.
+    for k in (0, 2, 181, 272, 999):
+        alone = chamber_statistics(requests, tables, periods[k : k + 1]).collect()
+        assert {(r.desde, r.hasta, r.juzgado, r.resultado): r.n for r in alone} == {
+            key: n for key, n in found.items() if key[:2] == periods[k][2:]
+        }
+
+
 def test_has_previous_period(spark, way):
     runs = spark.createDataFrame(
         [(13, at("2008-06-30")), (13, at("2008-06-30")), (13, at("2007-06-30"))],

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import at, plan_of, table, tables_of
+from pyspark.sql import functions as F
 
 from docketflow import (
     CHILD_CODES,
@@ -181,7 +182,7 @@ def by_definition(requests, events, states, cases, changes, courts, exits, child
         rows += [(d, i, k, c, o, origin.get(c)) for i, c, o, d, k in changes if k in childs]
         latest = {}
         for d, i, k, c, o, target in rows:
-            if None in (d, since, idexp, target, court.get(o), court.get(office)):
+            if None in (d, since, end, idexp, target, court.get(o), court.get(office)):
                 continue
             same = target == idexp and court[o] == court[office]
             if same and since <= midnight(d) <= end:
@@ -368,19 +369,109 @@ def test_period_end_of_a_request_is_checked_for_a_single_end_too(spark):
         last_exit_event(*frames, ends[1:2], ("SOB", "ARC"), ("ETO",)).collect()
 
 
-def test_only_asked_ends_are_expanded(spark):
+def test_only_asked_ends_are_answered(spark):
     requests, *data, ends = random_data(12, 0.2)
     many = sorted({*ends, *(ends[0] + timedelta(hours=k) for k in range(1, 90))})
     frames = as_frames(spark, requests, *data)
-    asked = frames[0].select("idexp", "fin_periodo").distinct()
-    rows = exits._latest_per_case(
-        frames[1], exits.court_lookup(frames[1].courts), many, None, ["SOB", "ARC"], ["ETO"],
-        asked_ends=asked,
+    expected = by_definition(requests, *data, ("SOB", "ARC"), ("ETO",))
+    result = last_exit_event(*frames, many, ("SOB", "ARC"), ("ETO",))
+    assert resolved(result) == expected
+    # As many rows as there are steps with rows and asked ends, not cases times ends.
+    latest = exits._latest_per_case(
+        frames[1], exits.court_lookup(frames[1].courts), many[-1], None, ["SOB", "ARC"], ["ETO"],
+        exits._first_ends(spark, many),
     )
+    asked = frames[0].select("idexp", F.lit(100).cast("long").alias("juzgado"), F.lit(1).alias(exits.STEP))
     every = latest_per_case(frames[1], many, exit_codes=["SOB", "ARC"], child_codes=["ETO"])
-    behind = every.select("idexp", "juzgado", "id_expediente").distinct()
-    bound = asked.join(behind, "idexp").count()
-    assert 0 < rows.count() <= bound < every.count() / 5
-    expected = by_definition(requests, *data, ("SOB", "ARC"), ("ETO",))
-    assert resolved(last_exit_event(*frames, many, ("SOB", "ARC"), ("ETO",))) == expected
+    assert exits._as_of(latest, asked).count() == frames[0].select("idexp").dropna().distinct().count()
+    assert 0 < latest.count() < every.count() / 5
+
+
+# Own bounds
+
+
+def with_own_ends(requests, seed):
+    """Ends of any day and hour, before the request too, and some without."""
+    rng = random.Random(seed)
+    start = datetime(2007, 12, 30)
+    ends = [None, *(start + timedelta(hours=rng.randrange(45 * 24)) for _ in range(300))]
+    return [(*r[:5], rng.choice(ends)) for r in requests]
+
+
+@pytest.mark.parametrize("seed, hot, childs", [(21, 0.0, ("ETO",)), (22, 0.4, ("ETO", "SOB")), (23, 0.2, ("ETO",))])
+def test_own_bounds(spark, seed, hot, childs):
+    requests, *data, _ = random_data(seed, hot)
+    requests = with_own_ends(requests, seed)
+    frames = as_frames(spark, requests, *data)
+    expected = by_definition(requests, *data, ("SOB", "ARC"), childs)
+    assert {a[0] for a in expected.values()} >= {-2, -3} and len(set(expected.values())) > 5
+    assert resolved(last_exit_event(*frames, None, ("SOB", "ARC"), childs)) == expected
+
+
+@pytest.mark.parametrize("hot", [0.4, 0.0])
+def test_own_bounds_without_broadcast(spark, no_broadcast, hot):
+    requests, *data, _ = random_data(24, hot)
+    requests = with_own_ends(requests, 24)
+    frames = as_frames(spark, requests, *data)
+    result = last_exit_event(*frames, None, ("SOB", "ARC"), ("ETO",))
+    assert ("idexp#" in salted_keys(result)) == (hot > 0)
+    assert resolved(result) == by_definition(requests, *data, ("SOB", "ARC"), ("ETO",))
+
 
+def test_own_bounds_of_few_requests_prune_the_other_cases(spark, monkeypatch):
+    monkeypatch.setattr(exits, "PRUNE_RATIO", 0)
+    requests, *data, _ = random_data(25, 0.2)
+    requests = with_own_ends([r for r in requests if r[1] in (None, 0, 2, 5)], 25)
+    frames = as_frames(spark, requests, *data)
+    result = last_exit_event(*frames, exit_codes=("SOB", "ARC"), child_codes=("ETO",))
+    assert "LeftSemi" in plan_of(result)
+    assert resolved(result) == by_definition(requests, *data, ("SOB", "ARC"), ("ETO",))
+
+
+def test_own_bounds_equal_a_given_end(scenarios, spark):
+    requests, tables, expected = scenarios
+    own = requests.withColumn("fin_periodo", F.lit(END).cast("timestamp_ntz"))
+    assert answers_of(last_exit_event(own, tables)) == expected
+    with pytest.raises(ValueError, match="fin_periodo"):
+        last_exit_event(requests, tables)
+
+
+def test_own_bounds_of_no_requests(spark, scenarios):
+    requests, tables, _ = scenarios
+    own = requests.withColumn("fin_periodo", F.col("ta_fecha"))
+    assert last_exit_event(own.filter("false"), tables).collect() == []
+    unbounded = own.withColumn("fin_periodo", F.lit(None).cast("timestamp_ntz"))
+    assert {a for a, _ in answers_of(last_exit_event(unbounded, tables)).values()} == {-2}
+
+
+def test_three_cases_of_a_day_leave_the_last_of_two_others(spark):
+    """A third case of a day is behind two others from then on, also when one of them goes on."""
+    cases = [(c, 1) for c in (2, 3, 4)] + [(1, None)]
+    events = [
+        (20, 2, STATE_ID["ETO"], 10, at("2008-05-01 08:00:00")),
+        (30, 3, STATE_ID["ETO"], 10, at("2008-05-01 09:00:00")),
+        (40, 4, STATE_ID["ETO"], 10, at("2008-05-01 10:00:00")),
+        (41, 4, STATE_ID["ETO"], 10, at("2008-05-03")),
+        (42, 4, STATE_ID["ETO"], 10, at("2008-05-04")),
+        (31, 3, STATE_ID["ETO"], 10, at("2008-05-06")),
+    ]
+    asks = [("2008-05-01", "2008-04-30", -2), ("2008-05-01", "2008-05-01", -3),
+            ("2008-05-02", "2008-05-05", 42), ("2008-05-02", "2008-05-03", 41),
+            ("2008-05-01", "2008-05-05", -3), ("2008-05-04", "2008-05-06", -3),
+            ("2008-05-05", "2008-05-31", 31), ("2008-05-02", "2008-05-02", -2)]
+    requests = [(k, 1, at(since), 10, 13, at(end)) for k, (since, end, _) in enumerate(asks)]
+    frames = as_frames(spark, requests, events, STATES, cases, [], COURTS)
+    found = answers_of(last_exit_event(*frames))
+    assert {k: found[k][0] for k in found} == {k: a for k, (*_, a) in enumerate(asks)}
+
+
+def test_the_plan_does_not_grow_with_the_ends(spark):
+    requests, *data, ends = random_data(12, 0.2)
+    frames = as_frames(spark, requests, *data)
+    sizes = []
+    for n in (30, 1000):
+        many = sorted({*ends, *(ends[0] + timedelta(hours=k) for k in range(n))})
+        sizes.append(len(plan_of(last_exit_event(*frames, many, ("SOB", "ARC"), ("ETO",)))))
+    assert abs(sizes[1] - sizes[0]) < 0.05 * sizes[0]
+    own = plan_of(last_exit_event(*frames, None, ("SOB", "ARC"), ("ETO",)))
+    assert "Cartesian" not in own and "NestedLoop" not in own and "Python" not in own

@@ -71,6 +71,12 @@ def office() -> Column:
     return F.col("o_custkey") % 100
 
 
+def own_end() -> Column:
+    """A period end for each request: up to 399 days and 23 hours after it, to the hour."""
+    days, hours = F.col("request_id") * 37 % 400, F.col("request_id") % 24
+    return F.col("ta_fecha") + F.make_dt_interval(days.cast("int"), hours.cast("int"))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),

@@ -179,6 +179,13 @@ SELECT request_id, id_act, fecha_salida, codigo_salida FROM resolved
     "last_exit_event_one_chamber": f"""{_TABLES},
 chamber AS (SELECT * FROM asked WHERE camara = {m.ONE_CHAMBER}), {_resolved("chamber", _END)}
 SELECT request_id, id_act, fecha_salida, codigo_salida FROM resolved
+""",
+    "exit_own_bound": f"""{_TABLES},
+bounded AS (
+  SELECT *, ta_fecha + to_days(CAST(request_id * 37 % 400 AS INTEGER))
+              + to_hours(CAST(request_id % 24 AS INTEGER)) AS fin FROM asked),
+{_resolved("bounded", "q.fin")}
+SELECT request_id, id_act, fecha_salida, codigo_salida FROM resolved
 """,
     "chamber_periods": f"""
 WITH periods(camara, procedimiento, desde, hasta) AS (VALUES {_DEFAULTS})

@@ -101,6 +101,13 @@ def last_exit_event_one_chamber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.last_exit_event(asked, tables, m.PERIOD_END, m.EXIT_CODES, m.CHILD_CODES)
 
 
+def exit_own_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with a period end of its own, none of which the plan knows."""
+    asked = m.requests(spark, sf_dir).withColumn("fin_periodo", m.own_end())
+    tables = m.case_tables(spark, sf_dir)
+    return df.last_exit_event(asked, tables, exit_codes=m.EXIT_CODES, child_codes=m.CHILD_CODES)
+
+
 def chamber_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default ends where a chamber has one, a given end for the other two."""
     start = datetime(1996, 7, 1)
@@ -225,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_per_case,
         last_exit_event,
         last_exit_event_one_chamber,
+        exit_own_bound,
         chamber_periods,
         chamber_statistics,
         chamber_statistics_monthly,
