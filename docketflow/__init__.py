@@ -26,7 +26,8 @@ from docketflow.plans.runs import (
     pending_periods,
     run_chambers,
 )
-from docketflow.sources.results import (
+from docketflow.sources.store import (
+    RunStore,
     append_error,
     append_errors,
     read_errors,
@@ -37,7 +38,7 @@ from docketflow.sources.tables import SCHEMAS, CaseTables, read_case_tables, rea
 
 __all__ = [
     "CHAMBERS", "CHILD_CODES", "EXIT_CODES", "NO_EXIT", "SCHEMAS", "SEVERAL_EXITS",
-    "CaseTables", "ChamberPeriod", "RunOutcome", "append_error", "append_errors", "chamber_periods",
+    "CaseTables", "ChamberPeriod", "RunOutcome", "RunStore", "append_error", "append_errors", "chamber_periods",
     "chamber_statistics", "child_event_exits", "child_reassignment_exits", "day_between",
     "drop_matching", "exit_candidates", "has_previous_period", "keep_matching", "keep_since",
     "last_exit_event", "latest_per_case", "log_seconds", "own_case_exits", "parse_dmy",

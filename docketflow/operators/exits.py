@@ -36,8 +36,20 @@ from docketflow.functions.dates import (
 )
 from docketflow.operators.candidates import origins
 from docketflow.operators import joins
-from docketflow.operators.joins import HotKeys, hot_key_sketch, hot_keys_from, spread_join
-from docketflow.operators.lookup import Lookup, court_lookup, with_court, with_status_code
+from docketflow.operators.joins import (
+    HotKeys,
+    hot_key_sketch,
+    hot_keys_from,
+    lookup_join,
+    spread_join,
+)
+from docketflow.operators.lookup import (
+    Lookup,
+    court_lookup,
+    quarantined_courts,
+    with_court,
+    with_status_code,
+)
 from docketflow.sources.tables import CaseTables, parameter_table
 
 # Prune by the requested cases when there are at least so many times as many cases.
@@ -72,12 +84,21 @@ def resolve_exits(
     period_end: Moment | Sequence[Moment] | None = None,
     exit_codes: Iterable[str] = EXIT_CODES,
     child_codes: Iterable[str] = CHILD_CODES,
+    quarantine: bool = False,
 ) -> DataFrame:
-    """:func:`last_exit_event` with all columns of ``requests`` and their ``juzgado``."""
+    """:func:`last_exit_event` with all columns of ``requests`` and their ``juzgado``.
+
+    An office of several courts fails the query. With ``quarantine`` it does not:
+    ``problema`` says of each request whether its own office, or that of a row that
+    could be its exit, has several courts; its other columns are then of no use.
+    """
     if period_end is None and "fin_periodo" not in requests.columns:
         raise ValueError("neither a period end nor fin_periodo is given")
     ends = None if period_end is None else _period_ends(period_end)
-    courts = court_lookup(tables.courts)
+    if quarantine:
+        courts, bad_offices = quarantined_courts(tables.courts)
+    else:
+        courts, bad_offices = court_lookup(tables.courts), None
     profile = _profile(requests, own_ends=ends is None)
     keys = ["idexp", "juzgado"]
     asked = with_court(requests, "ta_oficina", courts)
@@ -89,16 +110,20 @@ def resolve_exits(
     elif "fin_periodo" in requests.columns:
         # A filter, as a column that nothing uses would not be computed.
         asked = asked.filter(_known(F.col("fin_periodo") == timestamp_literal(ends[0])))
-    latest = _latest_per_case(
-        tables, courts, last, profile.earliest, exit_codes, child_codes, steps,
-        _few_cases(requests, profile.count, tables.cases),
-    )
+    few = _few_cases(requests, profile.count, tables.cases)
+    bounds = (last, profile.earliest, exit_codes, child_codes, steps, few)
+    latest = _latest_per_case(tables, courts, *bounds)
     if steps is None:
         best = _two_latest(latest)
     else:
         keys.append(STEP)
         best = _as_of(latest, asked.select(*keys))
     joined = spread_join(asked, best, keys, "left", profile.hot, hot_on=["idexp"])
+    problem = F.lit(None).cast("string")
+    if bad_offices is not None:
+        joined = _with_problems(joined, tables, bad_offices, bounds, profile.hot)
+        seen = from_day(F.col("dudoso.fecha_actuacion"), F.col("ta_fecha"))
+        problem = F.coalesce("problema", F.when(seen, F.col("dudoso.codigo")))
     since = F.col("ta_fecha")
     several = F.coalesce(from_day(F.col("segunda_fecha"), since), F.lit(False))
     single = from_day(F.col("ultimo.fecha_actuacion"), since) & ~several
@@ -111,9 +136,37 @@ def resolve_exits(
         .alias("id_act"),
         F.when(single, F.col("ultimo.fecha_actuacion")).alias("fecha_salida"),
         F.when(single, F.col("ultimo.codigo")).alias("codigo_salida"),
+        *([problem.alias("problema")] if quarantine else []),
     )
 
 
+def _with_problems(
+    asked: DataFrame, tables: CaseTables, bad_offices: Lookup, bounds: tuple, hot: HotKeys
+) -> DataFrame:
+    """The requests with ``problema`` of their own office, and ``dudoso``, the latest row of their
+    case at an office of several courts, with the problem as its ``codigo``.
+
+    Read only if there is such an office. The rows of these offices take the same
+    way as all others, each office as a court of its own.
+    """
+    own = bad_offices.rows.withColumnRenamed("id_oficina", "ta_oficina")
+    asked = lookup_join(asked, own, ["ta_oficina"], "left", small=bad_offices.small)
+    text = bad_offices.rows.select(F.col("id_oficina").alias("juzgado"), "problema")
+    offices = bad_offices.rows.select("id_oficina", F.col("id_oficina").alias("juzgado"))
+    rows = _latest_per_case(tables, Lookup(offices, bad_offices.small), *bounds)
+    named = lookup_join(rows, text, ["juzgado"], "inner", small=bad_offices.small)
+    together = named.withColumn("ultimo", F.col("ultimo").withField("codigo", F.col("problema")))
+    together = together.withColumn("juzgado", F.lit(0).cast("bigint"))
+    if STEP in rows.columns:
+        keys = ["idexp", STEP]
+        points = asked.select("idexp", F.lit(0).cast("bigint").alias("juzgado"), STEP)
+        latest = _as_of(together, points)
+    else:
+        keys, latest = ["idexp"], _two_latest(together)
+    found = latest.select(*keys, F.col("ultimo").alias("dudoso"))
+    return spread_join(asked, found, keys, "left", hot, hot_on=["idexp"])
+
+
 def latest_per_case(
     tables: CaseTables,
     period_end: Moment | Sequence[Moment],

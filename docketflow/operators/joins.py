@@ -153,19 +153,22 @@ def lookup_join(
     return spread_join(facts, dim, keys, how, hot_keys(facts, keys) if hot is None else hot, hot_on)
 
 
-def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
+def unique_lookup(df: DataFrame, key: str, value: str, quarantine: bool = False) -> DataFrame:
     """One row per key; the query fails when a key has two different values.
 
+    With ``quarantine`` it does not: such a key has no value, and a text in ``problema``.
     Repeated copies collapse before the shuffle. The result is partitioned by
     ``key``, so a join on it needs no further exchange of this side.
     """
     rows, known = F.count(F.lit(1)), F.count(value)
     conflict = (F.min(value) != F.max(value)) | ((known > 0) & (known < rows))
     problem = F.concat(F.lit(f"more than one {value} for {key} "), F.col(key).cast("string"))
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.when(conflict, F.raise_error(problem)).otherwise(F.max(value)).alias(value))
+    grouped = df.filter(F.col(key).isNotNull()).groupBy(key)
+    if not quarantine:
+        return grouped.agg(F.when(conflict, F.raise_error(problem)).otherwise(F.max(value)).alias(value))
+    return grouped.agg(
+        F.when(~F.coalesce(conflict, F.lit(False)), F.max(value)).alias(value),
+        F.when(conflict, problem).alias("problema"),
     )
 
 

@@ -32,6 +32,19 @@ def court_lookup(courts: DataFrame) -> Lookup:
     return Lookup(unique_lookup(pairs, "id_oficina", "juzgado"), fits_broadcast(pairs))
 
 
+def quarantined_courts(courts: DataFrame) -> tuple[Lookup, Lookup | None]:
+    """The offices of one court, and those of several as ``(id_oficina, problema)`` if there are any.
+
+    An office of several courts is in neither row by row: as with an unknown office,
+    its court is NULL.
+    """
+    pairs = courts.select("id_oficina", "juzgado")
+    small = fits_broadcast(pairs)
+    checked = unique_lookup(pairs, "id_oficina", "juzgado", quarantine=True)
+    bad = checked.filter("problema is not null").select("id_oficina", "problema")
+    return Lookup(checked.drop("problema"), small), None if bad.isEmpty() else Lookup(bad, small)
+
+
 def with_court(
     df: DataFrame, office_col: str, courts: DataFrame | Lookup, how: str = "left",
     hot: HotKeys | None = None,

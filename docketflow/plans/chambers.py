@@ -159,12 +159,15 @@ def chamber_statistics(
     periods: Sequence[ChamberPeriod],
     exit_codes: Iterable[str] = EXIT_CODES,
     child_codes: Iterable[str] = CHILD_CODES,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Requests per chamber, court and outcome, all chambers in one job.
 
     ``resultado`` is ``salida``, ``sin_salida`` or ``varias``. A chamber without
     requests in its period has one row with ``n = 0``, so that every period
-    asked for appears in the result.
+    asked for appears in the result. With ``quarantine`` an office of several
+    courts does not fail the job: the requests it concerns are counted in a row
+    ``error`` of their period, with the text in ``problema``.
     """
     asked = requests_in_periods(requests, periods).withColumn("fin_periodo", F.col("hasta"))
     ends = [period.hasta for period in periods]
@@ -173,10 +176,19 @@ def chamber_statistics(
         .when(F.col("id_act") == SEVERAL_EXITS, "varias")
         .otherwise("salida")
     )
+    resolved = resolve_exits(asked, tables, ends, exit_codes, child_codes, quarantine)
+    court, code, more = F.col("juzgado"), F.col("codigo_salida"), []
+    if quarantine:
+        fine = F.col("problema").isNull()
+        court, code = F.when(fine, court), F.when(fine, code)
+        outcome = F.when(~fine, "error").otherwise(outcome)
+        more = ["problema"]
     counted = (
-        resolve_exits(asked, tables, ends, exit_codes, child_codes)
-        .groupBy("camara", "desde", "hasta", "juzgado", outcome.alias("resultado"), "codigo_salida")
-        .agg(F.count(F.lit(1)).alias("n"))
+        resolved.groupBy(
+            "camara", "desde", "hasta", court.alias("juzgado"), outcome.alias("resultado"),
+            code.alias("codigo_salida"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"), *(F.min(name).alias(name) for name in more))
     )
     every_period = periods_frame(requests.sparkSession, periods).drop("procedimiento")
     return every_period.join(counted, ["camara", "desde", "hasta"], "left").select(
@@ -187,4 +199,5 @@ def chamber_statistics(
         "resultado",
         "codigo_salida",
         F.coalesce("n", F.lit(0)).alias("n"),
+        *more,
     )

@@ -13,12 +13,7 @@ from pyspark.sql import functions as F
 from docketflow.functions.dates import Moment
 from docketflow.operators.joins import fits_broadcast, lookup_join
 from docketflow.plans.chambers import ChamberPeriod, period_of, periods_frame, select_chambers
-from docketflow.sources.results import (
-    append_errors,
-    read_errors,
-    read_statistics,
-    save_statistics,
-)
+from docketflow.sources.store import RunStore, Staged
 
 log = logging.getLogger(__name__)
 
@@ -62,8 +57,7 @@ def pending_periods(requested: DataFrame, done: DataFrame, recalculate: bool = F
 def run_chambers(
     spark: SparkSession,
     compute: Callable[[Sequence[ChamberPeriod]], DataFrame],
-    results: str,
-    errors: str,
+    store: RunStore | str,
     desde: Moment | None = None,
     hasta: Moment | None = None,
     camaras: Collection[int] | None = None,
@@ -73,67 +67,70 @@ def run_chambers(
     """Compute and store the statistic of the chambers asked for.
 
     ``compute`` returns the statistic of the periods it is given. All chambers
-    share one job; if its data make it fail, each runs alone, so that one
-    failing chamber does not hold up the others. A plan that cannot be analysed
-    fails them all at once, as no chamber could do better. A failure becomes a
-    row of the error log and an outcome, and is not raised; the rows of a run
-    are appended together. Stored periods are skipped unless ``recalculate``.
-
-    ``run_id`` is the number of the run in results and error log. Without it the
-    number after the highest stored one is taken, which reads that column of
-    both and is not safe for two runs at once: concurrent callers pass their own.
+    share one job. Where its rows have a ``problema`` (as those of
+    ``chamber_statistics(..., quarantine=True)``), the chambers of these rows fail
+    and the others are stored, from that same job. If the job itself fails, each
+    chamber runs alone; a plan that cannot be analysed fails them all at once, as
+    no chamber could do better. A failure becomes a row of the error log and an
+    outcome, and is not raised; a failed chamber keeps its former result. Results
+    and errors of a run are published together. Stored periods are skipped unless
+    ``recalculate``.
+
+    ``store`` is the folder of the runs. ``run_id`` is the number of the run in
+    results and error log; without it the run claims one of its own, unless it has nothing to write.
     """
+    store = RunStore(spark, store) if isinstance(store, str) else store
     outcomes: list[RunOutcome] = []
     problems: list[tuple[str, str]] = []
 
-    def fail(chamber, problem: Exception, before: bool | None) -> None:
-        problems.append((str(problem), chamber.procedimiento))
-        outcomes.append(
-            RunOutcome(chamber.camara, chamber.procedimiento, FAILED, before, str(problem))
-        )
+    def fail(chamber, problem: str, before: bool | None) -> None:
+        problems.append((problem, chamber.procedimiento))
+        outcomes.append(RunOutcome(chamber.camara, chamber.procedimiento, FAILED, before, problem))
 
     periods = []
     for chamber in select_chambers(camaras):
         try:
             periods.append(period_of(chamber, desde, hasta))
         except ValueError as problem:
-            fail(chamber, problem, None)
-    stored = read_statistics(spark, results)
-    run = _next_run(spark, stored, errors) if run_id is None else run_id
-    pending, before = _plan(spark, periods, stored, recalculate)
+            fail(chamber, str(problem), None)
+    pending, before = _plan(spark, periods, store.statistics(), recalculate)
+    run = run_id
+    if run is None and (pending or problems):
+        run = store.claim()
     for period in periods:
         if period not in pending:
             outcomes.append(RunOutcome(*period[:2], SKIPPED, before[period.camara]))
-
-    def store(some: Sequence[ChamberPeriod]) -> None:
-        save_statistics(compute(some), results, run)
-        outcomes.extend(RunOutcome(*period[:2], DONE, before[period.camara]) for period in some)
+    staged: list[Staged] = []
+
+    def compute_and_stage(some: Sequence[ChamberPeriod]) -> None:
+        rows = store.stage(compute(some), run)
+        staged.append(rows)
+        bad = {(p.camara, p.desde, p.hasta): p.problema for p in rows.periods if p.problema}
+        for period in some:
+            problem = bad.get((period.camara, period.desde, period.hasta))
+            if problem is None:
+                outcomes.append(RunOutcome(*period[:2], DONE, before[period.camara]))
+            else:
+                fail(period, problem, before[period.camara])
 
     if pending:
         try:
-            store(pending)
+            compute_and_stage(pending)
         except Exception as problem:
             if len(pending) == 1 or isinstance(problem, AnalysisException):
                 for period in pending:
-                    fail(period, problem, before[period.camara])
+                    fail(period, str(problem), before[period.camara])
             else:
                 log.warning("joint run failed, running each chamber alone: %s", problem)
                 for period in pending:
                     try:
-                        store([period])
+                        compute_and_stage([period])
                     except Exception as own_problem:
-                        fail(period, own_problem, before[period.camara])
-    append_errors(spark, errors, problems, run)
+                        fail(period, str(own_problem), before[period.camara])
+    store.commit(staged, problems, run)
     return sorted(outcomes)
 
 
-def _next_run(spark: SparkSession, stored: DataFrame | None, errors: str) -> int:
-    """One more than the highest run number of results and errors."""
-    tables = [table for table in (stored, read_errors(spark, errors)) if table is not None]
-    highest = [table.agg(F.max("run_id")).first()[0] for table in tables]
-    return 1 + max((n for n in highest if n is not None), default=0)
-
-
 def _plan(
     spark: SparkSession, periods: list[ChamberPeriod], stored: DataFrame | None, recalculate: bool
 ) -> tuple[list[ChamberPeriod], dict[int, bool]]:

@@ -1,14 +1,18 @@
+import collections
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
 from conftest import at, plan_of, table, tables_of
 from pyspark.sql import functions as F
+from test_exits import as_frames, by_definition, random_data
 
 from docketflow import (
     CHAMBERS,
     ChamberPeriod,
+    RunStore,
     append_error,
     chamber_periods,
     chamber_statistics,
@@ -22,9 +26,11 @@ from docketflow import (
     run_chambers,
     save_statistics,
 )
+from docketflow.operators import exits
 from docketflow.plans import chambers
 from docketflow.plans.runs import DONE, FAILED, SKIPPED
-from docketflow.sources.results import shared_folder
+from docketflow.sources import store as stores
+from docketflow.sources.store import shared_folder
 
 STARTS, ENDS = at("2008-01-01"), at("2008-12-31")
 
@@ -173,16 +179,16 @@ def test_pending_periods(spark, way):
 
 def test_statistics_are_stored_replaced_and_skipped(spark, small):
     requests, tables = small
-    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    folder = shared_folder(spark, "runs")
 
     def run(source, **options):
         return run_chambers(
-            spark, lambda periods: chamber_statistics(source, tables, periods), results, errors,
+            spark, lambda periods: chamber_statistics(source, tables, periods), folder,
             camaras=[13, 14], **options,
         )
 
     def stored():
-        rows = read_statistics(spark, results).groupBy("camara", "desde").agg(
+        rows = read_statistics(spark, folder).groupBy("camara", "desde").agg(
             F.sum("n").alias("n"), F.max("run_id").alias("run_id")
         )
         return {(row.camara, row.desde.year): (row.n, row.run_id) for row in rows.collect()}
@@ -196,39 +202,39 @@ def test_statistics_are_stored_replaced_and_skipped(spark, small):
     following = run(requests, desde=at("2009-01-01"), hasta=at("2009-12-31"))
     assert [(o.estado, o.tiene_anterior) for o in following] == [(DONE, True), (DONE, True)]
     assert stored()[13, 2008] == (3, 2) and stored()[13, 2009] == (0, 3)
-    assert read_errors(spark, errors).count() == 0
+    assert read_errors(spark, folder).count() == 0
 
 
 def test_one_failing_chamber_does_not_stop_the_others(spark, small):
     requests, _ = small
-    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    folder = shared_folder(spark, "runs")
     bad = F.when(F.col("camara") == 14, F.raise_error(F.lit("no data for 14"))).otherwise(F.col("n"))
     outcomes = run_chambers(
         spark, lambda periods: requests_per_period(requests, periods).withColumn("n", bad),
-        results, errors, camaras=[8, 13, 14],
+        folder, camaras=[8, 13, 14],
     )
     assert [(o.camara, o.estado) for o in outcomes] == [(8, FAILED), (13, DONE), (14, FAILED)]
-    logged = {row.nombre_proceso: row for row in read_errors(spark, errors).collect()}
+    logged = {row.nombre_proceso: row for row in read_errors(spark, folder).collect()}
     assert set(logged) == {"calcular_estadistica_federal", "calcular_estadistica_comodoro"}
     assert "no data for 14" in logged["calcular_estadistica_comodoro"].m_error
     assert all(row["at"] is not None for row in logged.values())
-    assert [row.camara for row in read_statistics(spark, results).collect()] == [13]
+    assert [row.camara for row in read_statistics(spark, folder).collect()] == [13]
 
 
 def test_a_run_after_one_that_failed_altogether(spark, small):
     requests, _ = small
-    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    folder = shared_folder(spark, "runs")
 
     def run(n):
         return run_chambers(
             spark, lambda periods: requests_per_period(requests, periods).withColumn("n", n),
-            results, errors, camaras=[13, 14],
+            folder, camaras=[13, 14],
         )
 
     assert [o.estado for o in run(F.raise_error(F.lit("x")).cast("bigint"))] == [FAILED, FAILED]
-    assert read_errors(spark, errors).count() == 2
+    assert read_errors(spark, folder).count() == 2
     assert [o.estado for o in run(F.col("n"))] == [DONE, DONE]
-    assert read_statistics(spark, results).count() == 2
+    assert read_statistics(spark, folder).count() == 2
 
 
 def test_periods_a_fraction_of_a_second_apart_both_stay(spark):
@@ -254,34 +260,182 @@ def test_folder_without_checkpoint_dir_is_in_the_warehouse():
 
 def test_a_plan_that_cannot_be_analysed_fails_once(spark, small):
     requests, _ = small
-    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    folder = shared_folder(spark, "runs")
     calls = []
 
     def compute(periods):
         calls.append(len(periods))
         return requests_per_period(requests, periods).select("no_such_column")
 
-    outcomes = run_chambers(spark, compute, results, errors, camaras=[8, 13, 14], run_id=7)
+    outcomes = run_chambers(spark, compute, folder, camaras=[8, 13, 14], run_id=7)
     assert [o.estado for o in outcomes] == [FAILED] * 3 and calls == [2]
-    logged = read_errors(spark, errors)
+    logged = read_errors(spark, folder)
     assert {row.run_id for row in logged.collect()} == {7} and logged.count() == 3
-    assert logged.select(F.input_file_name()).distinct().count() == 1
+    assert len(stores.Folder(spark, f"{folder}/commits").numbers()) == 1
 
 
 def test_a_failed_run_has_a_number_of_its_own(spark, small):
     requests, _ = small
-    results, errors = shared_folder(spark, "results"), shared_folder(spark, "errors")
+    folder = shared_folder(spark, "runs")
 
     def run(n):
         run_chambers(
             spark, lambda periods: requests_per_period(requests, periods).withColumn("n", n),
-            results, errors, camaras=[13, 14],
+            folder, camaras=[13, 14],
         )
 
     run(F.raise_error(F.lit("x")).cast("bigint"))
     run(F.col("n"))
-    assert {row.run_id for row in read_errors(spark, errors).collect()} == {1}
-    assert {row.run_id for row in read_statistics(spark, results).collect()} == {2}
+    assert {row.run_id for row in read_errors(spark, folder).collect()} == {1}
+    assert {row.run_id for row in read_statistics(spark, folder).collect()} == {2}
+
+
+def test_two_threads_get_different_numbers(spark):
+    folder = shared_folder(spark, "runs")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: RunStore(spark, folder).claim(), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+
+
+def test_commits_of_several_threads_are_all_published(spark):
+    folder = shared_folder(spark, "runs")
+
+    def add(k):
+        append_error(spark, folder, f"problem {k}", "p", k)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, range(8)))
+    assert sorted(r.run_id for r in read_errors(spark, folder).collect()) == list(range(8))
+
+
+def test_a_number_is_created_whole_and_once(spark):
+    folder = stores.Folder(spark, shared_folder(spark, "numbers"))
+    assert folder.numbers() == []
+    assert folder.create(3, "first") and not folder.create(3, "second")
+    assert folder.numbers() == [3] and folder.add(str) == 4
+    lines = spark.read.text(folder.path).collect()
+    assert sorted(r.value for r in lines) == ["4", "first"]
+
+
+def test_a_file_system_that_is_not_local_renames(spark):
+    folder = stores.Folder(spark, shared_folder(spark, "numbers"))
+    folder._local = False
+    assert folder.create(3, "first") and not folder.create(3, "second") and folder.add(str) == 4
+    assert sorted(r.value for r in spark.read.text(folder.path).collect()) == ["4", "first"]
+
+
+def counted(stats):
+    rows = stats.groupBy("camara").agg(F.sum("n").alias("n"), F.max("run_id").alias("run_id"))
+    return {r.camara: (r.n, r.run_id) for r in rows.collect()}
+
+
+def test_a_run_that_stops_before_its_commit_leaves_the_former_result(spark, small):
+    requests, tables = small
+    store = RunStore(spark, shared_folder(spark, "runs"))
+    periods = chamber_periods(camaras=[13, 14])
+    first = chamber_statistics(requests, tables, periods)
+    store.commit([store.stage(first, 1)])
+    before = store.statistics()
+    more = chamber_statistics(requests.union(requests), tables, periods)
+    staged = store.stage(more, 2)  # and the run is gone
+    assert counted(store.statistics()) == {13: (3, 1), 14: (1, 1)}
+    # A reader that began before the commit keeps its result, a later one sees all of the commit.
+    store.commit([staged], [("late", "p")], 2)
+    assert counted(before) == {13: (3, 1), 14: (1, 1)}
+    assert counted(store.statistics()) == {13: (6, 2), 14: (2, 2)}
+    assert [(r.m_error, r.run_id) for r in store.errors().collect()] == [("late", 2)]
+
+
+def test_a_write_that_fails_half_way_leaves_the_former_result(spark, small):
+    requests, tables = small
+    store = RunStore(spark, shared_folder(spark, "runs"))
+    periods = chamber_periods(camaras=[13, 14])
+    stats = chamber_statistics(requests, tables, periods)
+    store.commit([store.stage(stats, 1)])
+    broken = F.when(F.col("camara") == 14, F.raise_error(F.lit("broken"))).otherwise(F.col("n"))
+    with pytest.raises(Exception, match="broken"):
+        store.stage(stats.withColumn("n", broken.cast("bigint")), 2)
+    assert counted(store.statistics()) == {13: (3, 1), 14: (1, 1)}
+    assert store.errors().count() == 0
+
+
+def test_nothing_to_publish_is_no_commit(spark):
+    store = RunStore(spark, shared_folder(spark, "runs"))
+    assert store.commit() is None and store.statistics() is None and store.errors().count() == 0
+
+
+def doubtful_by_definition(requests, events, states, cases, changes, courts):
+    """Requests at an office of several courts, or with a possible exit at one."""
+    known = collections.defaultdict(set)
+    for office, court in courts:
+        known[office].add(court)
+    bad = {office for office, found in known.items() if len(found) > 1}
+    code, origin = dict(states), dict(cases)
+    rows = [(d, c, o) for _, c, s, o, d in events if code.get(s) in ("SOB", "ARC")]
+    rows += [(d, origin.get(c), o) for _, c, s, o, d in events if code.get(s) == "ETO"]
+    rows += [(d, origin.get(c), o) for _, c, o, d, k in changes if k == "ETO"]
+    found = set()
+    for request_id, idexp, since, office, _, end in requests:
+        near = any(
+            o in bad and target is not None and target == idexp and None not in (d, since)
+            and since <= datetime.combine(d.date(), datetime.min.time()) <= end
+            for d, target, o in rows
+        )
+        if office in bad or near:
+            found.add(request_id)
+    return found
+
+
+@pytest.mark.parametrize("way_, several", [("broadcast", True), ("broadcast", False), ("shuffled", True)])
+def test_offices_of_several_courts_are_quarantined(spark, request, way_, several):
+    if way_ == "shuffled":
+        request.getfixturevalue("no_broadcast")
+    requests, *data, ends = random_data(31, 0.1)
+    if not several:
+        requests, ends = [(*r[:5], ends[1]) for r in requests], ends[1:2]
+    *most, courts = data
+    doubled = courts + [(3, 100), (3, 200), (7, None), (7, 300), (11, 200), (11, 200)]
+    asked, tables = as_frames(spark, requests, *most, doubled)
+    for given in (ends, None):
+        rows = exits.resolve_exits(asked, tables, given, ("SOB", "ARC"), ("ETO",), quarantine=True).collect()
+        bad = doubtful_by_definition(requests, *most, doubled)
+        assert {r.request_id for r in rows if r.problema is not None} == bad
+        assert 0 < len(bad) < len(requests) == len(rows)
+        assert {r.problema for r in rows} <= {None, *(f"more than one juzgado for id_oficina {o}" for o in range(12))}
+        # The others are as if these offices did not exist.
+        single = [(o, j) for o, j in doubled if len({b for a, b in doubled if a == o}) == 1]
+        expected = by_definition(requests, *most, single, ("SOB", "ARC"), ("ETO",))
+        assert {r.request_id: (r.id_act, r.fecha_salida, r.codigo_salida) for r in rows if r.problema is None} == {
+            k: answer for k, answer in expected.items() if k not in bad
+        }
+
+
+def test_one_bad_office_fails_its_chamber_in_one_job(spark, small):
+    requests, tables = small
+    doubled = tables._replace(courts=tables.courts.union(tables.courts.limit(1).withColumn("juzgado", F.lit(300).cast("long"))))
+    bad_office = tables.courts.limit(1).first().id_oficina
+    store, calls = RunStore(spark, shared_folder(spark, "runs")), []
+
+    def compute(periods):
+        calls.append([p.camara for p in periods])
+        return chamber_statistics(requests, doubled, periods, quarantine=True)
+
+    outcomes = run_chambers(spark, compute, store, camaras=[13, 14, 16])
+    failed = 13 if bad_office == 10 else 14
+    assert calls == [[13, 14, 16]]
+    assert {o.camara: o.estado for o in outcomes} == {
+        k: FAILED if k == failed else DONE for k in (13, 14, 16)
+    }
+    (error,) = store.errors().collect()
+    assert error.m_error == f"more than one juzgado for id_oficina {bad_office}" and error.run_id == 1
+    assert set(counted(store.statistics())) == {13, 14, 16} - {failed}
+    assert "problema" not in store.statistics().columns
+    # Mended, the failed chamber alone is computed again.
+    again = run_chambers(
+        spark, lambda periods: chamber_statistics(requests, tables, periods, quarantine=True), store,
+        camaras=[13, 14, 16],
+    )
+    assert [o.estado for o in again].count(DONE) == 1 and set(counted(store.statistics())) == {13, 14, 16}
 
 
 def test_error_log_is_appended(spark):

@@ -23,6 +23,8 @@ DAY_FROM, DAY_TO = datetime(2024, 1, 5, 10), datetime(2024, 1, 8)
 KEEP_FROM = datetime(1998, 1, 1)
 LOG_FIRST, LOG_LAST, LOG_STEP = 100, 1_000, 7
 ONE_CHAMBER = 17
+# Offices of two courts each: the chamber whose requests are at one, and whose events at the other.
+DOUBTFUL_REQUESTS, DOUBTFUL_EVENTS = (1_000_000, 17), (1_000_001, 20)
 REPEATED = 4
 PERIODS = (
     chamber_periods(datetime(1996, 1, 1), datetime(1999, 12, 31), [6, 8, 9])
@@ -144,6 +146,30 @@ def case_tables(spark: SparkSession, sf_dir: str) -> CaseTables:
     )
 
 
+def requests_at_doubtful_office(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests; each seventh case of one chamber asks at an office of two courts."""
+    office_id, camara = DOUBTFUL_REQUESTS
+    there = (F.col("camara") == camara) & (F.col("idexp") % 7 == 0)
+    return requests(spark, sf_dir).withColumn(
+        "ta_oficina", F.when(there, F.lit(office_id).cast("bigint")).otherwise(F.col("ta_oficina"))
+    )
+
+
+def doubtful_tables(spark: SparkSession, sf_dir: str) -> CaseTables:
+    """The case tables with two offices of two courts each, one of them with events."""
+    tables = case_tables(spark, sf_dir)
+    office_id, camara = DOUBTFUL_EVENTS
+    case = F.col("id_expediente")
+    # Cases without origin, so that no other chamber is concerned.
+    there = (case % 15 + 13 == camara) & (case % 4 != 1) & (F.col("id_actuacion_exp") % 8 == 1)
+    moved = tables.events.withColumn(
+        "id_oficina", F.when(there, F.lit(office_id).cast("bigint")).otherwise(F.col("id_oficina"))
+    )
+    double = [(o, j) for o, _ in (DOUBTFUL_REQUESTS, DOUBTFUL_EVENTS) for j in (1, 2)]
+    more = parameter_table(spark, double, {"id_oficina": "bigint", "juzgado": "bigint"})
+    return tables._replace(events=moved, courts=tables.courts.unionByName(more))
+
+
 def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event, numbered so that each eleventh number is never used."""
     return load(spark, sf_dir, "events").select(

@@ -91,6 +91,38 @@ resolved AS (
 """
 
 
+def _quarantined() -> str:
+    """The statistic by chamber; a chamber with a doubtful request has the text of one instead."""
+    (ask_office, ask_camara), (row_office, row_camara) = m.DOUBTFUL_REQUESTS, m.DOUBTFUL_EVENTS
+    text = "'more than one juzgado for id_oficina ' || "
+    start, end = _ts(m.PERIODS[0].desde), _ts(m.PERIODS[0].hasta)
+    return f"""{_TABLES.replace("l_suppkey AS oficina", f"""CASE
+           WHEN l_orderkey % 15 + 13 = {row_camara} AND l_orderkey % 4 <> 1 AND l_linenumber = 1
+           THEN {row_office} ELSE l_suppkey END AS oficina""")},
+doubtful(oficina) AS (VALUES ({ask_office}), ({row_office})),
+in_period AS (
+  SELECT q.request_id, q.idexp, q.ta_fecha, q.camara,
+         CASE WHEN o_office = {ask_office} THEN NULL ELSE q.juzgado END AS juzgado, o_office
+  FROM (SELECT *, CASE WHEN camara = {ask_camara} AND idexp % 7 = 0 THEN {ask_office} END AS o_office
+        FROM asked WHERE camara BETWEEN 13 AND 27) q
+  WHERE date_trunc('day', q.ta_fecha) BETWEEN {start} AND {end}),
+wrong AS (
+  SELECT camara, min({text} coalesce(o_office, r.oficina)) AS m_error
+  FROM in_period q LEFT JOIN (SELECT * FROM all_rows WHERE oficina IN (FROM doubtful)) r
+    ON r.idexp = q.idexp AND date_trunc('day', r.fecha) BETWEEN q.ta_fecha AND {end}
+  WHERE o_office IS NOT NULL OR r.oficina IS NOT NULL GROUP BY camara),
+{_resolved("in_period", end)},
+grouped AS (
+  SELECT camara, juzgado, codigo_salida, count(*) AS n,
+         CASE id_act WHEN -2 THEN 'sin_salida' WHEN -3 THEN 'varias' ELSE 'salida' END AS resultado
+  FROM resolved WHERE camara NOT IN (SELECT camara FROM wrong) GROUP BY ALL)
+SELECT c.camara, juzgado, resultado, codigo_salida, coalesce(n, 0) AS n, NULL AS m_error
+FROM (SELECT CAST(unnest(range(13, 28)) AS INTEGER) AS camara) c LEFT JOIN grouped USING (camara)
+WHERE c.camara NOT IN (SELECT camara FROM wrong)
+UNION ALL BY NAME SELECT camara, m_error FROM wrong
+"""
+
+
 def _statistics(periods, more: str = "") -> str:
     """Requests counted by chamber, period, court and outcome."""
     rows = ", ".join(f"(CAST({p.camara} AS INTEGER), {_ts(p.desde)}, {_ts(p.hasta)})" for p in periods)
@@ -227,4 +259,5 @@ GROUP BY procedimiento, has_end
         _STORED,
         f", CAST(CASE WHEN p.camara < {13 + m.REPEATED} THEN 2 ELSE 1 END AS BIGINT) AS ejecucion",
     ),
+    "quarantined_chambers": _quarantined(),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import docketflow as df
-from docketflow.sources.results import shared_folder
+from docketflow.sources.store import shared_folder
 from workload import mapping as m
 
 
@@ -178,17 +178,15 @@ def pending_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over all chambers without an end date: two have no default and fail."""
     requests = m.requests(spark, sf_dir)
-    results = shared_folder(spark, "statistics")
-    errors = shared_folder(spark, "errors")
+    store = df.RunStore(spark, shared_folder(spark, "runs"))
     df.run_chambers(
         spark,
         lambda periods: df.requests_per_period(requests, periods),
-        results,
-        errors,
+        store,
         desde=datetime(1995, 1, 1),
     )
-    stored = df.read_statistics(spark, results).select("procedimiento", "n")
-    failed = df.read_errors(spark, errors).select(
+    stored = store.statistics().select("procedimiento", "n")
+    failed = store.errors().select(
         F.col("nombre_proceso").alias("procedimiento"), "m_error"
     )
     return stored.join(failed, "procedimiento", "full")
@@ -202,7 +200,7 @@ def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaces theirs.
     """
     requests, tables = m.requests(spark, sf_dir), m.case_tables(spark, sf_dir)
-    results, errors = shared_folder(spark, "statistics"), shared_folder(spark, "errors")
+    store = df.RunStore(spark, shared_folder(spark, "runs"))
     start, end = m.PERIODS[0].desde, m.PERIODS[0].hasta
 
     def compute(periods):
@@ -210,13 +208,40 @@ def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     chambers = range(13, 28)
     for camaras, again in ((chambers, False), (chambers, False), (chambers[: m.REPEATED], True)):
-        df.run_chambers(spark, compute, results, errors, start, end, camaras, again)
-    return df.read_statistics(spark, results).select(
+        df.run_chambers(spark, compute, store, start, end, camaras, again)
+    return store.statistics().select(
         "camara", "desde", "hasta", "juzgado", "resultado", "codigo_salida", "n",
         F.col("run_id").alias("ejecucion"),
     )
 
 
+def quarantined_chambers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which two offices have two courts each: their chambers fail, the others are stored.
+
+    One office is that of some requests of a chamber, the other that of events of
+    another chamber's cases.
+    """
+    requests, tables = m.requests_at_doubtful_office(spark, sf_dir), m.doubtful_tables(spark, sf_dir)
+    store = df.RunStore(spark, shared_folder(spark, "runs"))
+    start, end = m.PERIODS[0].desde, m.PERIODS[0].hasta
+
+    def compute(periods):
+        return df.chamber_statistics(
+            requests, tables, periods, m.EXIT_CODES, m.CHILD_CODES, quarantine=True
+        )
+
+    df.run_chambers(spark, compute, store, start, end, range(13, 28))
+    names = {c.procedimiento: c.camara for c in df.CHAMBERS}
+    camara = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    failed = store.errors().select(
+        camara[F.col("nombre_proceso")].alias("camara"), F.col("m_error")
+    )
+    stored = store.statistics().select(
+        "camara", "juzgado", "resultado", "codigo_salida", "n", F.lit(None).cast("string").alias("m_error")
+    )
+    return stored.unionByName(failed, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -243,5 +268,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pending_periods,
         error_log_append,
         stored_statistics,
+        quarantined_chambers,
     )
 }
