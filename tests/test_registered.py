@@ -76,9 +76,10 @@ def test_one_chamber_is_pruned(spark):
     assert final.count("ReusedExchange [id_oficina#") == 1
 
 
-def test_log_bounds_reach_both_scans(spark):
+def test_log_bounds_reach_the_only_scan(spark):
     plan = plan_of(QUERIES["log_seconds_selected"](spark, SF_DIR))
-    assert plan.count("DataFilters: [(") + plan.count("DataFilters: [isnotnull") >= 2
+    assert plan.count("FileScan") == 1 and "DataFilters: [isnotnull" in plan
+    assert plan.count("Exchange rangepartitioning") == 1
     assert QUERIES["log_seconds_selected"](spark, SF_DIR).columns == ["segundos"]
 
 

@@ -21,6 +21,7 @@ STATES = (
 )
 DAY_FROM, DAY_TO = datetime(2024, 1, 5, 10), datetime(2024, 1, 8)
 KEEP_FROM = datetime(1998, 1, 1)
+LISTED_EVENTS = ("click", "purchase")
 LOG_FIRST, LOG_LAST, LOG_STEP = 100, 1_000, 7
 ONE_CHAMBER = 17
 # Offices of two courts each: the chamber whose requests are at one, and whose events at the other.
@@ -170,10 +171,15 @@ def doubtful_tables(spark: SparkSession, sf_dir: str) -> CaseTables:
     return tables._replace(events=moved, courts=tables.courts.unionByName(more))
 
 
+def log_number() -> Column:
+    """The number of an event; each eleventh is never used."""
+    return (F.col("event_id") + F.expr("event_id div 10")).alias("numfila")
+
+
 def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event, numbered so that each eleventh number is never used."""
+    """Every event under its number."""
     return load(spark, sf_dir, "events").select(
-        (F.col("event_id") + F.expr("event_id div 10")).alias("numfila"), F.col("ts").alias("fecha")
+        log_number(), F.col("ts").alias("fecha")
     )
 
 

@@ -185,6 +185,12 @@ FROM log a
 WHERE a.numfila BETWEEN {m.LOG_FIRST} AND {m.LOG_LAST}
   AND a.numfila IN ({", ".join(map(str, range(m.LOG_FIRST, 2 * m.LOG_LAST, m.LOG_STEP)))})
 ORDER BY a.numfila
+""",
+    "log_seconds_listed": f"""
+WITH log AS (SELECT event_id + event_id // 10 AS numfila, ts AS fecha, event_type FROM events)
+SELECT a.numfila, date_diff('second', date_trunc('second', a.fecha), date_trunc('second', (
+         SELECT b.fecha FROM log b WHERE a.numfila = b.numfila + 1))) AS segundos
+FROM log a WHERE a.event_type IN {_codes(m.LISTED_EVENTS)}
 """,
     "events_with_court": f"""{_TABLES}
 SELECT v.id AS id_actuacion_exp, v.caso AS id_expediente, v.fecha AS fecha_actuacion,

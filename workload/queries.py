@@ -38,6 +38,13 @@ def log_seconds_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.log_seconds(m.process_log(spark, sf_dir), m.LOG_FIRST, m.LOG_LAST, numbers)
 
 
+def log_seconds_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of all rows of two kinds of event, given as a table as long as the log allows."""
+    listed = m.load(spark, sf_dir, "events").filter(F.col("event_type").isin(*m.LISTED_EVENTS))
+    numbers = listed.select(m.log_number())
+    return df.log_seconds(m.process_log(spark, sf_dir), numbers=numbers, keep_number=True)
+
+
 def events_with_court(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = df.with_status_code(
         m.events(spark, sf_dir), m.states(spark), m.EXIT_CODES + m.CHILD_CODES
@@ -249,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         order_days,
         log_seconds,
         log_seconds_selected,
+        log_seconds_listed,
         events_with_court,
         exit_own,
         exit_child_event,
