@@ -36,6 +36,7 @@ from docketflow.functions.dates import (
 )
 from docketflow.operators.candidates import origins
 from docketflow.operators import joins
+from docketflow.operators.bloom import BloomFilter, bloom_filter, with_bloom
 from docketflow.operators.joins import (
     HotKeys,
     hot_key_sketch,
@@ -275,15 +276,44 @@ def _first_ends(
     return steps
 
 
-def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> DataFrame | None:
-    """The requested cases, if they are few: small enough to broadcast, and a minor part.
+class _Asked(NamedTuple):
+    """The requested cases, if they are a minor part: as keys, or as a filter where they are many."""
 
-    Typical for the run of a single chamber. Rows of other cases then need not
-    be shuffled. Where the requests are many, None: every case is resolved.
+    keys: DataFrame | None
+    filter: BloomFilter | None = None
+
+    def mark(self, df: DataFrame, case: str, flag: str) -> DataFrame:
+        """``df`` with whether a case is, or with the filter may be, among the requested ones."""
+        if self.filter is not None:
+            return with_bloom(df, case, self.filter, flag)
+        # Joined by an expression, so that all joins share one broadcast.
+        few = F.broadcast(self.keys)
+        joined = df.join(few, df[case] == few["idexp"], "left")
+        return joined.select(*(df[x] for x in df.columns), few["idexp"].isNotNull().alias(flag))
+
+    def keep(self, df: DataFrame, case: str) -> DataFrame:
+        """The rows of requested cases."""
+        if self.filter is not None:
+            return with_bloom(df, case, self.filter, "__pedido").filter("__pedido").drop("__pedido")
+        few = F.broadcast(self.keys)
+        return df.join(few, df[case] == few["idexp"], "left_semi")
+
+
+def _few_cases(requests: DataFrame, count: int, cases: DataFrame) -> _Asked | None:
+    """The requested cases, if they are a minor part of all.
+
+    Typical for the run of a single chamber. Rows of other cases then need not be
+    shuffled: the cases are broadcast if they are small enough, and a Bloom filter
+    of them beyond that. Where the requests are most of the cases, None: every case
+    is resolved.
     """
-    if 16 * count > joins.BROADCAST_BYTES or cases.count() < PRUNE_RATIO * count:
+    if cases.count() < PRUNE_RATIO * count:
         return None
-    return requests.filter("idexp is not null").select("idexp").distinct()
+    asked = requests.filter("idexp is not null").select("idexp")
+    if 16 * count <= joins.BROADCAST_BYTES:
+        return _Asked(asked.distinct())
+    found = bloom_filter(asked, count)
+    return None if found is None else _Asked(None, found)
 
 
 def _latest_per_case(
@@ -294,7 +324,7 @@ def _latest_per_case(
     exit_codes: Iterable[str],
     child_codes: Iterable[str],
     steps: Callable[[DataFrame], DataFrame] | None = None,
-    asked_cases: DataFrame | None = None,
+    asked_cases: _Asked | None = None,
 ) -> DataFrame:
     """The latest row per requested case, court and case, with ``steps`` for each step of time."""
     moves = _moves(tables, last, since, list(exit_codes), list(child_codes))
@@ -303,12 +333,9 @@ def _latest_per_case(
         moves, step = steps(moves), [STEP]
     cases = tables.cases
     if asked_cases is not None:
-        # Joined by an expression, so that all three joins share one broadcast.
-        few = F.broadcast(asked_cases)
-        asked_own = moves["id_expediente"] == few["idexp"]
-        kept = F.col("derivado").isNotNull() | F.col("idexp").isNotNull()
-        moves = moves.join(few, asked_own, "left").filter(kept).drop("idexp")
-        cases = cases.join(few, cases["id_expediente_origen"] == few["idexp"], "left_semi")
+        moves = asked_cases.mark(moves, "id_expediente", "__pedido")
+        moves = moves.filter("derivado is not null or __pedido").drop("__pedido")
+        cases = asked_cases.keep(cases, "id_expediente_origen")
     if not courts.small:
         # The offices must be shuffled: collapse copies and busy offices first.
         moves = _latest(moves, ["id_expediente", "id_oficina", *step])
@@ -333,8 +360,7 @@ def _latest_per_case(
         .select("rol.idexp", "juzgado", "id_expediente", *step, "rol.ultimo")
     )
     if asked_cases is not None:
-        few = F.broadcast(asked_cases)
-        by_target = by_target.join(few, by_target["idexp"] == few["idexp"], "left_semi")
+        by_target = asked_cases.keep(by_target, "idexp")
     return by_target
 
 

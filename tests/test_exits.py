@@ -17,7 +17,7 @@ from docketflow import (
     latest_per_case,
     own_case_exits,
 )
-from docketflow.operators import exits, joins
+from docketflow.operators import bloom, exits, joins
 
 COURTS = [(10, 100), (11, 100), (20, 200)]
 STATES = [(i, code) for i, code in enumerate((*EXIT_CODES, *CHILD_CODES, "XXX"), start=1)]
@@ -251,12 +251,68 @@ def test_few_requests_prune_the_other_cases(spark, monkeypatch, seed, several):
     assert resolved(result) == expected
 
 
+def test_many_requests_prune_by_a_filter(spark, monkeypatch):
+    """A tenth of the cases, too many to broadcast: about a tenth of the events is shuffled."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 4 * bloom.BLOCK_BYTES)
+    rng = random.Random(13)
+    n, start = 20_000, datetime(2008, 1, 1)
+    asked = rng.sample(range(n), n // 10)
+    requests = [(k, c, start, 10, 13) for k, c in enumerate(asked)]
+    events = [(c, c, 1, 10, start + timedelta(days=c % 300)) for c in range(n)]
+    tables = tables_of(spark, events, STATES, [(c, None) for c in range(n)], [], COURTS)
+    frame = table(spark, "pedidos", requests)
+    few = exits._few_cases(frame, len(requests), tables.cases)
+    assert few.filter is not None
+    marked = few.mark(tables.events, "id_expediente", "kept").filter("kept")
+    kept = {r.id_expediente for r in marked.collect()}
+    assert set(asked) <= kept and len(kept) < 1.05 * n / 10 + 0.04 * n
+    result = last_exit_event(frame, tables, END)
+    lines = plan_of(result).splitlines()
+    at_filter = max(i for i, x in enumerate(lines) if "shiftleft" in x)
+    assert "BroadcastHashJoin" in plan_of(result) and at_filter > next(
+        i for i, x in enumerate(lines) if "Exchange hashpartitioning(id_expediente" in x
+    )
+    assert answers_of(result) == {k: (c, STATES[0][1]) for k, c in enumerate(asked)}
+
+
+@pytest.mark.parametrize("seed, several", [(9, True), (10, False), (14, None)])
+def test_filtered_cases_give_the_same_rows(spark, monkeypatch, seed, several):
+    monkeypatch.setattr(exits, "PRUNE_RATIO", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", bloom.BLOCK_BYTES)
+    requests, *data, ends = random_data(seed, 0.2)
+    requests = [r for r in requests if r[1] in (None, 0, 2, 5)] * 8
+    requests = [(k, *r[1:]) for k, r in enumerate(requests)]
+    if several is False:
+        requests = [(*r[:5], ends[1]) for r in requests]
+        ends = ends[1]
+    frames = as_frames(spark, requests, *data)
+    assert exits._few_cases(frames[0], len(requests), frames[1].cases).filter is not None
+    expected = by_definition(requests, *data, ("SOB", "ARC"), ("ETO", "SOB"))
+    given = None if several is None else ends
+    assert resolved(last_exit_event(*frames, given, ("SOB", "ARC"), ("ETO", "SOB"))) == expected
+
+
+def test_a_filter_knows_its_keys(spark):
+    keys = spark.range(0, 50_000, 5).union(spark.createDataFrame([(-1,), (None,), (2**62,)], "id bigint"))
+    made = bloom.bloom_filter(keys, 10_003)
+    assert made.n_blocks == 4
+    asked = spark.range(-10, 50_000).union(spark.createDataFrame([(None,), (2**62,)], "id bigint"))
+    marked = bloom.with_bloom(asked, "id", made, "may")
+    assert marked.columns == ["id", "may"] and marked.count() == 50_012
+    in_keys = marked.join(keys.dropna(), "id", "left_semi")
+    assert in_keys.filter("not may").count() == 0 and in_keys.count() == 10_002
+    others = marked.join(keys.dropna(), "id", "left_anti").filter("may").count()
+    assert others < 0.04 * 40_000
+    assert marked.filter("id is null").first().may is False
+    assert bloom.bloom_filter(keys, 10**12) is None
+
+
 def test_many_requests_are_not_broadcast(spark, monkeypatch):
     requests, *data, ends = random_data(11, 0.2)
     frames = as_frames(spark, requests, *data)
     assert "LeftSemi" not in plan_of(last_exit_event(*frames, ends, ("SOB",), ("ETO",)))
     monkeypatch.setattr(exits, "PRUNE_RATIO", 0)
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 16 * len(requests) - 1)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", min(16 * len(requests), bloom.BLOCK_BYTES) - 1)
     assert "LeftSemi" not in plan_of(last_exit_event(*frames, ends, ("SOB",), ("ETO",)))
 
 
