@@ -26,6 +26,7 @@ from docketflow.plans.runs import (
     pending_periods,
     run_chambers,
 )
+from docketflow.sources.layout import open_by_case, write_by_case
 from docketflow.sources.store import (
     RunStore,
     append_error,
@@ -41,8 +42,8 @@ __all__ = [
     "CaseTables", "ChamberPeriod", "RunOutcome", "RunStore", "append_error", "append_errors", "chamber_periods",
     "chamber_statistics", "child_event_exits", "child_reassignment_exits", "day_between",
     "drop_matching", "exit_candidates", "has_previous_period", "keep_matching", "keep_since",
-    "last_exit_event", "latest_per_case", "log_seconds", "own_case_exits", "parse_dmy",
+    "last_exit_event", "latest_per_case", "log_seconds", "open_by_case", "own_case_exits", "parse_dmy",
     "pending_periods", "periods_frame", "read_case_tables", "read_errors", "read_statistics",
     "read_table", "requests_per_period", "run_chambers", "save_statistics", "seconds_between",
-    "trunc_day", "with_court", "with_status_code",
+    "trunc_day", "with_court", "with_status_code", "write_by_case",
 ]

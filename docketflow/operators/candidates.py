@@ -133,8 +133,6 @@ def origins(cases: DataFrame) -> DataFrame:
     pairs = (
         cases.select("id_expediente", "id_expediente_origen")
         .filter(F.col("id_expediente").isNotNull() & F.col("id_expediente_origen").isNotNull())
-        # One exchange for the distinct pairs, the window and the joins by case.
-        .repartition("id_expediente")
         .distinct()
     )
     origin = F.col("id_expediente_origen")
