@@ -20,6 +20,7 @@ from docketflow.plans.chambers import (
     periods_frame,
     requests_per_period,
 )
+from docketflow.plans.incremental import ExitLedger
 from docketflow.plans.runs import (
     RunOutcome,
     has_previous_period,
@@ -39,7 +40,8 @@ from docketflow.sources.tables import SCHEMAS, CaseTables, read_case_tables, rea
 
 __all__ = [
     "CHAMBERS", "CHILD_CODES", "EXIT_CODES", "NO_EXIT", "SCHEMAS", "SEVERAL_EXITS",
-    "CaseTables", "ChamberPeriod", "RunOutcome", "RunStore", "append_error", "append_errors", "chamber_periods",
+    "CaseTables", "ChamberPeriod", "ExitLedger", "RunOutcome", "RunStore", "append_error",
+    "append_errors", "chamber_periods",
     "chamber_statistics", "child_event_exits", "child_reassignment_exits", "day_between",
     "drop_matching", "exit_candidates", "has_previous_period", "keep_matching", "keep_since",
     "last_exit_event", "latest_per_case", "log_seconds", "open_by_case", "own_case_exits", "parse_dmy",

@@ -57,6 +57,7 @@ from docketflow.sources.tables import CaseTables, parameter_table
 PRUNE_RATIO = 2
 # Column of the place on the time axis.
 STEP = "__paso"
+FIRST_DAY = date(1, 1, 1)
 
 
 def last_exit_event(
@@ -103,7 +104,8 @@ def resolve_exits(
     profile = _profile(requests, own_ends=ends is None)
     keys = ["idexp", "juzgado"]
     asked = with_court(requests, "ta_oficina", courts)
-    last, steps = (profile.latest, _days) if ends is None else (ends[-1], None)
+    # Without any request there is no end, and no row is before the first day.
+    last, steps = (profile.latest or FIRST_DAY, _days) if ends is None else (ends[-1], None)
     if ends is None:
         asked = asked.withColumn(STEP, _day(F.col("fin_periodo")))
     elif len(ends) > 1:
@@ -125,20 +127,54 @@ def resolve_exits(
         joined = _with_problems(joined, tables, bad_offices, bounds, profile.hot)
         seen = from_day(F.col("dudoso.fecha_actuacion"), F.col("ta_fecha"))
         problem = F.coalesce("problema", F.when(seen, F.col("dudoso.codigo")))
+    more = [problem.alias("problema")] if quarantine else []
+    return joined.select(*requests.columns, "juzgado", *_outcome(), *more)
+
+
+def _outcome() -> list[Column]:
+    """Id, date and code of the exit, from the state at a request's end and its date."""
     since = F.col("ta_fecha")
     several = F.coalesce(from_day(F.col("segunda_fecha"), since), F.lit(False))
     single = from_day(F.col("ultimo.fecha_actuacion"), since) & ~several
-    return joined.select(
-        *requests.columns,
-        "juzgado",
+    return [
         F.when(several, F.lit(SEVERAL_EXITS))
         .when(single, F.col("ultimo.id_actuacion_exp"))
         .otherwise(F.lit(NO_EXIT))
         .alias("id_act"),
         F.when(single, F.col("ultimo.fecha_actuacion")).alias("fecha_salida"),
         F.when(single, F.col("ultimo.codigo")).alias("codigo_salida"),
-        *([problem.alias("problema")] if quarantine else []),
-    )
+    ]
+
+
+def case_state(
+    tables: CaseTables,
+    exit_codes: Iterable[str] = EXIT_CODES,
+    child_codes: Iterable[str] = CHILD_CODES,
+) -> DataFrame:
+    """The latest rows per case, court and day: what any request is answered from.
+
+    States of parts of the events are merged by :func:`merged_state` into that of all.
+    """
+    courts = court_lookup(tables.courts)
+    return _latest_by_case(tables, courts, None, None, exit_codes, child_codes, _days)
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """One row per case, court and day out of several states; merging one twice changes nothing."""
+    return _latest(states, ["id_expediente", "juzgado", STEP])
+
+
+def exits_from_state(
+    requests: DataFrame, state: DataFrame, cases: DataFrame, courts: DataFrame
+) -> DataFrame:
+    """:func:`resolve_exits` of requests with a ``fin_periodo`` of their own, from a merged state."""
+    keys = ["idexp", "juzgado", STEP]
+    hot = _profile(requests, own_ends=True).hot
+    asked = with_court(requests, "ta_oficina", courts)
+    asked = asked.withColumn(STEP, _day(F.col("fin_periodo")))
+    best = _as_of(_per_target(state, cases), asked.select(*keys))
+    joined = spread_join(asked, best, keys, "left", hot, hot_on=["idexp"])
+    return joined.select(*requests.columns, "juzgado", *_outcome())
 
 
 def _with_problems(
@@ -327,20 +363,42 @@ def _latest_per_case(
     asked_cases: _Asked | None = None,
 ) -> DataFrame:
     """The latest row per requested case, court and case, with ``steps`` for each step of time."""
+    state = _latest_by_case(tables, courts, last, since, exit_codes, child_codes, steps, asked_cases)
+    return _per_target(state, tables.cases, asked_cases)
+
+
+def _latest_by_case(
+    tables: CaseTables,
+    courts: Lookup,
+    last: Moment | None,
+    since: Moment | None,
+    exit_codes: Iterable[str],
+    child_codes: Iterable[str],
+    steps: Callable[[DataFrame], DataFrame] | None = None,
+    asked_cases: _Asked | None = None,
+) -> DataFrame:
+    """The latest rows per case and court, with ``steps`` for each step: mergeable by maximum."""
     moves = _moves(tables, last, since, list(exit_codes), list(child_codes))
     step = []
     if steps is not None:
         moves, step = steps(moves), [STEP]
-    cases = tables.cases
     if asked_cases is not None:
         moves = asked_cases.mark(moves, "id_expediente", "__pedido")
         moves = moves.filter("derivado is not null or __pedido").drop("__pedido")
-        cases = asked_cases.keep(cases, "id_expediente_origen")
     if not courts.small:
         # The offices must be shuffled: collapse copies and busy offices first.
         moves = _latest(moves, ["id_expediente", "id_oficina", *step])
     at_court = with_court(moves, "id_oficina", courts, "inner")
-    latest = _latest(at_court, ["id_expediente", "juzgado", *step])
+    return _latest(at_court, ["id_expediente", "juzgado", *step])
+
+
+def _per_target(
+    latest: DataFrame, cases: DataFrame, asked_cases: _Asked | None = None
+) -> DataFrame:
+    """The latest rows of cases turned to the cases they count for."""
+    step = [STEP] if STEP in latest.columns else []
+    if asked_cases is not None:
+        cases = asked_cases.keep(cases, "id_expediente_origen")
     # At most one row per case, court and step is left on this side, so no case is hot.
     by_case = latest.join(origins(cases), "id_expediente", "left")
     case, origin = F.col("id_expediente"), F.col("id_expediente_origen")
@@ -374,12 +432,12 @@ def _moves(
     """Events and reassignments in the period, each source read once.
 
     ``propio`` holds the row if it counts for its own case, ``derivado`` if it
-    counts for the case it originates from. Without ``last`` nothing is asked for.
+    counts for the case it originates from.
     """
 
     def in_period(df: DataFrame, moment: Column) -> DataFrame:
-        until = F.lit(False) if last is None else until_day(moment, last)
-        kept = df.filter(F.col("id_expediente").isNotNull() & until)
+        until = F.lit(True) if last is None else until_day(moment, last)
+        kept = df.filter(F.col("id_expediente").isNotNull() & moment.isNotNull() & until)
         return kept if since is None else kept.filter(from_day(moment, since))
 
     fecha = F.col("fecha_actuacion")

@@ -145,7 +145,7 @@ class RunStore:
             .parquet(path)
         )
         # A few small files: one row for each period that was asked for.
-        written = _read_if_there(self.spark, path)
+        written = read_if_there(self.spark, path)
         if written is None:
             return Staged(folder, [])
         periods = written.groupBy(F.col("camara").cast("int").alias("camara"), "periodo").agg(
@@ -182,7 +182,7 @@ class RunStore:
         named = commits.select("commit", F.inline("periodos"))
         live = named.groupBy(*PERIOD).agg(F.max_by(RUN_FOLDER, "commit").alias(RUN_FOLDER))
         # Listed after the commits, so all that they name is there.
-        data = _read_if_there(self.spark, f"{self.path}/data")
+        data = read_if_there(self.spark, f"{self.path}/data")
         if data is None:
             return None
         small = F.broadcast(live) if fits_broadcast(live) else live
@@ -197,7 +197,7 @@ class RunStore:
         if commits is None:
             return nothing
         schema = ", ".join(f"{name} {kind}" for name, kind in ERROR_COLUMNS.items())
-        rows = _read_if_there(self.spark, f"{self.path}/errors", schema + ", archivo string")
+        rows = read_if_there(self.spark, f"{self.path}/errors", schema + ", archivo string")
         if rows is None:
             return nothing
         live = commits.filter("errores is not null").select(F.col("errores").alias("archivo"))
@@ -208,7 +208,7 @@ class RunStore:
         return Folder(self.spark, f"{self.path}/{name}")
 
     def _commits(self) -> DataFrame | None:
-        return _read_if_there(self.spark, f"{self.path}/commits", COMMIT, fmt="json")
+        return read_if_there(self.spark, f"{self.path}/commits", COMMIT, fmt="json")
 
     def _written_errors(self, errors: Sequence[tuple[str, str]], run_id: int | None) -> str:
         at, name = datetime.now(), uuid4().hex
@@ -262,7 +262,7 @@ def read_errors(spark: SparkSession, path: str) -> DataFrame:
     return RunStore(spark, path).errors()
 
 
-def _read_if_there(
+def read_if_there(
     spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet"
 ) -> DataFrame | None:
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -267,3 +267,4 @@ GROUP BY procedimiento, has_end
     ),
     "quarantined_chambers": _quarantined(),
 }
+ORACLE_SQL["incremental_exits"] = ORACLE_SQL["exit_own_bound"]

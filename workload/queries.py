@@ -249,6 +249,19 @@ def quarantined_chambers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(failed, allowMissingColumns=True)
 
 
+def incremental_exits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with an end of its own, after two batches of events that make up the whole."""
+    asked = m.requests(spark, sf_dir).withColumn("fin_periodo", m.own_end())
+    tables = m.case_tables(spark, sf_dir)
+    ledger = df.ExitLedger(spark, shared_folder(spark, "ledger"), m.EXIT_CODES, m.CHILD_CODES)
+    later = F.col("id_actuacion_exp") % 3 == 0
+    links = tables.cases.filter("id_expediente_origen is not null")
+    first = tables._replace(events=tables.events.filter(~later), cases=links)
+    ledger.update(asked, tables, first._replace(reassignments=tables.reassignments.limit(0)))
+    ledger.update(asked, tables, tables._replace(events=tables.events.filter(later), cases=links.limit(0)))
+    return ledger.answers().drop("juzgado")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -277,5 +290,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         error_log_append,
         stored_statistics,
         quarantined_chambers,
+        incremental_exits,
     )
 }
