@@ -53,6 +53,7 @@ def read_case_tables(spark: SparkSession, folder: str, fmt: str = "parquet") ->
 _ARROW_TYPES = {
     "int": pa.int32(),
     "bigint": pa.int64(),
+    "double": pa.float64(),
     "string": pa.string(),
     "timestamp_ntz": pa.timestamp("us"),
 }
