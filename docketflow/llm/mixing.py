@@ -23,10 +23,11 @@ from bisect import bisect_left
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.llm.common import WORD, cut
+from docketflow.operators import joins
 from docketflow.sources.tables import parameter_table
 
 WEIGHTS = (5, 2, 1)
@@ -119,9 +120,21 @@ def route(
     """Tokens of each ``(pattern, source)``: the cheapest flow that fills the quotas best.
 
     A pattern is a tuple of sources; its p-th pass can carry its capacity once
-    and costs p - 1 a token, which is convex.
+    and costs p - 1 a token, which is convex. A source that shares no document with
+    another is filled from its own pattern at once, so only sources that overlap
+    take part in the flow.
     """
-    patterns, sources = list(capacity), list(quota)
+    shared = {name for pattern in capacity if len(pattern) > 1 for name in pattern}
+    alone = {p for p in capacity if len(p) == 1 and p[0] not in shared}
+    filled = {(p, p[0]): min(quota[p[0]], max_passes * capacity[p]) for p in alone}
+    patterns = [p for p in capacity if p not in alone]
+    sources = [name for name in quota if name in shared]
+    return filled | _flow_of(capacity, quota, max_passes, patterns, sources)
+
+
+def _flow_of(
+    capacity: dict[tuple, int], quota: dict, max_passes: int, patterns: list, sources: list
+) -> dict[tuple[tuple, object], int]:
     flow = _Flow(2 + len(patterns) + len(sources))
     place = {name: 2 + len(patterns) + k for k, name in enumerate(sources)}
     carried = {}
@@ -175,7 +188,7 @@ def select_rest(sized: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int,
     while parts:
         width = ORDER_BITS - depth
         rows = [(key, first) for key, (first, _) in parts.items()]
-        at = F.broadcast(parameter_table(spark, rows, columns))
+        at = _parameters(spark, rows, columns)
         inside = sized.join(at, "key").filter(
             (F.col("order") >= F.col("first"))
             & (F.col("order") - F.col("first") < F.lit(1 << width if width < 63 else 2**63 - 1))
@@ -186,9 +199,10 @@ def select_rest(sized: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int,
             .agg(F.sum("size").alias("size"), F.count_distinct("order").alias("n"))
             .collect()  # at most 64 rows of each pattern
         )
+        of_key = _by_key(bins)
         following, last = {}, {}
         for key, (first, rest) in parts.items():
-            own = sorted((r["bin"], r["size"], r["n"]) for r in bins if r["key"] == key)
+            own = sorted((r["bin"], r["size"], r["n"]) for r in of_key.get(key, ()))
             if step == 0 or sum(n for *_, n in own) <= LAST_PART:
                 last[key] = (first, rest)
                 continue
@@ -200,14 +214,15 @@ def select_rest(sized: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int,
                 result[key] = ((bin_ + 1) << step, [])
         if last:
             rows = [(key, first) for key, (first, _) in last.items()]
-            at = F.broadcast(parameter_table(spark, rows, columns))
+            at = _parameters(spark, rows, columns)
             ends = sized.join(at, "key").filter(
                 (F.col("order") >= F.col("first"))
                 & (F.col("order") - F.col("first") < F.lit(1 << width if width < 63 else 2**63 - 1))
             )
             found = ends.groupBy("key", "order").agg(F.sum("size").alias("size")).collect()
+            of_key = _by_key(found)
             for key, (first, rest) in last.items():
-                sizes = [(r["order"], r["size"]) for r in found if r["key"] == key]
+                sizes = [(r["order"], r["size"]) for r in of_key.get(key, ())]
                 result[key] = (max(first, result[key][0]), place_last(sizes, rest))
         parts, depth = following, depth + FAN_OUT_BITS
     return result
@@ -246,7 +261,10 @@ def mix(
     }
     members = {pattern: tuple(json.loads(pattern)) for pattern in totals}
     names = sorted({x for own in members.values() for x in own}, key=lambda x: (x == NO_NAME, x))
-    sizes = {x: sum(totals[p] for p, own in members.items() if x in own) for x in names}
+    sizes = dict.fromkeys(names, 0)
+    for pattern, own in members.items():
+        for x in own:
+            sizes[x] += totals[pattern]
     wanted = dict(zip(names, targets(list(sizes.values()), weights, share, max_passes)))
     quota = {name: int(target + Fraction(1, 2)) for name, target in wanted.items()}
     flows = route({own: totals[p] for p, own in members.items()}, quota, max_passes)
@@ -259,10 +277,8 @@ def mix(
     ]
     columns = {"key": "string", "whole": "bigint", "cut": "bigint", "more": "string"}
     # One row for each pattern, with at most LAST_PART places.
-    planned = F.broadcast(
-        parameter_table(spark, plan, columns).withColumn(
-            "more", F.filter(F.split("more", ","), lambda x: x != "").cast("array<bigint>")
-        )
+    planned = _parameters(spark, plan, columns).withColumn(
+        "more", F.filter(F.split("more", ","), lambda x: x != "").cast("array<bigint>")
     )
     again = (F.col("order") < F.col("cut")) | F.array_contains("more", F.col("order"))
     passes = F.coalesce(F.col("whole") + again.cast("bigint"), F.lit(0))
@@ -284,15 +300,28 @@ def take(docs: DataFrame, sources: Column, **options) -> DataFrame:
     return repeated.select(*(F.col("doc").getField(x).alias(x) for x in docs.columns))
 
 
-def per_source(source: Column, values: dict) -> Column:
-    """A value for each source, null included, as a column."""
-    named = {("" if name is None else f"={name}"): value for name, value in values.items()}
-    if not named:
-        return F.lit(None)
-    pairs = (F.lit(x) for key, value in named.items() for x in (key, _number(value)))
-    key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))
-    return F.element_at(F.create_map(*pairs), key)
+def with_sources(
+    mixed: DataFrame, source: Column, sizes: dict[str | None, int], wanted: dict[str | None, Fraction]
+) -> DataFrame:
+    """``mixed`` with ``source_size`` and ``target`` of its source, null included."""
+    rows = [
+        (NO_NAME if name is None else f"={name}", size, float(wanted[name]))
+        for name, size in sizes.items()
+    ]
+    columns = {"__named": "string", "source_size": "bigint", "target": "double"}
+    named = mixed.withColumn("__named", F.coalesce(F.concat(F.lit("="), source), F.lit(NO_NAME)))
+    return named.join(_parameters(mixed.sparkSession, rows, columns), "__named", "left").drop("__named")
+
+
+def _by_key(rows: Sequence[Row]) -> dict[str, list[Row]]:
+    found: dict[str, list[Row]] = {}
+    for row in rows:
+        found.setdefault(row["key"], []).append(row)
+    return found
 
 
-def _number(value) -> int | float:
-    return float(value) if isinstance(value, Fraction) else int(value)
+def _parameters(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, str]) -> DataFrame:
+    """A table of patterns or sources, to be broadcast if it is small."""
+    table = parameter_table(spark, rows, columns)
+    size = sum(len(x) if isinstance(x, str) else 16 for row in rows for x in row)
+    return F.broadcast(table) if size <= joins.BROADCAST_BYTES else table

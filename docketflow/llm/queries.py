@@ -36,14 +36,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     mixed, sizes, wanted = mixing.mix(docs, F.array("source"))
-    source = F.col("doc.source")
-    return mixed.select(
-        F.col("doc.doc_id").alias("doc_id"),
-        "size",
-        mixing.per_source(source, sizes).cast("long").alias("source_size"),
-        mixing.per_source(source, wanted).cast("double").alias("target"),
-        "taken",
-        "passes",
+    named = mixing.with_sources(mixed, F.col("doc.source"), sizes, wanted)
+    return named.select(
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "passes"
     )
 
 

@@ -37,6 +37,10 @@ QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 2048
 _LONG = np.iinfo(np.int64)
 
+# Candidate blocks of a slice, where there are enough for every core to have some slices.
+SLICE_BLOCKS = 32
+SLICES_PER_CORE = 4
+
 
 def integer_vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """``(vec_id, vector array<long>, dim)`` of the rows that take part."""
@@ -204,10 +208,16 @@ def top_k(
         _repeated(0, n).alias("above"),
         F.lit(step).cast("long").alias("step"),
     )
-    everywhere = candidates.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    # Candidates stay in their slice; the smaller side, the query blocks, goes to every slice.
+    n_blocks = max(1, candidates.count())
+    cores = spark.sparkContext.defaultParallelism
+    n_slices = max(min(n_blocks, SLICES_PER_CORE * cores), n_blocks // SLICE_BLOCKS)
+    slice_of = F.pmod(F.xxhash64("c_ids"), F.lit(n_slices)).cast("int")
+    sliced = candidates.withColumn("slice", slice_of).repartition(n_slices, "slice", "dim")
+    every_slice = F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1)))
 
     def scored(state: DataFrame, function, schema: str) -> DataFrame:
-        met = everywhere.join(state, ["part", "dim"]).select(
+        met = sliced.join(state.withColumn("slice", every_slice), ["slice", "dim"]).select(
             "block", "ids", "vectors", "dim", "c_ids", "c_vectors", "low", "step"
         )
         return met.mapInArrow(partial(function, k=k), schema)

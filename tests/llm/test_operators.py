@@ -7,6 +7,7 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -668,3 +669,39 @@ def test_host_of(spark):
     assert [r.h for r in table.select(line_dedup.host_of(F.col("u")).alias("h")).collect()] == ["a.org", "b.net", None, None, None]
 
 
+
+
+def test_20_000_sources_are_routed_at_once():
+    capacity = {(f"s{k}",): k % 97 for k in range(20_000)} | {("x", "y"): 5, ("x",): 3}
+    quota = {p[0]: c for p, c in capacity.items() if len(p) == 1} | {"y": 4, "x": 9}
+    start = time.perf_counter()
+    flows = mixing.route(capacity, quota)
+    assert time.perf_counter() - start < 10
+    assert all(flows[(f"s{k}",), f"s{k}"] == k % 97 for k in range(20_000))
+    assert flows[("x",), "x"] + flows[("x", "y"), "x"] == 9 and flows[("x", "y"), "y"] == 4
+
+
+def test_many_sources_have_their_size_and_target(spark):
+    rows = [(k, "a b c", None if k == 7 else f"s{k % 700}") for k in range(2100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    start = time.perf_counter()
+    found, sizes, wanted = mixing.mix(docs, F.array("source"))
+    named = mixing.with_sources(found, F.col("doc.source"), sizes, wanted).select("doc.*", "source_size", "target", "taken").collect()
+    assert time.perf_counter() - start < 60
+    assert len(named) == 2100
+    for r in named:
+        assert r.source_size == sizes[r.source] and r.target == float(wanted[r.source])
+
+
+def test_top_k_uses_a_task_for_each_slice(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, [float(x) for x in rng.normal(size=4)]) for k in range(3000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.top_k(vectors, F.col("vec_id") % 50 == 0)
+    whole = np.floor(256 * np.array([v for _, v in rows])).astype(int)
+    got = collections.defaultdict(list)
+    for r in found.collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    for q in range(0, 3000, 50):
+        scored = sorted((-int(whole[q] @ whole[k]), k) for k in range(3000) if k != q)[:5]
+        assert sorted(got[q]) == [(n + 1, k, -s) for n, (s, k) in enumerate(scored)]
