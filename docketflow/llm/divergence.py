@@ -54,6 +54,8 @@ NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 # Counts in the columns of a block of the vocabulary; bounds what a task holds.
 BLOCK_COUNTS = 4_000_000
 
+# Counts of several slices that a task holds to sum them up; about 40 bytes each.
+KEPT_COUNTS = 600_000
 # Sources whose counts decide in which range of the vocabulary a term lies.
 LEADING_COUNTS = 2
 
@@ -74,7 +76,7 @@ def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     )
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by group and term of each slice of texts; a null term stands for the group itself."""
     for batch in slices(batches, "text"):
         groups = pa.Table.from_batches([batch.select(["lang", "source"])]).group_by(
@@ -105,6 +107,31 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same counts, summed over some slices at a time before they leave the task."""
+    kept: list[pa.RecordBatch] = []
+    rows = 0
+    for counts in _slice_counts(batches):
+        kept.append(counts)
+        rows += counts.num_rows
+        if rows > KEPT_COUNTS:
+            yield from _summed(kept)
+            kept, rows = [], 0
+    if kept:
+        yield from _summed(kept)
+
+
+def _summed(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if len(counts) == 1:
+        return counts
+    keys = ["lang", "source", "term"]
+    grouped = pa.Table.from_batches(counts).group_by(keys, use_threads=False).aggregate(
+        [("count", "sum"), ("docs", "sum")]
+    )
+    named = grouped.select([*keys, "count_sum", "docs_sum"])
+    return named.rename_columns([*keys, "count", "docs"]).to_batches()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """``(lang, source, term, count, docs)`` of all terms, and a row without term for each group."""
     plain = docs.select(
