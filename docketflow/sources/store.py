@@ -179,8 +179,7 @@ class RunStore:
         commits = self._commits()
         if commits is None:
             return None
-        named = commits.select("commit", F.inline("periodos"))
-        live = named.groupBy(*PERIOD).agg(F.max_by(RUN_FOLDER, "commit").alias(RUN_FOLDER))
+        live = self._live(commits)
         # Listed after the commits, so all that they name is there.
         data = read_if_there(self.spark, f"{self.path}/data")
         if data is None:
@@ -204,6 +203,36 @@ class RunStore:
         small = F.broadcast(live) if fits_broadcast(live) else live
         return rows.join(small, "archivo", "left_semi").select(*ERROR_COLUMNS)
 
+    def vacuum(self, before: datetime) -> int:
+        """Delete folders from before a moment whose rows are not published (any more).
+
+        These are the folders of runs that stopped, and of runs all whose periods were
+        replaced. No run that is under way, and no reader, may have begun before that
+        moment. Returns how many folders are gone.
+        """
+        commits = self._commits()
+        live, logged = set(), set()
+        if commits is not None:
+            # One row for each run that still has a period, and for each run with errors.
+            live = {r[RUN_FOLDER] for r in self._live(commits).select(RUN_FOLDER).distinct().collect()}
+            logged = {r["errores"] for r in commits.filter("errores is not null").collect()}
+        jvm, gone = self.spark._jvm, 0
+        for kind, column, kept in (("data", RUN_FOLDER, live), ("errors", "archivo", logged)):
+            parent = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+            fs = parent.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in fs.listStatus(parent) if fs.exists(parent) else ():
+                name = status.getPath().getName()
+                if not name.startswith(f"{column}=") or name.removeprefix(f"{column}=") in kept:
+                    continue
+                if status.getModificationTime() < before.timestamp() * 1000:
+                    gone += fs.delete(status.getPath(), True)
+        return gone
+
+    def _live(self, commits: DataFrame) -> DataFrame:
+        """The folder that holds each published period: that of the last commit naming it."""
+        named = commits.select("commit", F.inline("periodos"))
+        return named.groupBy(*PERIOD).agg(F.max_by(RUN_FOLDER, "commit").alias(RUN_FOLDER))
+
     def _folder(self, name: str) -> Folder:
         return Folder(self.spark, f"{self.path}/{name}")
 

@@ -359,6 +359,31 @@ def test_a_write_that_fails_half_way_leaves_the_former_result(spark, small):
     assert store.errors().count() == 0
 
 
+def folders(spark, path):
+    at_ = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at_.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(at_)} if fs.exists(at_) else set()
+
+
+def test_vacuum_leaves_what_is_published(spark, small):
+    requests, tables = small
+    store = RunStore(spark, shared_folder(spark, "runs"))
+    assert store.vacuum(datetime.now()) == 0
+    both, one = chamber_periods(camaras=[13, 14]), chamber_periods(camaras=[14])
+    store.commit([store.stage(chamber_statistics(requests, tables, both), 1)])
+    store.commit([store.stage(chamber_statistics(requests, tables, one), 2)], [("e", "p")], 2)
+    store.stage(chamber_statistics(requests, tables, both), 3)  # and the run is gone
+    store.commit([store.stage(chamber_statistics(requests, tables, one), 4)])
+    before = counted(store.statistics())
+    assert before == {13: (3, 1), 14: (1, 4)}
+    # Nothing is old enough yet; then runs 2 and 3 go, run 1 still has a period.
+    assert store.vacuum(datetime.now() - timedelta(hours=1)) == 0
+    assert store.vacuum(datetime.now() + timedelta(seconds=5)) == 2
+    kept = {name.split("-")[1] for name in folders(spark, f"{store.path}/data") if "run" in name}
+    assert kept == {"1", "4"} and counted(store.statistics()) == before
+    assert [r.m_error for r in store.errors().collect()] == ["e"]
+
+
 def test_nothing_to_publish_is_no_commit(spark):
     store = RunStore(spark, shared_folder(spark, "runs"))
     assert store.commit() is None and store.statistics() is None and store.errors().count() == 0
