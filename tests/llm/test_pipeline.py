@@ -7,6 +7,7 @@ import re
 import pytest
 import sentencepiece
 import zstandard
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docketflow.llm import minhash, mixing
@@ -37,6 +38,11 @@ def folder(spark, tmp_path_factory):
     rows += [[700, None, "en", "a", None], [701, "", None, "b", 0], [702, "word " * 500, "en", "c", 0],
              [703, "too short", "en", "c", 0], [None, rows[40][1] + "\nmore", "en", "a", 0]]
     rows += [list(rows[50])]
+    # Prose with a rest of noise, which only the rest's own band tells.
+    signs = [chr(c) for c in range(0x21, 0x7F)]
+    noise = " ".join("".join(rng.choices(signs, k=12)) for _ in range(180))
+    prose = " ".join(" ".join(word() for _ in range(30)) + "." for _ in range(40))[: CHUNK_BYTES + 400]
+    rows += [[710, prose + " " + noise, "en", "a", 0], [711, prose, "en", "a", 0]]
     out = tmp_path_factory.mktemp("sf")
     docs = spark.createDataFrame([tuple(r) for r in rows], COLUMNS)
     docs.write.parquet(str(out / "documents.parquet"))
@@ -73,8 +79,10 @@ def is_good(text):
         return low <= len(zstandard.ZstdCompressor(level=3).compress(part)) / len(part) <= high
 
     data = text.encode()
-    parts = [data[k : k + CHUNK_BYTES] for k in range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES)]
-    return fits(data) and sum(not fits(p) for p in parts) <= MAX_BAD_CHUNKS * len(parts)
+    chunks = [data[k : k + CHUNK_BYTES] for k in range(0, len(data), CHUNK_BYTES)]
+    # A rest is judged alone and as the end of the last bytes of full size.
+    bad = [not fits(c) or k > 0 and len(c) < CHUNK_BYTES and not fits(data[-CHUNK_BYTES:]) for k, c in enumerate(chunks)]
+    return fits(data) and sum(bad) <= MAX_BAD_CHUNKS * len(bad)
 
 
 def test_all_but_the_last_return_documents(stages):
@@ -88,6 +96,42 @@ def test_quality_stage(stages):
     assert len(after) < len(before)
 
 
+def test_a_bad_rest_is_rejected(stages):
+    _, before, after, _ = stages[0]
+    kept = {r.doc_id for r in after}
+    assert {710, 711} <= {r.doc_id for r in before} and 710 not in kept and 711 in kept
+
+
+CLASHING = (
+    "key size order passes taken node label class_id best site nameless line n id doc first shared kept"
+    " words band cut more whole slice unit row"
+).split()
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_extra_columns_stay_and_change_nothing(spark, stages, folder, k):
+    name, before, after, columns = stages[k]
+    plain = spark.createDataFrame(before, COLUMNS)
+    more = plain.withColumns({x: F.lit(x) for x in CLASHING})
+    out = corpus_pipeline.STAGES[k][1](spark, more, folder)
+    extra = CLASHING if k < 4 else []
+    assert out.columns == [*columns, *extra]
+    rows = out.collect()
+    assert in_order(tuple(r)[: len(columns)] for r in rows) == in_order(after)
+    assert all(r[x] == x for r in rows for x in extra)
+
+
+def test_an_empty_table_has_no_rows(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_without_text_only(spark, tmp_path):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, None, "en", "a", 1)]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_line_stage(stages):
     _, before, after, _ = stages[1]
     pages = collections.Counter(r.source for r in before)
