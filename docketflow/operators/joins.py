@@ -74,26 +74,30 @@ def hot_key_sketch(spark: SparkSession, keys: Sequence[str]) -> Column:
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> HotKeys:
     """The keys of ``df`` with several times an even share of its rows.
 
     The counts are estimates. They only decide where rows are processed, never
-    which rows come out.
+    which rows come out. A table of less than ``min_rows`` rows has none.
     """
-    return hot_keys_of(df, [keys])[0]
+    return hot_keys_of(df, [keys], min_rows)[0]
 
 
-def hot_keys_of(df: DataFrame, several: Sequence[Sequence[str]]) -> list[HotKeys]:
+def hot_keys_of(
+    df: DataFrame, several: Sequence[Sequence[str]], min_rows: int | None = None
+) -> list[HotKeys]:
     """:func:`hot_keys` for several keys of a table in one pass over it."""
     spark = df.sparkSession
     sketches = [hot_key_sketch(spark, keys).alias(f"top{k}") for k, keys in enumerate(several)]
     row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    return [hot_keys_from(spark, row[f"top{k}"], row["n"]) for k in range(len(several))]
+    return [hot_keys_from(spark, row[f"top{k}"], row["n"], min_rows) for k in range(len(several))]
 
 
-def hot_keys_from(spark: SparkSession, top: Sequence[Row] | None, total: int) -> HotKeys:
+def hot_keys_from(
+    spark: SparkSession, top: Sequence[Row] | None, total: int, min_rows: int | None = None
+) -> HotKeys:
     """:class:`HotKeys` out of a sketch that was computed along with other figures."""
-    if total < HOT_MIN_ROWS:
+    if total < (HOT_MIN_ROWS if min_rows is None else min_rows):
         return HotKeys()
     even_share = total / int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = [entry for entry in top or () if entry["count"] > HOT_SHARES * even_share]
