@@ -23,10 +23,12 @@ most s and t with others overlap in min(s, t) at most, so their similarity is at
 most min(s, t) / (m + n - min(s, t)). Nodes that cannot reach 0.8 with anyone
 leave, and the others are compared with the one that shares most. What is then
 still in different parts is compared with each other within a task for each
-bucket, a bucket of many nodes in blocks of bounded size; only links between
-different parts leave the task. So no link is lost, a large group of copies is
+bucket, a bucket of many nodes or long texts in blocks of bounded size; only
+links between different parts leave the task. So no link is lost, a large group of copies is
 not expanded to pairs, and texts that only have a passage in common are never
-paired. Every link is verified by the exact multiset overlap of the texts.
+paired. Every link is verified by the exact multiset overlap of the texts. A pivot of
+very many pairs, a bucket, a part or a text of very many rows is cut into
+slices wherever its rows are joined.
 
 Null texts and texts without words have no shingles: each is a class of its
 own. The class id is the least id in it; rows that repeat an id, or have none,
@@ -35,6 +37,7 @@ belong to the class of their text.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -45,18 +48,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.common import (
-    WORD, cut, hashes, mixed, slices, window_hashes, words, written,
+    WORD, cut, hashes, mixed, runs_of, slices, window_hashes, words, written,
 )
 from docketflow.llm.units import (
     ANSWERED, ASKED, answer_repeats, ask_repeats, in_order, in_units, places_of,
 )
+from docketflow.operators.joins import (
+    HOT_SHARES, HotKeys, hot_key_sketch, hot_keys, hot_keys_from, key_hash, spread_join,
+)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 UNIT_BYTES = 8 * 1024 * 1024
-# Nodes of a bucket that one task compares with as many others.
+# Nodes of a bucket that one task compares with as many others, and shingles of theirs.
 BLOCK = 800
+BLOCK_UNITS = 1_000_000
+# From so many rows on, keys with far more than their share are cut into slices.
+HOT_ROWS = 10_000
 _M = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
@@ -179,11 +188,12 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ).filter(pa.array(close, pa.bool_()))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose multisets overlap enough."""
+def verified(pairs: DataFrame, texts: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+    """The pairs whose multisets overlap enough; ``hot`` are the pivots ``a`` of very many pairs."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").mapInArrow(_verified, "a string, b string")
+    both = spread_join(pairs.join(b, "b"), a, ["a"], "inner", hot, spread_by=["b"])
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a string, b string")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -193,24 +203,33 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds follows the logarithm of a part's width.
     """
     both = cut(edges.union(edges.select("b", "a")).distinct())
+    hubs = hot_keys(both, ["b"], HOT_ROWS)
     labels = cut(both.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("node"), F.least("a", "b").alias("label")
     ))
+    large = hot_keys(labels, ["label"], HOT_ROWS)
     while True:
+        neighbours = labels.withColumnRenamed("node", "b")
         told = (
-            both.join(labels, both["b"] == labels["node"])
+            spread_join(both, neighbours, ["b"], "inner", hubs, spread_by=["a"])
             .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("told"))
         )
         nearer = labels.join(told, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "told").alias("label")
         )
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = cut(nearer.join(jump, "label").select(
+        labels = cut(spread_join(nearer, jump, ["label"], "inner", large, spread_by=["node"]).select(
             "node", "old", F.least("label", "further").alias("label")
         ))
-        if labels.filter("label <> old").isEmpty():
-            return labels.select("node", "label")
+        seen = labels.agg(
+            F.count_if(F.col("label") != F.col("old")).alias("changed"),
+            F.count(F.lit(1)).alias("n"),
+            hot_key_sketch(labels.sparkSession, ["label"]).alias("top"),
+        ).first()
         labels = labels.select("node", "label")
+        if not seen["changed"]:
+            return labels
+        large = hot_keys_from(labels.sparkSession, seen["top"], seen["n"], HOT_ROWS)
 
 
 def node_of(text: Column) -> Column:
@@ -230,10 +249,13 @@ def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]
     return placed, buckets
 
 
-def _still_mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _still_mixed(members: DataFrame, labels: DataFrame, hot: HotKeys) -> DataFrame:
     known = members.withColumn("shared", F.lit(0)).withColumn("first", F.lit(0))
     _, buckets = _mixed(known, labels)
-    return written(members.join(buckets.select("band", "key"), ["band", "key"], "left_semi"), "mixed")
+    keys = ["band", "key"]
+    return written(
+        spread_join(members, buckets.select(*keys), keys, "left_semi", hot, spread_by=["node"]), "mixed"
+    )
 
 
 def _possible(size: Column, size_a: Column, shared: Column, shared_a: Column) -> Column:
@@ -242,14 +264,14 @@ def _possible(size: Column, size_a: Column, shared: Column, shared_a: Column) ->
     return common * (1 + SIMILARITY) >= SIMILARITY * (size + size_a) - 1e-9
 
 
-def _with_pivot(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _with_pivot(members: DataFrame, labels: DataFrame, hot: HotKeys) -> DataFrame:
     """Candidates ``(a, b)``: the pivot of a bucket with nodes of other labels."""
     placed, buckets = _mixed(members, labels)
     names = ("node", "label", "size", "shared")
     pivots = buckets.select("band", "key", *(F.col(f"pivot.{x}").alias(f"{x}_a") for x in names))
     columns = (F.col(x) for x in ("size", "size_a", "shared", "shared_a"))
     return (
-        placed.join(pivots, ["band", "key"])
+        spread_join(placed, pivots, ["band", "key"], "inner", hot, spread_by=["node"])
         .filter((F.col("label") != F.col("label_a")) & _possible(*columns))
         .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
         .distinct()
@@ -275,16 +297,18 @@ def _close(bucket: pa.Table) -> pa.Table:
     node, label = bucket["node"].to_pylist(), bucket["label"].to_pylist()
     block = bucket["block"].to_numpy()
     between_two = bucket["low"][0].as_py() != bucket["high"][0].as_py()
-    units = [np.frombuffer(x, np.uint64) for x in bucket["units"].to_pylist()]
+    units = [np.frombuffer(x.as_buffer(), np.uint64) for x in bucket["units"]]
     sizes = np.array([len(x) for x in units])
-    owner = np.repeat(np.arange(len(units)), sizes)
-    found, column = np.unique(np.concatenate(units), return_inverse=True)
-    counts = np.bincount(column, minlength=len(found))
-    common = counts[column] > 1
-    owner, column = owner[common], (np.cumsum(counts > 1) - 1)[column[common]]
+    together = np.concatenate(units)
+    order = np.argsort(together)
+    _, lengths = runs_of(together[order])
+    del together
+    # Only shingles that several texts have, each one a column.
+    common = np.repeat(lengths > 1, lengths)
+    owner = np.repeat(np.arange(len(units), dtype=np.int32), sizes)[order[common]]
+    several = lengths[lengths > 1]
+    column = np.repeat(np.arange(len(several)), several)
     overlaps = np.zeros((len(units), len(units)), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
         a, b = np.searchsorted(column, [start, start + 4096])
         part = np.zeros((len(units), 4096), np.float32)
@@ -313,17 +337,20 @@ def _close(bucket: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
 
 
-def _within_buckets(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+def _within_buckets(
+    members: DataFrame, labels: DataFrame, texts: DataFrame, hot: HotKeys
+) -> DataFrame:
     """Candidates ``(a, b)`` that join different labels, out of all pairs of a bucket."""
     placed, buckets = _mixed(members, labels)
-    sizes = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
-    mixed_ = buckets.select("band", "key").join(sizes, ["band", "key"]).select(
-        "band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
-    )
+    needed = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_UNITS)
+    sizes = placed.groupBy("band", "key").agg(F.ceil(needed).cast("int").alias("blocks"))
+    mixed_ = buckets.select("band", "key").join(sizes, ["band", "key"])
     wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
     elements = wanted.select("node", "text").mapInArrow(_units, "node string, units binary")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    inside = placed.join(mixed_, ["band", "key"]).withColumn("block", own)
+    inside = spread_join(
+        placed, mixed_, ["band", "key"], "inner", hot, spread_by=["node"]
+    ).withColumn("block", own)
     one = inside.filter("blocks = 1").withColumn("other", F.lit(0))
     many = inside.filter("blocks > 1").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = one.union(many).select(
@@ -338,14 +365,17 @@ def _within_buckets(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
 
 def _linked(labels: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The labels after the verified pairs are joined."""
-    edges = cut(verified(pairs, texts))
+    pairs = written(pairs, "pairs")
+    hot = hot_keys(pairs, ["a"], HOT_ROWS)
+    edges = cut(verified(pairs, texts, hot))
     if edges.isEmpty():
         return labels
     a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-    joined = edges.join(a, "a").join(b, "b")
+    joined = spread_join(edges.join(b, "b"), a, ["a"], "inner", hot, spread_by=["b"])
     roots = components(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     renamed = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
-    return cut(labels.join(renamed, "label", "left").select(
+    large = hot_keys(labels, ["label"], HOT_ROWS)
+    return cut(spread_join(labels, renamed, ["label"], "left", large, spread_by=["node"]).select(
         "node", F.coalesce("root", "label").alias("label")
     ))
 
@@ -377,8 +407,19 @@ def shared_weight(texts: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     )
 
 
-def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes with their least id, and the labels of those nodes that have near duplicates."""
+def _hot_nodes(nodes: DataFrame) -> HotKeys:
+    """The texts of very many rows: fewer than there are shuffle partitions."""
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    if total < HOT_ROWS:
+        return HotKeys()
+    share = total / int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.filter(F.col("n") > HOT_SHARES * share).select(key_hash(["node"]), "n").collect()
+    slices_ = math.ceil(max((n for _, n in rows), default=0) / share)
+    return HotKeys(tuple(key for key, _ in rows), max(1, slices_))
+
+
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame, HotKeys]:
+    """Nodes with their least id, the labels of those that have near duplicates, and the hot nodes."""
     signed = docs.filter("node is not null").mapInArrow(
         _signed,
         f"node string, doc_id {docs.schema['doc_id'].dataType.simpleString()},"
@@ -386,30 +427,35 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     nodes = cut(signed.groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"),
-        F.first("bands").alias("bands"),
+        F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"),
     ))
+    hot = _hot_nodes(nodes)
     members = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(members.join(shared.drop("n"), ["band", "key"]), "buckets")
+    keys = ["band", "key"]
+    full = hot_keys(members, keys, HOT_ROWS)
+    members = written(
+        spread_join(members, shared.drop("n"), keys, "inner", full, spread_by=["node"]), "buckets"
+    )
+    known, asked = docs.filter("node is not null").select("node", "text"), members.select("node").distinct()
     texts = written(
-        docs.select("node", "text")
-        .join(members.select("node").distinct(), "node", "left_semi")
+        spread_join(known, asked, ["node"], "left_semi", hot, spread_by=["node"])
         .groupBy("node").agg(F.first("text").alias("text")),
         "texts",
     )
     labels = cut(members.select("node").distinct().withColumn("label", F.col("node")))
     by_hash = members.withColumn("shared", F.col("size")).withColumn("first", F.xxhash64("node"))
-    labels = _linked(labels, _with_pivot(by_hash, labels), texts)
-    left = _still_mixed(members, labels)
+    labels = _linked(labels, _with_pivot(by_hash, labels, full), texts)
+    left = _still_mixed(members, labels, full)
     likely = written(
         left.join(shared_weight(texts.join(left.select("node").distinct(), "node", "left_semi")), "node")
         .filter(F.col("shared") >= SIMILARITY * F.col("size") - 1e-9)
         .withColumn("first", F.lit(1) - F.col("shared") / F.col("size")),
         "likely",
     )
-    labels = _linked(labels, _with_pivot(likely, labels), texts)
-    labels = _linked(labels, _within_buckets(likely, labels, texts), texts)
-    return nodes, labels
+    labels = _linked(labels, _with_pivot(likely, labels, full), texts)
+    labels = _linked(labels, _within_buckets(likely, labels, texts, full), texts)
+    return nodes, labels, hot
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -418,17 +464,19 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _classes(docs: DataFrame) -> DataFrame:
-    """``(node, label, class_id, best)``; ``best`` is the node of the least id."""
-    nodes, labels = _labelled(docs)
+def _classes(docs: DataFrame) -> tuple[DataFrame, HotKeys]:
+    """``(node, label, class_id, best)``, ``best`` the node of the least id; and the hot nodes."""
+    nodes, labels, hot = _labelled(docs)
     named = nodes.join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label")
     )
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))
     best = named.groupBy("label").agg(F.min(order).alias("best"))
-    return named.drop("doc_id").join(best, "label").select(
+    large = hot_keys(labels, ["label"], HOT_ROWS)
+    chosen = spread_join(named.drop("doc_id"), best, ["label"], "inner", large, spread_by=["node"])
+    return chosen.select(
         "node", "label", F.col("best.doc_id").alias("class_id"), F.col("best.node").alias("best")
-    )
+    ), hot
 
 
 def near_duplicate_classes(
@@ -436,16 +484,17 @@ def near_duplicate_classes(
 ) -> DataFrame:
     """``(doc_id, class_id)`` for each row."""
     keyed = _keyed(docs, doc_id, text)
-    classes = _classes(keyed)
-    return keyed.drop("text").join(classes, "node", "left").select(
-        "doc_id",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    classes, hot = _classes(keyed)
+    texts = keyed.filter("node is not null").drop("text")
+    found = spread_join(texts, classes, ["node"], "left", hot).select("doc_id", "class_id")
+    return found.union(
+        keyed.filter("node is null").select("doc_id", F.col("doc_id").alias("class_id"))
     )
 
 
 def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with all columns, of each class only the one of least id."""
-    classes = _classes(_keyed(docs, doc_id, text))
+    classes, hot = _classes(_keyed(docs, doc_id, text))
     whole = docs.select(
         F.struct(*(F.col(x) for x in docs.columns)).alias("doc"),
         F.col(doc_id).alias("id"),
@@ -453,7 +502,10 @@ def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     chosen = classes.filter("node = best").select("node", "class_id")
     alone = whole.filter("node is null").select("doc")
-    rows = whole.join(chosen, "node").filter(F.col("id").eqNullSafe(F.col("class_id")))
+    texts = whole.filter("node is not null")
+    rows = spread_join(texts, chosen, ["node"], "inner", hot, spread_by=["id"]).filter(
+        F.col("id").eqNullSafe(F.col("class_id"))
+    )
     # Rows equal in id and text are left; one of them stays.
     first = rows.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy("id")))
     kept = first.filter("n = 1").select("doc").union(alone)

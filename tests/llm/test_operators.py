@@ -8,6 +8,7 @@ import random
 import re
 import textwrap
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -31,6 +32,7 @@ from docketflow.llm import (
 )
 from docketflow.llm.common import hashes, piece_model, words
 from docketflow.llm.elias_fano import EliasFano
+from docketflow.operators import joins
 
 AWKWARD = [
     (None, "no id"), (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, " a  b "), (4, " a  b "),
@@ -496,6 +498,67 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicate_classes(empty(spark)).count() == 0
 
 
+def test_near_duplicates_with_hot_keys_and_long_texts(spark, monkeypatch):
+    """Every frequent key is cut into slices, every bucket into many blocks."""
+    monkeypatch.setattr(minhash, "HOT_ROWS", 0)
+    monkeypatch.setattr(minhash, "HOT_SHARES", 0.2)
+    monkeypatch.setattr(joins, "HOT_SHARES", 0.2)
+    monkeypatch.setattr(minhash, "BLOCK_UNITS", 2_000)
+    rows = copies(8) + [(5000 + k, "the same few words " * 9) for k in range(60)] + [(None, None)] * 40
+    docs = frame(spark, rows)
+    assert tuples(minhash.near_duplicate_classes(docs)) == near_classes(rows)
+    kept = {(r.doc_id, r.text) for r in minhash.one_per_class(docs).collect()}
+    least = {c for (i, t), (_, c) in zip(sorted(rows, key=repr), near_classes(rows)) if t}
+    assert {i for i, t in kept if t and t.strip() and i is not None} <= least | {i for i, _ in AWKWARD}
+
+
+def test_pairs_of_a_hub_are_spread(spark):
+    words_ = " ".join(f"w{k}" for k in range(60))
+    texts = spark.range(4000).select(
+        F.format_string("n%05d", "id").alias("node"), F.concat(F.lit(words_ + " x"), "id").alias("text")
+    )
+    pairs = texts.filter("node > 'n00000'").select(F.lit("n00000").alias("a"), F.col("node").alias("b"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = joins.hot_keys(pairs, ["a"], 0)
+        places = minhash.verified(pairs, texts, hot).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(hot.hashes) == 1 and len(places) > 20
+    assert sum(r["count"] for r in places) == 3999 and max(r["count"] for r in places) < 600
+
+
+def test_buckets_of_long_texts_need_bounded_memory():
+    n, length = 100, 20_000  # two blocks of BLOCK_UNITS
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, length, dtype=np.uint64)
+    texts = []
+    for k in range(n):
+        own = base.copy()
+        own[rng.choice(length, 200 if k % 2 else 9000, replace=False)] = rng.integers(0, 2**63, 200 if k % 2 else 9000, dtype=np.uint64)
+        texts.append(own.tobytes())
+    assert n * length == 2 * minhash.BLOCK_UNITS
+    names = [f"n{k}" for k in range(n)]
+    table = pa.table({
+        "node": names, "label": names, "units": texts, "block": [k // 50 for k in range(n)],
+        "low": [0] * n, "high": [1] * n,
+    })
+    tracemalloc.start()
+    links = minhash._close(table).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    linked = {x for link in links for x in link.values()}
+    assert linked == {f"n{k}" for k in range(1, n, 2)} and len(links) == n // 2 - 1
+
+
 def test_bag_minhash_is_unbiased():
     rng = random.Random(1)
     errors = []
