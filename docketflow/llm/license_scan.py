@@ -4,8 +4,8 @@ A paragraph is the text between blank lines, however its lines are wrapped. Its
 lower case, those that several training paragraphs share, scaled by its length;
 a softmax regression over the licence families and "none" judges them, for long
 paragraphs in overlapping windows of ``WINDOWS`` words. It is trained on variants
-of the families' statements and on a bounded sample of the corpus' own
-paragraphs as "none" (about ``NONE_SAMPLE`` paragraphs, at most twice as many).
+of the families' statements and on a bounded sample of the starts of the corpus'
+own lines as "none" (about ``NONE_SAMPLE``, at most twice as many).
 
 The unknown class is calibrated on a third of the training data that the
 regression does not see: its scores are divided by the temperature that makes
@@ -14,8 +14,12 @@ them most likely, and the least threshold is taken above which no paragraph of
 window, against "none" alone (other families may be there too), is confirmed if
 ``CONFIRMED`` of the three-word n-grams of one of its statements stand close to
 the window, within twice the statement's length and a window; words without a
-letter or digit, as marks of comments, do not count. Of places that overlap the
-fullest is kept, so a paragraph can have any number of licences.
+letter or digit, as marks of comments, do not count. The place, with as many
+words on either side as the statement has left, must have just the version and
+the qualifiers of the statement ("lesser", "affero", "non-commercial", ...), or
+a neighbour of the licence would pass for it, and must not follow a negation in
+its sentence. Of places that overlap the fullest is kept, so a paragraph can
+have any number of licences.
 
 Null, empty and wordless texts have no licence. Any length of text is judged
 whole, every row by itself; other columns are ignored.
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -39,6 +44,7 @@ from docketflow.llm.common import WORD, hashes, slices, window_hashes, words
 
 MIN_SHARED = 8
 NONE_SAMPLE = 2_000
+NONE_CHARS = 1_000
 VARIANTS = 60
 EPOCHS = 200
 MIN_THRESHOLD = 0.6
@@ -51,55 +57,127 @@ NONE = "none"
 
 # The usual statements of each family.
 STATEMENTS: dict[str, tuple[str, ...]] = {
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    "Apache-1.1": (
+        "Licensed under the Apache License, Version 1.1.",
+        "Licensed under the Apache Software License, Version 1.1.",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file"
         " except in compliance with the License.",
     ),
+    "Artistic-2.0": (
+        "Licensed under the Artistic License 2.0.",
+        "This program is distributed under the terms of the Artistic License, version 2.0.",
+    ),
     "BSD": (
         "Released under the BSD License.",
         "Use of this source code is governed by a BSD-style license.",
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met.",
     ),
-    "CC-BY-4.0": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
-        " International License.",
-    ),
-    "CC-BY-SA-4.0": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
-        " License.",
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
     ),
+    **{
+        f"CC-{code}-{version}": (
+            f"Licensed under CC {code} {version}.",
+            f"This work is licensed under a Creative Commons {name} {version} {scope} License.",
+        )
+        for version, scope in (("4.0", "International"), ("3.0", "Unported"))
+        for code, name in (
+            ("BY", "Attribution"),
+            ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-SA", "Attribution-ShareAlike"),
+        )
+    },
     "CC0-1.0": (
         "Dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related rights"
         " to this work.",
     ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of"
-        " the GNU General Public License as published by the Free Software Foundation.",
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License v. 2.0.",
     ),
-    "LGPL-3.0": (
-        "This library is licensed under the GNU Lesser General Public License, version 3.",
+    "EUPL-1.2": (
+        "Licensed under the EUPL, Version 1.2.",
+        "Licensed under the European Union Public Licence, version 1.2.",
+    ),
+    **{
+        f"GPL-{n}.0": (
+            f"This work is licensed under the GNU General Public License, version {n}.",
+            "This program is free software: you can redistribute it and/or modify it under the terms"
+            " of the GNU General Public License as published by the Free Software Foundation, either"
+            f" version {n} of the License, or (at your option) any later version.",
+        )
+        for n in (2, 3)
+    },
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
+        " without fee is hereby granted, provided that the above copyright notice and this"
+        " permission notice appear in all copies.",
     ),
+    **{
+        f"LGPL-{version}": (
+            f"This library is licensed under the GNU Lesser General Public License, version {version}.",
+            "This library is free software; you can redistribute it and/or modify it under the terms"
+            " of the GNU Lesser General Public License as published by the Free Software Foundation,"
+            f" either version {version} of the License, or (at your option) any later version.",
+        )
+        for version in ("2.1", "3")
+    },
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
         " software and associated documentation files, to deal in the Software without restriction.",
     ),
+    "MPL-1.1": (
+        "Licensed under the Mozilla Public License 1.1.",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
     ),
+    "OFL-1.1": (
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    ),
+    "Unlicense": (
+        "Released under the Unlicense.",
+        "This is free and unencumbered software released into the public domain.",
+    ),
+    "Zlib": (
+        "Released under the zlib License.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial"
+        " applications, and to alter it and redistribute it freely.",
+    ),
 }
+# Words that tell a licence from its neighbours, and what says the same.
+QUALIFIERS = {
+    "affero": "affero", "lesser": "lesser", "nc": "nc", "noncommercial": "nc", "commercial": "nc",
+    "nd": "nd", "noderivatives": "nd", "noderivs": "nd", "derivatives": "nd", "derivs": "nd",
+    "sa": "sa", "sharealike": "sa", "alike": "sa",
+}
+# Words that deny what follows them in the sentence.
+NEGATIONS = frozenset((
+    "not", "never", "neither", "nor", "isn't", "wasn't", "aren't", "weren't", "cannot", "can't",
+    "without", "non",
+))
+# So many words before a place can deny it.
+DENIED = 5
 # Paragraphs that speak of licences without granting one.
 NOT_GRANTED = (
     "A driving license is required to drive a car in this country.",
@@ -230,13 +308,19 @@ def train(none: Sequence[str], seed: int = SEED) -> tuple[Model, float]:
 
 
 def none_sample(docs: DataFrame, text: str, n: int = NONE_SAMPLE) -> list[str]:
-    """About ``n`` distinct paragraphs that do not speak of licences, the same on every run."""
+    """About ``n`` distinct starts of lines that do not speak of licences, the same on every run.
+
+    A start has the words of a window, which is what the scan judges, and at most
+    ``NONE_CHARS`` characters, so one endless line costs the driver no more than another.
+    """
     lines = docs.select(F.explode(F.split(text, "\n")).alias("line")).filter(F.col("line").rlike(WORD))
     total = docs.agg(F.sum(F.size(F.split(text, "\n")))).first()[0] or 1
     # Equal lines have equal hashes, so a share of the hashes is a share of the distinct lines.
     least = min(2**63 - 1, 2**63 * 2 * n // total)
     drawn = F.xxhash64("line").bitwiseAND(F.lit(2**63 - 1)) <= F.lit(least)
-    rows = lines.filter(drawn & ~F.col("line").rlike("(?i)licen[cs]")).distinct().collect()
+    start = F.substring(F.ltrim("line"), 1, NONE_CHARS)
+    start = F.regexp_extract(start, rf"(?:{WORD}[\x20\x09-\x0D]*){{1,{WINDOW}}}", 0).alias("line")
+    rows = lines.filter(drawn & ~F.col("line").rlike("(?i)licen[cs]")).select(start).distinct().collect()
     return sorted(r["line"] for r in rows)[: 2 * n]
 
 
@@ -244,57 +328,111 @@ _BLANK = r"\n(?:[ \t\x0b\x0c\r]*\n)+"
 _AROUND = ".,;:!?()[]{}\"'*_`|<>"
 
 
-def _read(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Normal words with a letter or digit, and the line and the place in words of each."""
-    words_, line_of, place_of = [], [], []
+_ENDS = re.compile(r"[.;!?][\"')\]}*_`|<>]*$")
+_VERSION = re.compile(r"v?(\d{1,2}(?:\.\d+)*)\+?")
+
+
+def _read(text: str) -> tuple[list[str], np.ndarray, np.ndarray, list[bool]]:
+    """Normal words with a letter or digit, the line and the place of each, and if a sentence ends."""
+    words_, line_of, place_of, ends = [], [], [], []
     place = 0
     for k, line in enumerate(text.encode().split(b"\n")):
         for word in line.split():
-            own = word.decode().lower().strip(_AROUND)
+            raw = word.decode()
+            own = raw.lower().strip(_AROUND)
             if any(map(str.isalnum, own)):
                 words_.append(own)
                 line_of.append(k)
                 place_of.append(place)
+                ends.append(bool(_ENDS.search(raw)))
             place += 1
-    return words_, np.array(line_of, int), np.array(place_of, int)
+    return words_, np.array(line_of, int), np.array(place_of, int), ends
+
+
+def marked(own: Sequence[str]) -> tuple[list[int], list[str]]:
+    """Where versions and qualifiers stand among normal words, and which; ``2.0`` is version 2."""
+    parts = [(k, x) for k, word in enumerate(own) for x in re.split(r"[-/,(]", word)]
+    where, which = [], []
+    for (k, part), (_, after) in zip(parts, [*parts[1:], (0, "")]):
+        mark = QUALIFIERS.get(part)
+        if part == "library" and after == "general":  # the former name of "lesser"
+            mark = "library"
+        elif (version := _VERSION.fullmatch(part)) and after != "clause":
+            mark = re.sub(r"(\.0)+$", "", version[1])
+        if mark:
+            where.append(k)
+            which.append(mark)
+    return where, which
+
+
+def denied(own: Sequence[str], ends: Sequence[bool], first: int) -> bool:
+    """Whether a negation stands shortly before a word, in its sentence."""
+    for k in range(first - 1, max(-1, first - 1 - DENIED), -1):
+        if ends[k]:
+            return False
+        if own[k] in NEGATIONS:
+            return True
+    return False
 
 
 def _trigrams(own: Sequence[str]) -> list[tuple[str, ...]]:
     return list(zip(own, own[1:], own[2:]))
 
 
-_OWN = {
-    family: [set(_trigrams(_read(x)[0])) for x in statements]
-    for family, statements in STATEMENTS.items()
-}
+@dataclass(frozen=True)
+class _Statement:
+    at: dict[tuple[str, ...], int]  # each three-word n-gram, where it first stands
+    length: int
+    marks: frozenset[str]
+
+
+def _statement(text: str) -> _Statement:
+    own = _read(text)[0]
+    marks = frozenset(marked(own)[1])
+    at: dict[tuple[str, ...], int] = {}
+    for k, trigram in enumerate(_trigrams(own)):
+        at.setdefault(trigram, k)
+    return _Statement(at, len(own), marks)
 
 
-def places(family: str, own: Sequence[str]) -> list[tuple[float, int, int]]:
+_OWN = {family: [_statement(x) for x in statements] for family, statements in STATEMENTS.items()}
+
+
+def places(
+    family: str, own: Sequence[str], ends: Sequence[bool], trigrams: Sequence[tuple[str, ...]],
+    marks: tuple[list[int], list[str]],
+) -> list[tuple[float, int, int]]:
     """``(fit, first, last)``: words that hold enough of one of the family's statements.
 
     The fit is the share of the statement, less by what stands between its parts.
     """
     found = []
-    trigrams = _trigrams(own)
+    where, which = marks
     for statement in _OWN[family]:
-        reach = 2 * (len(statement) + 2) + WINDOW
-        at = [k for k, x in enumerate(trigrams) if x in statement]
+        n = len(statement.at)
+        reach = 2 * (n + 2) + WINDOW
+        at = [k for k, x in enumerate(trigrams) if x in statement.at]
         for start in range(len(at)):
             seen: set[tuple[str, ...]] = set()
-            end = start
+            best = None
+            before = max(0, at[start] - statement.at[trigrams[at[start]]])
             # On to the last trigram that is new; a repeat after enough is the next statement.
             for k in range(start, len(at)):
                 if at[k] - at[start] > reach:
                     break
-                again = trigrams[at[k]] in seen
-                if again and len(seen) >= CONFIRMED * len(statement):
-                    break
-                if not again:
-                    seen.add(trigrams[at[k]])
-                    end = k
-            if len(seen) >= CONFIRMED * len(statement):
-                extent = max(len(statement), at[end] - at[start] + 1)
-                found.append((len(seen) / extent, at[start], at[end] + 2))
+                trigram = trigrams[at[k]]
+                if trigram in seen:
+                    if len(seen) >= CONFIRMED * n:
+                        break
+                    continue
+                seen.add(trigram)
+                if len(seen) >= CONFIRMED * n:
+                    left = statement.length - 3 - statement.at[trigram]
+                    inside = slice(bisect_left(where, before), bisect_left(where, at[k] + 3 + left))
+                    if set(which[inside]) == statement.marks:
+                        best = (len(seen) / max(n, at[k] - at[start] + 1), at[start], at[k] + 2)
+            if best and not denied(own, ends, at[start]):
+                found.append(best)
     return found
 
 
@@ -302,24 +440,33 @@ def _licences(
     paragraph: str, windows: Sequence[tuple[int, int, str, float]]
 ) -> list[tuple[int, int, int, int, str, float]]:
     """``(first word, last word, first line, last line, family, probability)`` of windows ``(place, width, family, chance)``."""
-    own, line_of, place_of = _read(paragraph)
+    own, line_of, place_of, ends = _read(paragraph)
+    trigrams, marks = _trigrams(own), marked(own)
+    asked: dict[str, dict[tuple[int, int], float]] = {}
+    for start, width, family, chance in windows:
+        asked.setdefault(family, {})[width, start] = chance
     candidates = []
-    for family in sorted({x[2] for x in windows}):
-        for fit, first, last in places(family, own):
-            low, high = place_of[first], place_of[last]
+    for family in sorted(asked):
+        for fit, first, last in places(family, own, ends, trigrams, marks):
+            low, high = int(place_of[first]), int(place_of[last])
             chances = [
-                chance for start, width, name, chance in windows
-                if name == family and start <= high and low < start + width
+                asked[family][width, start]
+                for width in WINDOWS
+                for start in range(max(0, low - width + 1 + -(low - width + 1) % (width // 2)), high + 1, width // 2)
+                if (width, start) in asked[family]
             ]
             if chances:
                 candidates.append((fit, last - first, max(chances), first, last, family))
-    kept: list[list] = []
+    kept: list[list] = []  # in order of their places, which share a word at most
     for candidate in sorted(candidates, key=lambda x: (*(-y for y in x[:3]), *x[3:])):
         fit, _, chance, first, last, family = candidate
-        # Neighbours may share a word.
-        met = [x for x in kept if min(last, x[1]) > max(first, x[0])]
+        at = bisect_left(kept, first, key=lambda x: x[0])
+        met = [x for x in kept[max(0, at - 1) : at] if x[1] > first]
+        while at < len(kept) and kept[at][0] < last:
+            met.append(kept[at])
+            at += 1
         if not met:
-            kept.append([first, last, chance, family])
+            kept.insert(at, [first, last, chance, family])
         elif fit >= CONFIRMED and len(met) == 1 and met[0][3] == family:
             met[0][:2] = min(first, met[0][0]), max(last, met[0][1])  # a longer form of it
     return [

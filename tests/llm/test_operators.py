@@ -280,6 +280,75 @@ def test_several_licences_in_a_line(spark, model):
     assert found[4] == [(0, "MIT"), (1, "CC-BY-4.0"), (2, "MIT")]
 
 
+NEIGHBOURS = [
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("Licensed under the GNU General Public License, version 2 only.", ["GPL-2.0"]),
+    ("This work is licensed under the GNU General Public License, version 1.", []),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This library is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+    ("This library is licensed under the GNU Library General Public License, version 2.", []),
+    ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]),
+    ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]),
+    ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+    ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", ["CC-BY-3.0"]),
+    ("The code was never released under the MIT License.", []),
+    ("It is not licensed under the MIT License.", []),
+    ("Do not sell it. Released under the MIT License.", ["MIT"]),
+    ("Released under the ISC License.", ["ISC"]),
+    ("Released under the Unlicense.", ["Unlicense"]),
+    ("Licensed under the EUPL, Version 1.2.", ["EUPL-1.2"]),
+    ("Licensed under the Eclipse Public License 2.0.", ["EPL-2.0"]),
+    ("Released under the BSD 3-Clause License.", ["BSD"]),
+]
+# Whole licences that no training text names.
+HELD_OUT = [
+    "Licensed under the Apache License, Version 1.0.", "Licensed under CC BY 2.5.",
+    "Licensed under the EUPL, Version 1.1.", "Licensed under the Eclipse Public License 1.0.",
+    "Released under the PostgreSQL License.", "Licensed under the Zope Public License 2.1.",
+    "Released under the WTFPL.", "Licensed under the Microsoft Public License.",
+    "Licensed under the Academic Free License, version 3.0.", "Licensed under the Open Software License 3.0.",
+    "This work is licensed under the GNU Free Documentation License, version 1.3.",
+    "Licensed under the Mozilla Public License 1.0.", "Licensed under the CeCILL License, version 2.1.",
+    "Released under the Python Software Foundation License.", "Licensed under the Artistic License 1.0.",
+    "This work is licensed under a Creative Commons Attribution 2.0 Generic License.",
+]
+
+
+def test_neighbours_of_licences_are_told_apart(model):
+    texts = [f"the house of the river {x} and it" for x in [*(t for t, _ in NEIGHBOURS), *HELD_OUT]]
+    found = [[] for _ in texts]
+    for at, _, _, family, _ in license_scan.judge(pa.array(texts), model[0]):
+        found[at].append(family)
+    for text, own, expected in zip(texts, found, [*(f for _, f in NEIGHBOURS), *([] for _ in HELD_OUT)]):
+        assert own == expected, text
+
+
+def test_licences_against_whole_statements_in_the_corpus(spark, model):
+    """A second way: a statement that stands word for word in a text, wherever it breaks its lines."""
+    plain = lambda text: " ".join(license_scan._read(text)[0])
+    statements = [(plain(x), family) for family, own in license_scan.STATEMENTS.items() for x in own]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: [x.family for x in r.licenses] for r in license_scan.scan(docs).collect()}
+    for row in docs.collect():
+        own = f" {plain(row.text or '')} "
+        assert set(found[row.doc_id]) == {f for x, f in statements if f" {x} " in own}, row.doc_id
+
+
+def test_sampled_lines_are_cut_before_they_are_collected(spark):
+    rows = [(1, "word " * 50_000), (2, "x" * 100_000), (3, " \u3000 a  b "), (4, "a license\n\n"), (5, None)]
+    found = license_scan.none_sample(frame(spark, rows), "text")
+    assert sorted(map(len, found)) == [len("\u3000 a  b "), len("word ") * license_scan.WINDOW, license_scan.NONE_CHARS]
+
+
+def test_many_licences_in_a_paragraph(model):
+    text = " ".join(f"part {'abcdefghij'[k % 10]} of it. Released under the MIT License." for k in range(4000))
+    start = time.perf_counter()
+    found = license_scan.judge(pa.array([text]), model[0])
+    assert len(found) == 4000 and {x[3] for x in found} == {"MIT"}
+    assert time.perf_counter() - start < 30
+
+
 # Exact top-k
 
 
