@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import WORD, hashes, slices, window_hashes, words
+from docketflow.llm.common import WORD, hashes, runs_of, slices, window_hashes, words
 
 MIN_SHARED = 8
 NONE_SAMPLE = 2_000
@@ -52,6 +52,8 @@ CONFIRMED = 0.6
 WINDOW = 24
 # A short statement is lost in a wide window of other text.
 WINDOWS = (WINDOW, 10)
+# Windows whose n-grams are weighed at once.
+STEP = 2_048
 SEED = 7
 NONE = "none"
 
@@ -502,11 +504,19 @@ def _windows(
     windows = np.concatenate([base[owner] + own, base[owner] + own - 1])
     inside = np.concatenate([np.ones(len(own), bool), (own > 0) & (place < (own + 1) * half)])
     windows, number = windows[inside], np.concatenate([number, number])[inside]
-    asked, at = np.unique(windows, return_inverse=True)
-    logits = np.stack(
-        [np.bincount(at, model.weights[number, k], len(asked)) for k in range(len(model.families))],
-        axis=1,
-    )
+    if not len(windows):
+        return windows, windows, np.zeros((0, len(model.families)))
+    order = np.argsort(windows, kind="stable")
+    windows, number = windows[order], number[order]
+    first, _ = runs_of(windows)
+    asked = windows[first]
+    # A row of weights for each n-gram, so only some runs of windows at once.
+    logits = np.empty((len(asked), len(model.families)))
+    for low in range(0, len(asked), STEP):
+        part = first[low : low + STEP]
+        end = first[low + STEP] if low + STEP < len(first) else len(number)
+        rows = model.weights[number[part[0] : end]]
+        logits[low : low + STEP] = np.add.reduceat(rows, part - part[0], axis=0, dtype=np.float64)
     paragraph = np.searchsorted(base, asked, side="right") - 1
     start = (asked - base[paragraph]) * half
     length = np.clip(sizes[paragraph] - start, 1, width)
