@@ -15,7 +15,8 @@ So padding is only in emitted windows into which nothing fitted any more. A task
 holds its open windows and one slice of texts; the partitions' leftovers are
 bounded by the number of windows, whatever the size of a source or text.
 
-Words are encoded once for each distinct one of a task: the tokenizer must drop
+Words are encoded once for each distinct one of a worker's tasks, which share one table of
+bounded size: the tokenizer must drop
 white space and encode the words between it independently, and words of
 ASCII and Latin-1 letters must fall into parts by one rule, which is checked against the library on samples
 when it is loaded. A document's ids are followed by one end id. Null and
@@ -31,7 +32,7 @@ import os
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ OPEN_WINDOWS = 64
 LEAST_PIECE = 16
 # Partitions whose leftovers one task merges: 64 * 64 windows of 8 KB.
 FAN_IN = 64
-# Entries after which a task starts a new table of words; this bounds memory only.
+# Entries after which a worker starts a new table of words; this bounds memory only.
 TABLE_ENTRIES = 400_000
 # A sequence's id: the round, the task in it, the number in the task.
 ROUND_BITS, TASK_BITS = 58, 32
@@ -166,6 +167,12 @@ class WordTable:
         return ids, starts[bounds]
 
 
+@lru_cache(maxsize=1)
+def word_table(tokenizer: str) -> WordTable:
+    """The table of this process: one for each task would pile up in a worker of many small tasks."""
+    return WordTable(tokenizer)
+
+
 class Piece:
     """Tokens of one document: they start after its first ``start`` ids."""
 
@@ -280,7 +287,7 @@ def _arrays(rows: list[tuple], schema: pa.Schema) -> list[pa.Array]:
 def _packed(
     batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: int, open_windows: int
 ) -> Iterator[pa.RecordBatch]:
-    table = WordTable(tokenizer)
+    table = word_table(tokenizer)
     packer = Packer(TaskContext.get().partitionId() << TASK_BITS, size, open_windows)
     schema = None
     for batch in slices(batches, "text"):

@@ -329,6 +329,31 @@ def test_word_table_equals_the_library():
         assert ids[a:b].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_small_tasks_of_one_worker_share_a_word_table(monkeypatch):
+    made, learn = [], packing.WordTable.__init__
+
+    def counted(self, tokenizer):
+        made.append(tokenizer)
+        learn(self, tokenizer)
+
+    class Task:
+        partition = 0
+
+        def get():
+            Task.partition += 1
+            return Task
+
+        def partitionId():
+            return Task.partition
+
+    monkeypatch.setattr(packing.WordTable, "__init__", counted)
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", None]})
+    tasks = [list(packing._packed(iter([batch]), word_tokenizer(), 1, 2048, 64)) for _ in range(5)]
+    assert [sum(b.num_rows for b in task) for task in tasks] == [2] * 5
+    assert len(made) <= 1
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused():
     import public_tokenizers
 
