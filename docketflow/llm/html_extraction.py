@@ -42,6 +42,7 @@ from docketflow.operators.joins import fits_broadcast
 FAN_IN = 64
 # Longest repeated group that is looked for; longer ones stay written out in the wrapper.
 MAX_FOLD = 24
+# Symbols of a stream that one character each can tell apart; with more, each is two characters.
 MAX_SYMBOLS = 1_000_000
 # Pairs of items that one alignment compares; beyond it, only what lies between anchors is.
 MAX_CELLS = 1_000_000
@@ -108,7 +109,12 @@ def _values(attributes: str, names: tuple[str, ...]) -> list[str]:
 
 
 SLOT = "#"
-_REPEAT = re.compile(rf"(.{{1,{MAX_FOLD}}}?)\1+", re.S)
+# First characters of two; no second one is among them, so a repeat begins and ends with a symbol.
+_FIRSTS = 10_000
+_REPEAT = {
+    1: re.compile(rf"(.{{1,{MAX_FOLD}}}?)\1+", re.S),
+    2: re.compile(rf"((?:[{chr(0x100)}-{chr(0x100 + _FIRSTS - 1)}].){{1,{MAX_FOLD}}}?)\1+", re.S),
+}
 
 
 def _side_words(attributes: str) -> set[str]:
@@ -208,40 +214,65 @@ def _character(n: int) -> str:
     return chr(0x100 + n if n < 0xD800 - 0x100 else 0xE000 + n - (0xD800 - 0x100))
 
 
+def _code(n: int, width: int) -> str:
+    """The n-th symbol in so many characters."""
+    if width == 1:
+        return _character(n)
+    first, second = divmod(n, MAX_SYMBOLS)
+    return _character(first) + _character(_FIRSTS + second)
+
+
+def _width(stream: list[str]) -> int:
+    """The characters that each symbol of the stream and of its groups needs to be told apart."""
+    # Every group that is made stands for two items at least.
+    return 1 if len(set(stream)) + len(stream) // 2 <= MAX_SYMBOLS else 2
+
+
 def folded(stream: Iterable[str]) -> list:
+    """:func:`folded_whole` of a stream for which one character a symbol will do.
+
+    A stream of more symbols than there are characters for is left as it is; the
+    operator does not go this way.
+    """
+    stream = list(stream)
+    return folded_whole(stream, 1) if _width(stream) == 1 else stream
+
+
+def folded_whole(stream: Iterable[str], width: int | None = None) -> list:
     """Neighbouring repeats as ``["+", group]``; a group may hold groups.
 
-    Each symbol is one character while repeats are looked for. A stream of more
-    symbols than there are characters for is left as it is.
+    Each symbol is one character while repeats are looked for, or two if the stream
+    has more symbols than there are characters for: the repeats are the same.
     """
     stream = list(stream)
-    # Every group that is made stands for two items at least.
-    if len(set(stream)) + len(stream) // 2 > MAX_SYMBOLS:
-        return stream
+    width = width or _width(stream)
     characters: dict = {}
-    text = "".join(characters.setdefault(x, _character(len(characters))) for x in stream)
+    text = "".join(characters.setdefault(x, _code(len(characters), width)) for x in stream)
     items: dict = {character: x for x, character in characters.items()}
     slots = {characters.get(SLOT)}
 
+    def symbols(text: str) -> Iterable[str]:
+        return text if width == 1 else (text[k : k + width] for k in range(0, len(text), width))
+
     def fold(match: re.Match) -> str:
         group = match[1]
-        if len(group) == 1 and isinstance(items[group], list):
+        if len(group) == width and isinstance(items[group], list):
             return group
-        if slots.isdisjoint(group):
+        if slots.isdisjoint(symbols(group)):
             return match[0]
-        made = characters.setdefault("+" + group, _character(len(characters)))
-        items[made] = ["+", [items[x] for x in group]]
+        made = characters.setdefault("+" + group, _code(len(characters), width))
+        items[made] = ["+", [items[x] for x in symbols(group)]]
         bodies[made] = group
         slots.add(made)
         return made
 
     bodies: dict[str, str] = {}
     while True:
-        shorter = _REPEAT.sub(fold, text)
+        shorter = _REPEAT[width].sub(fold, text)
         for made, group in bodies.items():
             shorter = shorter.replace(made + group, made).replace(group + made, made)
         if shorter == text:
-            return [items[x] for x in text]
+            return [items[x] for x in symbols(text)]
         text = shorter
 
 
@@ -455,7 +486,7 @@ def main_text(page: str, menu_regions: set[str]) -> str:
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html"):
         found = {
-            (host, json.dumps(folded(Page(page or "").stream)))
+            (host, json.dumps(folded_whole(Page(page or "").stream)))
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist())
         }
         hosts, streams = zip(*found) if found else ((), ())

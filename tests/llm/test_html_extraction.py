@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,23 @@ def test_150_000_symbols_do_not_stop_a_page():
     assert time.perf_counter() - start < 60
 
 
+def test_pages_of_any_number_of_symbols_are_folded_alike(monkeypatch):
+    rng = random.Random(8)
+    streams = [
+        [x for _ in range(rng.randint(0, 60)) for x in rng.choice(("p # /p", "p.a # /p", "li a # /a /li", "#", "br")).split()]
+        for _ in range(300)
+    ]
+    expected = [h.folded(x) for x in streams]
+    assert [h.folded_whole(x, 2) for x in streams] == expected
+    pages = ["<ul>" + "<li><a>x</a></li>" * 20 + "</ul>", "<p>x</p>" * 30]
+    batch = pa.RecordBatch.from_pydict({"host": ["a", "b"], "html": pages})
+    whole = [b.to_pydict() for b in h._streams(iter([batch]))]
+    monkeypatch.setattr(h, "MAX_SYMBOLS", 40)
+    assert [h.folded_whole(x) for x in streams] == expected
+    again = [b.to_pydict() for b in h._streams(iter([batch]))]
+    assert [set(zip(*x.values())) for x in again] == [set(zip(*x.values())) for x in whole]
+
+
 def test_more_symbols_than_characters_stay_unfolded(monkeypatch):
     monkeypatch.setattr(h, "MAX_SYMBOLS", 10)
     stream = ["p", "#", "/p"] * 20
