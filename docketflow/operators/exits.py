@@ -40,6 +40,7 @@ from docketflow.operators.bloom import BloomFilter, bloom_filter, with_bloom
 from docketflow.operators.joins import (
     HotKeys,
     hot_key_sketch,
+    hot_keys,
     hot_keys_from,
     lookup_join,
     spread_join,
@@ -55,6 +56,8 @@ from docketflow.sources.tables import CaseTables, parameter_table
 
 # Prune by the requested cases when there are at least so many times as many cases.
 PRUNE_RATIO = 2
+# With fewer links than this no case is taken to have very many derived from it.
+HOT_MIN_LINKS = 100_000
 # Column of the place on the time axis.
 STEP = "__paso"
 FIRST_DAY = date(1, 1, 1)
@@ -161,7 +164,9 @@ def case_state(
 
 def merged_state(states: DataFrame) -> DataFrame:
     """One row per case, court and day out of several states; merging one twice changes nothing."""
-    return _latest(states, ["id_expediente", "juzgado", STEP])
+    # A state has one row of a key, so nothing merges before the shuffle; by case alone, the
+    # join to the origins of a case needs no further one.
+    return _latest(states.repartition("id_expediente"), ["id_expediente", "juzgado", STEP])
 
 
 def exits_from_state(
@@ -172,7 +177,16 @@ def exits_from_state(
     hot = _profile(requests, own_ends=True).hot
     asked = with_court(requests, "ta_oficina", courts)
     asked = asked.withColumn(STEP, _day(F.col("fin_periodo")))
-    best = _as_of(_per_target(state, cases), asked.select(*keys))
+    latest = _per_target(state, cases)
+    # Only cases derived from one case can make its rows of a step many.
+    derived = cases.filter("id_expediente_origen is not null")
+    least = min(joins.HOT_MIN_ROWS, HOT_MIN_LINKS)
+    few_of_step = not hot_keys(derived, ["id_expediente_origen"], least).hashes
+    if not hot.hashes:
+        # No case is asked for by more requests than one task takes: they go along with its rows.
+        found = _as_of(latest, asked, requests.columns, few_of_step)
+        return found.select(*requests.columns, "juzgado", *_outcome())
+    best = _as_of(latest, asked.select(*keys), few_of_step=few_of_step)
     joined = spread_join(asked, best, keys, "left", hot, hot_on=["idexp"])
     return joined.select(*requests.columns, "juzgado", *_outcome())
 
@@ -486,32 +500,50 @@ def _at_every_end(rows: DataFrame, spark: SparkSession, ends: Sequence[datetime]
     return expanded.join(_ends_table(spark, ends), STEP).select(*columns, "fin_periodo")
 
 
-def _as_of(latest: DataFrame, asked: DataFrame) -> DataFrame:
+def _as_of(
+    latest: DataFrame, asked: DataFrame, columns: Sequence[str] | None = None,
+    few_of_step: bool = False,
+) -> DataFrame:
     """The state of each asked ``(idexp, juzgado, STEP)``: latest row, and date of another case's.
 
+    With ``columns``, that of each row of ``asked`` with these and its court, also
+    where a key is null and there is no state.
+
     Two cases of a step suffice: a third is behind both of them from then on. In
     the order of time, the latest row of another case is the one before the
-    present run of rows of one case.
+    present run of rows of one case. Where ``few_of_step`` says that no case has very
+    many of a step, all of them stay: to leave out the others takes a shuffle.
     """
     keys = ["idexp", "juzgado", STEP]
     event = F.struct("ultimo.*", F.col("id_expediente").alias("caso"))
-    rows = _numbered(latest, keys).filter(F.col("numero_fila") <= 2)
+    rows = latest if few_of_step else _numbered(latest, keys).filter(F.col("numero_fila") <= 2)
     rows = rows.select(*keys, F.lit(False).alias("pedido"), event.alias("evento"))
     nothing = F.lit(None).cast(rows.schema["evento"].dataType).alias("evento")
-    known = asked.dropna(subset=keys).distinct().select(*keys, F.lit(True).alias("pedido"), nothing)
+    known, fila = asked.dropna(subset=keys), []
+    if columns is None:
+        known = known.distinct()
+    else:
+        whole = F.struct(*columns).alias("fila")
+        fila = [whole]
+        rows = rows.withColumn("fila", F.lit(None).cast(asked.select(whole).schema["fila"].dataType))
+    known = known.select(*keys, F.lit(True).alias("pedido"), nothing, *fila)
     in_order = Window.partitionBy("idexp", "juzgado").orderBy(STEP, "pedido", "evento")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     other = F.col("previo.caso") != F.col("evento.caso")
-    return (
+    found = (
         rows.unionByName(known)
         .withColumn("previo", F.last("evento", ignorenulls=True).over(before))
         .withColumn("otro", F.when(other, F.col("previo.fecha_actuacion")))
         .withColumn("ultimo", F.last("evento", ignorenulls=True).over(so_far))
         .withColumn("segunda_fecha", F.last("otro", ignorenulls=True).over(so_far))
         .filter("pedido")
-        .select(*keys, "ultimo", "segunda_fecha")
     )
+    if columns is None:
+        return found.select(*keys, "ultimo", "segunda_fecha")
+    found = found.select("fila.*", "juzgado", "ultimo", "segunda_fecha")
+    never = asked.filter(F.greatest(*(F.col(key).isNull() for key in keys)))
+    return found.unionByName(never.select(*columns, "juzgado"), allowMissingColumns=True)
 
 
 def _two_latest(latest: DataFrame) -> DataFrame:

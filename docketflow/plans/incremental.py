@@ -5,7 +5,8 @@ and day, and the answers themselves. A batch of new rows is reduced to the same
 kind of state and stored beside the former ones; states merge by maximum, in any
 order. Only requests that the batch can change are answered again: those of its
 cases, of the cases these originate from, of the cases whose links it brings, and
-new requests. They are answered from the stored states of the cases they concern.
+new requests. They are answered from the stored states of the cases they concern; where
+they are most of the cases, all states are read, as choosing would cost more.
 
 A batch is published by one commit, as in :mod:`docketflow.sources.store`: state and answers
 appear together, and a batch that stopped half way is sent again. To send one
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.functions.codes import CHILD_CODES, EXIT_CODES
-from docketflow.operators.exits import case_state, exits_from_state, merged_state
+from docketflow.operators.exits import PRUNE_RATIO, case_state, exits_from_state, merged_state
 from docketflow.operators.joins import HotKeys, fits_broadcast, lookup_join
 from docketflow.sources.store import Folder, read_if_there
 from docketflow.sources.tables import CaseTables
@@ -56,11 +57,21 @@ class ExitLedger:
         case_state(new, *self.codes).write.parquet(self._folder("estado", name))
         delta = self._read("estado", f"lote={name}")
         former = self._commits()
-        asked = self._concerned(requests, tables.cases, batch.cases, delta, former)
+        asked = requests
+        if former is not None:
+            touched = _touched(tables.cases, batch.cases, delta)
+            touched = self._written(touched, "tocados", name)
+            asked = self._concerned(requests, touched, former)
         asked = self._written(asked, "pedidos", name)
-        state = delta if former is None else self._live("estado", former).unionByName(delta)
-        state, cases = _of_asked(state, tables.cases, asked)
-        answers = exits_from_state(asked, merged_state(state), cases, tables.courts)
+        state, cases = delta, tables.cases
+        if former is not None:
+            state = self._live("estado", former).unionByName(delta)
+        # Where most cases are asked for, all of the state is read, and nothing is shuffled to choose.
+        if cases.count() >= PRUNE_RATIO * asked.count():
+            state, cases = _of_asked(state, cases, asked)
+        if former is not None:
+            state = merged_state(state)  # one batch is merged as it was written
+        answers = exits_from_state(asked, state, cases, tables.courts)
         answers.select("request_id", *ANSWER).write.parquet(self._folder("respuestas", name))
         return self._commit(name, base=False)
 
@@ -82,28 +93,19 @@ class ExitLedger:
         self._answers(commits).write.parquet(self._folder("respuestas", name))
         return self._commit(name, base=True)
 
-    def _concerned(
-        self, requests: DataFrame, cases: DataFrame, new_links: DataFrame, delta: DataFrame,
-        former: DataFrame | None,
-    ) -> DataFrame:
-        """Requests of cases that the batch touches, and requests without an answer."""
-        own = delta.select(F.col("id_expediente").alias("idexp")).distinct()
-        small = fits_broadcast(own)
-        children = cases.select("id_expediente", F.col("id_expediente_origen").alias("idexp"))
-        origins = lookup_join(
-            children, own.withColumnRenamed("idexp", "id_expediente"), ["id_expediente"],
-            "left_semi", small=small, hot=HotKeys(),
-        ).select("idexp")
-        links = new_links.select(
-            F.explode(F.array("id_expediente", "id_expediente_origen")).alias("idexp")
+    def _concerned(self, requests: DataFrame, touched: DataFrame, former: DataFrame) -> DataFrame:
+        """Requests of touched cases, and requests without an answer; of those of one id, one."""
+        known = self._live("respuestas", former).select("request_id").distinct()
+        asked = lookup_join(
+            requests, touched.withColumn("__tocado", F.lit(True)), ["idexp"], "left",
+            small=fits_broadcast(touched),
         )
-        touched = own.unionByName(origins).unionByName(links).dropna().distinct()
-        again = lookup_join(requests, touched, ["idexp"], "left_semi")
-        if former is None:
-            return requests
-        known = self._answers(former).select("request_id")
-        unanswered = lookup_join(requests, known, ["request_id"], "left_anti", hot=HotKeys())
-        return again.unionByName(unanswered).dropDuplicates(["request_id"])
+        asked = lookup_join(
+            asked, known.withColumn("__conocido", F.lit(True)), ["request_id"], "left",
+            small=fits_broadcast(self._read("respuestas").select("request_id")), hot=HotKeys(),
+        )
+        again = F.col("__tocado").isNotNull() | F.col("__conocido").isNull()
+        return asked.filter(again).select(*requests.columns).dropDuplicates(["request_id"])
 
     def _answers(self, commits: DataFrame) -> DataFrame:
         rows = self._live("respuestas", commits)
@@ -141,6 +143,20 @@ class ExitLedger:
         )
 
 
+def _touched(cases: DataFrame, new_links: DataFrame, delta: DataFrame) -> DataFrame:
+    """``idexp`` of the cases whose answers a batch can change, each once."""
+    own = delta.select(F.col("id_expediente").alias("idexp"))
+    children = cases.select("id_expediente", F.col("id_expediente_origen").alias("idexp"))
+    origins = lookup_join(
+        children.dropna(), own.withColumnRenamed("idexp", "id_expediente"), ["id_expediente"],
+        "left_semi", small=fits_broadcast(own), hot=HotKeys(),
+    ).select("idexp")
+    links = new_links.select(
+        F.explode(F.array("id_expediente", "id_expediente_origen")).alias("idexp")
+    )
+    return own.unionByName(origins).unionByName(links).dropna().distinct()
+
+
 def _of_asked(
     state: DataFrame, cases: DataFrame, asked: DataFrame
 ) -> tuple[DataFrame, DataFrame]:

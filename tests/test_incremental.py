@@ -6,7 +6,12 @@ import pytest
 from conftest import tables_of
 from test_exits import as_frames, by_definition, random_data, with_own_ends
 
+from pyspark.sql import functions as F
+
 from docketflow import ExitLedger
+from docketflow.operators import joins
+from docketflow.operators.exits import exits_from_state, merged_state
+from docketflow.plans import incremental
 from docketflow.sources.store import shared_folder
 
 CODES = ("SOB", "ARC")
@@ -102,3 +107,35 @@ def test_a_batch_that_stops_half_way_is_not_seen(spark, monkeypatch):
     ledger.update(asked, tables, rest)
     expected = by_definition(requests, events, states, cases, changes, courts, CODES, ("ETO",))
     assert answered(ledger.answers()) == expected != before
+
+
+def test_an_update_shuffles_no_more_than_it_must(spark, monkeypatch):
+    """Nothing is chosen for a first batch; no rank and no join back where no case is hot."""
+    requests, *data, _ = random_data(57, 0.0)
+    events, states, cases, changes, courts = one_origin(data)
+    asked, tables = as_frames(
+        spark, with_own_ends(requests, 57), events, states, cases, changes, courts
+    )
+    read = []
+    touched = incremental._touched
+    monkeypatch.setattr(incremental, "_touched", lambda *x: read.append(1) or touched(*x))
+    ledger = ExitLedger(spark, shared_folder(spark, "ledger"), CODES, ("ETO",))
+    ledger.update(asked, tables, tables)
+    assert not read
+    state = merged_state(spark.read.parquet(f"{ledger.path}/estado").drop("lote"))
+    plain = exits_from_state(asked, state, tables.cases, tables.courts)
+    plan = plain._sc._jvm.PythonSQLUtils.explainString(plain._jdf.queryExecution(), "simple")
+    assert plan.count("row_number(") < 4 and "numero_fila" not in plan
+    # Requests without a case, an office or an end have no exit, by either way.
+    odd = asked.limit(3).withColumns({
+        "idexp": F.lit(None).cast("bigint"), "request_id": F.col("request_id") + 1_000_000,
+    }).unionByName(asked.limit(3).withColumns({
+        "fin_periodo": F.lit(None).cast("timestamp_ntz"), "request_id": F.col("request_id") + 2_000_000,
+    }))
+    both = asked.unionByName(odd)
+    way = lambda: answered(exits_from_state(both, state, tables.cases, tables.courts))
+    along = way()
+    assert len(along) == both.count() and along.items() >= answered(ledger.answers()).items()
+    monkeypatch.setattr(joins, "HOT_MIN_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_SHARES", 0.001)
+    assert way() == along
